@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordance.llm import langid
+from concordance.llm import langid, leaks
 from concordance.session import table
 
 
@@ -29,5 +29,26 @@ def p8_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stretches(spark, sf_dir).select("doc_id", F.posexplode("segments").alias("segment", "s")).select("doc_id", "segment", "s.*")
 
 
-QUERIES = {"p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the evaluation items they repeat a passage of."""
+    return _leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest repeated passage of each document and item, with its edits."""
+    return _leaks(spark, sf_dir)
+
+
+def p6_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every evaluation item with the number of documents it leaked into."""
+    found = _leaks(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("passage_tokens").alias("longest"))
+    items = table(spark, sf_dir, "eval_items").select("item_id", "split")
+    return items.join(found, "item_id", "left").select("item_id", "split", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("longest", F.lit(0)).alias("longest"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
 SQL: dict[str, str] = {}
