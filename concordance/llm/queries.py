@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordance.llm import langid, leaks
+from concordance.llm import langid, leaks, truncation
 from concordance.session import table
 
 
@@ -50,5 +50,26 @@ def p6_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(found, "item_id", "left").select("item_id", "split", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("longest", F.lit(0)).alias("longest"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
+def _endings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = truncation.features(table(spark, sf_dir, "model_outputs"), "model_outputs", "output_id", "raw_text", "model_name", "text")
+    codes = truncation.features(table(spark, sf_dir, "snapshots"), "snapshots", "snapshot_id", "code", "origin", "code")
+    return texts.unionAll(codes)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts and codes whose end was lost."""
+    return truncation.posteriors(_endings(spark, sf_dir)).filter("posterior > 0.5").select("source_table", "record_id")
+
+
+def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of cut values per model and per origin."""
+    return truncation.rates(truncation.posteriors(_endings(spark, sf_dir)))
+
+
+def p3_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate limits with the fitted length distributions."""
+    return truncation.limits(_endings(spark, sf_dir))
+
+
+QUERIES = {"p3_found": p3_found, "p3_rates": p3_rates, "p3_limits": p3_limits, "p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
 SQL: dict[str, str] = {}
