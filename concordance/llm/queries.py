@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordance.llm import langid, leaks, truncation
+from concordance.llm import langid, leaks, lookalike, truncation
 from concordance.session import table
 
 
@@ -71,5 +71,24 @@ def p3_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.limits(_endings(spark, sf_dir))
 
 
-QUERIES = {"p3_found": p3_found, "p3_rates": p3_rates, "p3_limits": p3_limits, "p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
+def _looks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ocr = table(spark, sf_dir, "ocr_regions").select(F.lit("ocr_regions.text").alias("field"), "image_id", F.col("region_id").alias("id"), F.lit(0).alias("pos"), F.col("text").alias("value"))
+    nodes = table(spark, sf_dir, "fused_nodes").select("image_id", F.col("node_row_id").alias("id"), F.posexplode("text_votes").alias("pos", "value"))
+    edges = table(spark, sf_dir, "visual_graphs").select("image_id", F.col("graph_id").alias("id"), F.posexplode("edges.label").alias("pos", "value"))
+    parts = [ocr, *(d.select(F.lit(f).alias("field"), "image_id", "id", "pos", "value") for f, d in (("fused_nodes.text_votes", nodes), ("visual_graphs.edges.label", edges)))]
+    values = parts[0].unionAll(parts[1]).unionAll(parts[2]).filter("value is not null and value != ''")
+    return lookalike.canonical(values, "value", lookalike.fit(values.select("value")))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of one field and image that look the same but differ."""
+    return lookalike.alike(_looks(spark, sf_dir))
+
+
+def p5_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value in its one form."""
+    return _looks(spark, sf_dir).select("field", "image_id", "id", "pos", "value", "canonical")
+
+
+QUERIES = {"p5_found": p5_found, "p5_values": p5_values, "p3_found": p3_found, "p3_rates": p3_rates, "p3_limits": p3_limits, "p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
 SQL: dict[str, str] = {}
