@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordance.llm import langid, leaks, lookalike, truncation
+from concordance.llm import crowd, langid, leaks, lookalike, truncation
 from concordance.session import table
 
 
@@ -90,5 +90,37 @@ def p5_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _looks(spark, sf_dir).select("field", "image_id", "id", "pos", "value", "canonical")
 
 
-QUERIES = {"p5_found": p5_found, "p5_values": p5_values, "p3_found": p3_found, "p3_rates": p3_rates, "p3_limits": p3_limits, "p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
+def _votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image_id, item, aspect, voter, label) of nodes and edges, texts in one form."""
+
+    def pairs(name: str, votes: str, *keys) -> DataFrame:
+        both = F.explode(F.arrays_zip(F.col("support_models").alias("voter"), F.col(votes).alias("label")))
+        return table(spark, sf_dir, name).select("image_id", *keys, both.alias("v")).select("image_id", "item", "aspect", F.col("v.voter").alias("voter"), F.col("v.label").alias("label"))
+
+    node, edge = F.col("fused_id").alias("item"), F.concat_ws(">", "source", "target").alias("item")
+    shapes = pairs("fused_nodes", "shape_votes", node, F.lit("shape").alias("aspect")).filter("label not in ('', 'unknown')")
+    texts = pairs("fused_nodes", "text_votes", node, F.lit("text").alias("aspect")).filter("label != ''")
+    labels = pairs("fused_edges", "label_votes", edge, F.lit("label").alias("aspect"))
+    written = texts.unionAll(labels).filter("voter is not null and label is not null")
+    formed = lookalike.canonical(written, "label", lookalike.fit(written.select("label"))).filter("aspect = 'label' or canonical != ''")
+    return shapes.unionAll(formed.select("image_id", "item", "aspect", "voter", F.col("canonical").alias("label")))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The true label of every node's shape and text and of every labelled edge."""
+    found = crowd.consensus(*crowd.fit(_votes(spark, sf_dir))).filter("not (aspect = 'label' and label = '')")
+    return found.select("image_id", "item", "aspect", "label")
+
+
+def p2_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item's label with posterior, difficulty and agreement."""
+    return crowd.consensus(*crowd.fit(_votes(spark, sf_dir)))
+
+
+def p2_voters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reliability of every voter, per aspect."""
+    return crowd.voters(*crowd.fit(_votes(spark, sf_dir)))
+
+
+QUERIES = {"p2_found": p2_found, "p2_consensus": p2_consensus, "p2_voters": p2_voters, "p5_found": p5_found, "p5_values": p5_values, "p3_found": p3_found, "p3_rates": p3_rates, "p3_limits": p3_limits, "p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
 SQL: dict[str, str] = {}

@@ -51,7 +51,7 @@ def test_what_differs_stays_different(canon):
         assert canon(a) != canon(b), (a, b)
     for a, b in (("ﬁnal", "final"), ("⼈", "人"), ("Ｎｏ", "No"), ("ϲat", "cat"), ("а́", "á"), ("​", ""), ("x­y", "xy")):
         assert canon(a) == canon(b), (a, b)
-    assert canon(None) is None and canon("") == "" and canon("a" * 100_000) == "a" * 100_000
+    assert canon(None) is None and canon("") == "" and canon("Start " * 20_000) == "Start " * 20_000
 
 
 def skeleton(value):
