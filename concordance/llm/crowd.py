@@ -43,6 +43,8 @@ SMOOTHING, MAX_TABLE = 10.0, 20_000_000
 MAX_VOTERS = 1_000_000
 #: Two voters are dependent if so many of the items either gets wrong are wrong alike.
 COMMON_ERRORS, LEAST_ERRORS = 0.6, 15.0
+#: Or, from so many common items, if their agreement exceeds what others explain by this.
+LEAST_COMMON, EXCESS = 30, 0.3
 
 ENCODED = "image_id string, item string, aspect string, voters array<int>, codes array<int>, labels array<string>, numbers array<int>, priors array<double>"
 
@@ -246,16 +248,27 @@ def _statistics(encoded: DataFrame, model: Model, pairs: bool) -> DataFrame:
     return encoded.mapInArrow(run, STATS).groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in ("slope", "curve", "right", "votes")))
 
 
+def _grouped(size: int, pairs: list[tuple[int, int]]) -> np.ndarray:
+    """The groups that the pairs connect, each named by its first voter."""
+    group = np.arange(size)
+    for a, b in pairs:
+        low, high = sorted((int(group[a]), int(group[b])))
+        group[group == high] = low
+    return group
+
+
 def fit(votes: DataFrame) -> tuple[DataFrame, Model]:
     """The encoded ballots and the fitted abilities and groups of dependent voters."""
     encoded, model = encode(votes)
+    copies = dependent(encoded, model)
+    model.group = _grouped(len(model.group), copies)
     for k in range(PASSES):
         pairs = k in (3, 7)
         stats = _statistics(encoded, model, pairs)
         # gathered are voters, their habit table and dependent pairs, never items
         rows = stats.filter((F.col("a") == F.col("b")) | (F.col("b") == -1) | ((F.col("slope") >= COMMON_ERRORS * F.col("curve")) & (F.col("curve") >= LEAST_ERRORS))).collect()
         new = model.ability.copy()
-        group = np.arange(len(new)) if pairs else model.group.copy()
+        group, common = model.group, list(copies)
         slips = np.zeros(model.habits.size)
         for r in sorted(rows, key=lambda r: (r.a, r.b)):
             if r.b == -1:
@@ -264,8 +277,9 @@ def fit(votes: DataFrame) -> tuple[DataFrame, Model]:
                 # Newton step with a normal prior around 1
                 new[r.a] = np.clip(new[r.a] + np.clip((r.slope - (new[r.a] - 1)) / (r.curve + 1), -1, 1), -4, 8)
             else:
-                low, high = sorted((int(group[r.a]), int(group[r.b])))
-                group[group == high] = low
+                common.append((r.a, r.b))
+        if pairs:
+            group = _grouped(len(new), common)
         slips = slips.reshape(model.habits.shape)
         habits = (slips + SMOOTHING * model.general[:, None, :]) / (slips.sum(axis=2, keepdims=True) + SMOOTHING)
         habits[:, :, -1] = RARE_SLIP
@@ -276,6 +290,53 @@ def fit(votes: DataFrame) -> tuple[DataFrame, Model]:
     return encoded, model
 
 
+def _agreements(encoded: DataFrame, size: int) -> DataFrame:
+    """(a, b, n, equal): common items and equal votes of each pair of voters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            voters, mask = _padded(batch.column(3), 0, np.int64)
+            codes, _ = _padded(batch.column(4), -1, np.int64)
+            for i in range(voters.shape[1]):
+                for j in range(i + 1, voters.shape[1]):
+                    both = mask[:, i] & mask[:, j] & (voters[:, i] != voters[:, j])
+                    a, b = voters[both, i], voters[both, j]
+                    key, inverse = np.unique(np.minimum(a, b) * size + np.maximum(a, b), return_inverse=True)
+                    equal = np.bincount(inverse, weights=codes[both, i] == codes[both, j], minlength=len(key))
+                    for q, x, y in zip(key.tolist(), np.bincount(inverse, minlength=len(key)), equal):
+                        old = total.setdefault(q, [0, 0.0])
+                        old[0] += int(x)
+                        old[1] += float(y)
+        keys = list(total)
+        yield pa.RecordBatch.from_arrays([pa.array([q // size for q in keys], pa.int64()), pa.array([q % size for q in keys], pa.int64()), pa.array([total[q][0] for q in keys], pa.int64()), pa.array([total[q][1] for q in keys], pa.float64())], ["a", "b", "n", "equal"])
+
+    return encoded.mapInArrow(run, "a bigint, b bigint, n bigint, equal double").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("equal").alias("equal"))
+
+
+def dependent(encoded: DataFrame, model: Model) -> list[tuple[int, int]]:
+    """Pairs of voters that agree far more than their agreement with others explains.
+
+    Among independent voters the chance-corrected agreement of a and b is about the product
+    of two reliabilities; each is the median over all partners, so copies can't lift it.
+    """
+    rows = _agreements(encoded, max(1, len(model.ability))).filter(F.col("n") >= LEAST_COMMON).collect()
+    shares = model.general[:, :-1]
+    chance = np.clip((shares**2).sum(axis=1), 0, 0.9)
+    pairs: dict[int, list[tuple[int, float]]] = {}
+    for r in rows:
+        base = (chance[r.a] + chance[r.b]) / 2
+        corrected = (r.equal / r.n - base) / (1 - base)
+        pairs.setdefault(r.a, []).append((r.b, corrected))
+        pairs.setdefault(r.b, []).append((r.a, corrected))
+    level = dict.fromkeys(pairs, 0.7)
+    for _ in range(30):
+        level = {a: float(np.clip(np.median([x / level[b] for b, x in own]), 0.05, 1)) for a, own in pairs.items()}
+    return [(a, b) for a, own in pairs.items() for b, x in own if a < b and x > 0.4 and x - level[a] * level[b] > EXCESS]
+
+
 LABELS = "image_id string, item string, aspect string, label string, posterior double, difficulty double, agreement double, votes int"
 
 
