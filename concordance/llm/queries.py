@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordance.llm import crowd, langid, leaks, lookalike, truncation
+from concordance.llm import crowd, langid, leaks, lookalike, mixing, truncation
 from concordance.session import table
 
 
@@ -122,5 +122,15 @@ def p2_voters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crowd.voters(*crowd.fit(_votes(spark, sf_dir)))
 
 
-QUERIES = {"p2_found": p2_found, "p2_consensus": p2_consensus, "p2_voters": p2_voters, "p5_found": p5_found, "p5_values": p5_values, "p3_found": p3_found, "p3_rates": p3_rates, "p3_limits": p3_limits, "p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mixture, each with its number of copies."""
+    return mixing.mixture(mixing.sizes(table(spark, sf_dir, "documents")), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target shares and the shares reached."""
+    return mixing.shares(p7_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+QUERIES = {"p7_mixture": p7_mixture, "p7_shares": p7_shares, "p2_found": p2_found, "p2_consensus": p2_consensus, "p2_voters": p2_voters, "p5_found": p5_found, "p5_values": p5_values, "p3_found": p3_found, "p3_rates": p3_rates, "p3_limits": p3_limits, "p6_found": p6_found, "p6_passages": p6_passages, "p6_items": p6_items, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments}
 SQL: dict[str, str] = {}
