@@ -14,6 +14,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 #: Token letters: CJK ideographs, Latin letters and digits (fixed value).
 TOKEN = r"[一-鿿A-Za-z0-9_]+"
@@ -38,13 +39,13 @@ def compact(x: Column) -> Column:
     return F.regexp_replace(F.lower(_empty(x)), r"[^0-9a-z一-鿿]", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(x: pd.Series) -> pd.Series:
     """Compatibility composition; null stays null."""
     return x.map(lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKC", s))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescaped(x: pd.Series) -> pd.Series:
     """HTML entities resolved, line breaks as spaces, NFKC."""
     return x.map(lambda s: s if s is None else unicodedata.normalize("NFKC", html.unescape(s)))
@@ -164,7 +165,7 @@ def joined_errors(*parts: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Longest-matching-blocks ratio; an Arrow function since no built-in has it."""
     return pd.Series([1.0 if x == y else difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +55,20 @@ def materialise(df: DataFrame) -> DataFrame:
     path = os.path.join(shared_dir(spark), f"stage-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the session's Python workers, once, wherever the driver runs."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="concordance-")) / "concordance.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(here.rglob("*.py")):
+            out.write(path, path.relative_to(here.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
