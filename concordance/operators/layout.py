@@ -5,22 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordance.functions import geometry
+from concordance.operators.ordering import numbered, running_sum
 
 #: Types that make a crop, and types that may join one (fixed values).
 PRIMARY = ("chart", "image", "table")
 CONTEXT = ("image_caption", "image_footnote", "table_caption", "table_footnote", "chart_caption", "chart_footnote")
 
 
-def sound_blocks(raw: DataFrame, page: str, order: str, block_type: str, box: str) -> DataFrame:
+def sound_blocks(raw: DataFrame, page: str, order: str, block_type: str, box: str, ties: tuple[str, ...] = ()) -> DataFrame:
     """Blocks with a type and a box of four numbers, corners in order, renumbered from 0."""
     kind = F.lower(F.trim(F.col(block_type)))
     kept = raw.withColumn("kind", kind).withColumn("box", geometry.sorted_corners(F.col(box))).filter("kind != '' and box is not null")
-    w = Window.partitionBy(page).orderBy(order)
-    return kept.withColumn("position", F.row_number().over(w) - 1)
+    return numbered(kept, [page], [order, *ties], "position").withColumn("position", (F.col("position") - 1).cast("int"))
 
 
 def attach(kinds: list[str], boxes: list[list[float]], least_overlap: float = 0.25, most_gap: float = 0.08, context: tuple[str, ...] = CONTEXT) -> list[list[int]]:
@@ -64,9 +64,8 @@ def crop_groups(blocks: DataFrame, page: str, least_overlap: float = 0.25, most_
     at blocks that are neither. Chunks are spread over tasks, and a task streams its sorted
     rows and holds one chunk at a time, so a page with a tenth of all rows is no burden.
     """
-    w = Window.partitionBy(page).orderBy("position")
     barrier = (~F.col("kind").isin(*PRIMARY, *context)).cast("int")
-    chunked = blocks.withColumn("chunk", F.sum(barrier).over(w))
+    chunked = running_sum(blocks.select(F.col(page).alias("page"), "kind", "box", "position"), ["page"], ["position"], barrier, "chunk")
 
     def grouped(name: str, rows: list[tuple]) -> list[tuple]:
         kinds, boxes, position = [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
@@ -95,9 +94,9 @@ def crop_groups(blocks: DataFrame, page: str, least_overlap: float = 0.25, most_
             yield batch_of(out)
         yield batch_of(grouped(at[0], rows) if at else [])
 
-    spread = chunked.select(F.col(page).alias("page"), "chunk", "kind", "box", "position").repartition("page", "chunk").sortWithinPartitions("page", "chunk", "position")
-    made = spread.mapInArrow(run, GROUPS)
-    return made.withColumn("group_index", F.row_number().over(Window.partitionBy("page").orderBy("group_index")))
+    spread = chunked.select("page", "chunk", "kind", "box", "position").repartition("page", "chunk").sortWithinPartitions("page", "chunk", "position")
+    made = spread.mapInArrow(run, GROUPS).withColumnRenamed("group_index", "first")
+    return numbered(made, ["page"], ["first"], "group_index").drop("first").withColumn("group_index", F.col("group_index").cast("int"))
 
 
 def crop_name(page: Column, index: Column, kind: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordance.functions import text
+from concordance.operators.ordering import numbered
 
 
 def quorum(n: Column) -> Column:
@@ -98,5 +99,4 @@ def graph_confidence(node: Column, edge: Column, consistency: Column, label: Col
 
 def renumbered(nodes: DataFrame, *order: str) -> DataFrame:
     """Nodes of each graph numbered N001.. in the given order."""
-    w = Window.partitionBy("graph").orderBy(*order)
-    return nodes.withColumn("order_index", F.row_number().over(w)).withColumn("new_id", F.format_string("N%03d", F.col("order_index")))
+    return numbered(nodes, ["graph"], list(order), "order_index").withColumn("new_id", F.format_string("N%03d", F.col("order_index")))

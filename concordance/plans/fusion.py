@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordance.functions import geometry, labels, text
-from concordance.operators import decisions, dedup, graphs, layout, matching, patches, payloads, tables, voting
+from concordance.operators import decisions, dedup, graphs, issues, layout, matching, ordering, patches, payloads, scoring, tables, voting
 from concordance.session import table
 from concordance.sources import sinks
 from concordance.streaming import incremental
@@ -184,9 +184,9 @@ def renumber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def status_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots whose status differs from the image's next one."""
-    w = Window.partitionBy("image_id").orderBy("received_at", "snapshot_id")
-    s = table(spark, sf_dir, "snapshots").select("snapshot_id", "image_id", "status", F.lead("status").over(w).alias("next_status"), F.lead("snapshot_id").over(w).alias("next_id"))
-    return s.filter("next_id is not null and status is distinct from next_status").select("snapshot_id", "status", "next_status")
+    s = table(spark, sf_dir, "snapshots").select("snapshot_id", "image_id", "status", "received_at")
+    after = ordering.with_next(s, ["image_id"], ["received_at", "snapshot_id"], {"status": "next_status", "snapshot_id": "next_id"})
+    return after.filter("next_id is not null and status is distinct from next_status").select("snapshot_id", "status", "next_status")
 
 
 def markdown_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +249,7 @@ def page_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crop_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Caption groups of every image; page headers and footers serve as captions here."""
     raw = table(spark, sf_dir, "layout_blocks").filter("image_id is not null")
-    blocks = layout.sound_blocks(raw, "image_id", "block_index", "block_type", "bbox")
+    blocks = layout.sound_blocks(raw, "image_id", "block_index", "block_type", "bbox", ("block_row_id",))
     return layout.crop_groups(blocks, "image_id", most_gap=80.0, context=(*layout.CONTEXT, "page_footer", "title"))
 
 
@@ -406,8 +406,9 @@ def gold_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def neighbour_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity of each block's text with the next one's of its image."""
-    w = Window.partitionBy("image_id").orderBy("block_index", "block_row_id")
-    rows = table(spark, sf_dir, "layout_blocks").filter("image_id is not null").select("block_row_id", F.coalesce("content", F.lit("")).alias("a"), F.coalesce(F.lead("content").over(w), F.lit("")).alias("b"))
+    blocks = table(spark, sf_dir, "layout_blocks").filter("image_id is not null").select("image_id", "block_index", "block_row_id", "content")
+    pairs = ordering.with_next(blocks, ["image_id"], ["block_index", "block_row_id"], {"content": "following"})
+    rows = pairs.select("block_row_id", F.coalesce("content", F.lit("")).alias("a"), F.coalesce("following", F.lit("")).alias("b"))
     return rows.select("block_row_id", F.round(text.bigram_jaccard(text.squeezed(F.col("a")), text.squeezed(F.col("b"))), 6).alias("bigram"), F.round(text.keyword_similarity(F.col("a"), F.col("b")), 6).alias("keyword"))
 
 
@@ -424,11 +425,39 @@ def seal_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.groupBy("image_id", "role").agg(F.count("*").alias("models"), F.count_distinct("texts").alias("readings")).filter("readings > 1")
 
 
+def model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels in the models' raw answers, in normal form."""
+    return scoring.label_rows(table(spark, sf_dir, "model_outputs"), "output_id", "raw_text")
+
+
+def label_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agreement of the labels of every image."""
+    outputs = table(spark, sf_dir, "model_outputs").filter("image_id is not null and model_name is not null")
+    rows = scoring.label_rows(outputs, "output_id", "raw_text")
+    return scoring.consensus(rows.join(outputs.select(F.col("output_id").alias("record_id"), "image_id", "model_name"), "record_id"))
+
+
+def document_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conflicts between the anchor's and another model's blocks."""
+    base, other = _document(spark, sf_dir, "anchor-pro"), _document(spark, sf_dir, "aux-layout")
+    return issues.detect(base, other, matching.align(base, other, ["image_id"]), ["image_id"])
+
+
+def judge_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on issues among the raw answers."""
+    return issues.verdicts(table(spark, sf_dir, "model_outputs"), "output_id", "raw_text")
+
+
+def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts by decision, and those that carry a patch."""
+    return judge_verdicts(spark, sf_dir).groupBy("decision").agg(F.count("*").alias("verdicts"), F.count("patch_text").alias("patches"))
+
+
 QUERIES = {f.__name__: f for f in (
     quorum_vote, graph_support, majority_first, representative_shape, representative_text, text_consistency, distinct_votes, fuse_nodes, selected_nodes, decision_gate, validation_scores, first_copies,
     edge_differences, longest_blocks, crop_identity, page_merge, renumber, status_changes, markdown_cells, table_diff, best_reader, best_overlap, page_hulls, crop_groups, reachability, node_depths, pruned_nodes,
     diagrams, graph_similarity, model_blocks, align_blocks, unmatched_blocks, page_markdown, number_units, token_usage, block_kinds, region_labels, summaries, best_snapshots, images_without_code, patched_blocks,
-    hourly_answers, latest_answers, gold_matches, neighbour_similarity, block_boxes, seal_conflicts,
+    hourly_answers, latest_answers, gold_matches, neighbour_similarity, block_boxes, seal_conflicts, model_labels, label_consensus, document_issues, judge_verdicts, verdict_counts,
 )}
 
 _SHAPES = "select node_row_id, generate_subscripts(s, 1) as pos, unnest(s) as v from (select node_row_id, list_filter(shape_votes, lambda x: x is not null and x != '') as s from fused_nodes)"
@@ -448,7 +477,14 @@ p as (select a.node_row_id, a.role as ra, b.role as rb, {_JACCARD.format('a.b',
 m as (select node_row_id, role, round(avg(score), 9) as mean_score from (select node_row_id, ra as role, score from p union all select node_row_id, rb, score from p) group by all)
 select node_row_id, role, round(mean_score, 6) as mean_score from m qualify row_number() over (partition by node_row_id order by mean_score desc, role != 'anchor-pro', role) = 1"""
 _UNITS = text.UNITS
+_VERDICTS = """
+with v as (select output_id as record_id, json_extract_string(raw_text, '$.issue_id') as issue_id, lower(trim(coalesce(json_extract_string(raw_text, '$.decision'), ''))) as d, json_extract_string(raw_text, '$.patch.text') as patch_text, trim(json_extract_string(raw_text, '$.reason')) as reason
+  from (select output_id, case when json_valid(raw_text) then raw_text end as raw_text from model_outputs where raw_text like '{%'))
+select record_id, issue_id, case when d in ('merge', 'reject_issue') then d when regexp_matches(d, '^keep_(candidate|fusion|graph_candidate)') then 'keep_candidate' when regexp_matches(d, '^(use|adopt)_') then 'use_reference' when regexp_matches(d, '^add_') then 'add_block' else 'keep_anchor' end as decision,
+  patch_text, coalesce(nullif(reason, ''), 'patch_applied') as reason from v where issue_id is not null"""
 SQL = {
+    "judge_verdicts": _VERDICTS,
+    "verdict_counts": f"select decision, count(*) as verdicts, count(patch_text) as patches from ({_VERDICTS}) group by 1",
     "quorum_vote": _FUSED,
     "graph_support": f"with q as ({_FUSED}), g as (select graph, n, count_if(status = 'fused') as fused, count_if(status = 'low_support') as low, count_if(conflict) as conflicts from q group by all) select *, case when low = 0 then false when fused = 0 or low >= fused then true else low >= 3 and low / (low + fused) >= 0.35 end as many_low from g",
     "majority_first": f"with r as ({_RANKED}) select f.node_row_id, m.v as majority, coalesce(round(m.n / m.total, 6), 0) as ratio from fused_nodes f left join (select *, sum(n) over (partition by node_row_id) as total from r qualify row_number() over (partition by node_row_id order by n desc, first) = 1) m using (node_row_id)",

@@ -7,8 +7,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from concordance.operators import dedup, graphs, layout, matching, patches, payloads, tables
+from concordance.operators import dedup, graphs, issues, layout, matching, ordering, patches, payloads, scoring, tables
 from concordance.session import table
+from concordance.functions import seals
 from concordance.sources import connectors, files, sinks
 from concordance.streaming import incremental
 
@@ -41,7 +42,7 @@ def test_caption_chains(spark):
 
 def test_crop_groups_against_whole_pages(spark):
     raw = table(spark, SF, "layout_blocks").filter("image_id is not null")
-    blocks = layout.sound_blocks(raw, "image_id", "block_index", "block_type", "bbox")
+    blocks = layout.sound_blocks(raw, "image_id", "block_index", "block_type", "bbox", ("block_row_id",))
     context = (*layout.CONTEXT, "page_footer", "title")
     got = sorted((r.page, list(r.members)) for r in layout.crop_groups(blocks, "image_id", most_gap=80.0, context=context).collect())
     want = []
@@ -282,3 +283,57 @@ def test_single_block_view(spark):
     df = spark.createDataFrame(rows, "k int, page_idx int, order_index int, block_id string, text string, box array<double>, kind string")
     (r,) = layout.single_block_view(df, ["k"]).collect()
     assert (r.text, r.box, r.kind, r.blocks) == ("one\n\ntwo", [1, 2, 9, 9], "image", 3)
+
+
+def test_running_sums_and_neighbours(spark):
+    rng = random.Random(3)
+    rows = [("hot" if rng.random() < 0.5 else None if rng.random() < 0.1 else rng.choice("abc"), k, rng.randrange(5)) for k in range(400)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, o int, v int").repartition(7)
+    got = {(r.k, r.o): r.s for r in ordering.running_sum(df, ["k"], ["o"], F.col("v"), "s").collect()}
+    want, total = {}, {}
+    for k, o, v in sorted(rows, key=lambda r: r[1]):
+        total[k] = total.get(k, 0) + v
+        want[k, o] = total[k]
+    assert got == want
+    after = {(r.k, r.o): r.n for r in ordering.with_next(df, ["k"], ["o"], {"o": "n"}).collect()}
+    for k in total:
+        own = sorted(o for kk, o, _ in rows if kk == k)
+        assert [after[k, o] for o in own] == [*own[1:], None]
+    assert ordering.numbered(df.limit(0), ["k"], ["o"], "n").count() == 0
+
+
+def test_labels_and_agreement(spark):
+    label = scoring.label_of({"image_type": "Table", "caption": " c ", "visible_text": ["a", " ", 3], "structured_label": {"kind": "odd", "content": "x"}})
+    assert (label["image_type"], label["caption"], label["visible_text"], label["kind"], len(label["warnings"])) == ("table", "c", ["a", "3"], "text", 1)
+    assert scoring.label_of({"issue_id": 1}) is None and scoring.label_of([1]) is None
+    assert scoring.structure_score(["none"] * 3, [""] * 3) == 0.95
+    assert round(scoring.structure_score(["none", "none", "text"], [""] * 3), 4) == 0.8833
+    assert scoring.structure_score([], []) == 0.0 and scoring.structure_score(["mermaid"], ["graph TD\nA --> B"]) == 0.5
+    assert scoring.structure_score(["mermaid"] * 2, ["graph TD\nA --> B"] * 2) > 0.9
+    rows = [(1, "i", "m", "seal", "c", ["a"], "none", "", "红色印章 测试有限公司"), (2, "i", "n", "seal", "c", ["a"], "none", "", "测试有限公司9"), (3, "j", "m", "table", "x", [], "text", "y", ""), (4, "j", "n", "chart", "x", [], "text", "y", "")]
+    df = spark.createDataFrame(rows, "record_id long, image_id string, model_name string, image_type string, caption string, visible_text array<string>, kind string, content string, seal_text string")
+    got = {r.image_id: r for r in scoring.consensus(df).collect()}
+    assert got["i"].stamp_only and got["i"].overall_score == 1.0
+    assert not got["j"].stamp_only and got["j"].type_agreement == 0.5 and got["j"].majority_type == "table"
+
+
+def test_seal_names(spark):
+    one = lambda *c: spark.range(1).select(*c).first()
+    L = F.lit
+    assert tuple(one(*(seals.primary(L(x)) for x in ("测试公司 12", "12 abc de", "123", "", " ABC有限 测试有限公司 ")))) == ("测试公司", "abc", "", "", "测试有限公司")
+    assert tuple(one(seals.specific(L("测试公司")), seals.specific(L("红色公章")), seals.specific(L("abcd")))) == (True, False, False)
+
+
+def test_issues_and_verdicts(spark):
+    schema = "k int, page_idx int, pos int, box array<double>, text string, kind string"
+    here = [0.0, 0.0, 10.0, 10.0]
+    base = spark.createDataFrame([(1, 0, 1, here, "abc", "image"), (1, 0, 2, [50.0, 50.0, 60.0, 60.0], "", "table")], schema)
+    other = spark.createDataFrame([(1, 0, 1, here, "xyz", "chart"), (1, 0, 2, [50.0, 50.0, 60.0, 60.0], "new", "table"), (1, 0, 3, [90.0, 90.0, 99.0, 99.0], "more", "image"), (1, 0, 4, [70.0, 90.0, 72.0, 92.0], "para", "paragraph")], schema)
+    found = issues.detect(base, other, matching.align(base, other, ["k"]), ["k"])
+    assert [(r.issue_id, r.issue_type, r.pos_b) for r in found.orderBy("issue_id").collect()] == [("I001", "type_disagreement", 1), ("I002", "missing_text", 2), ("I003", "unmatched_candidate", 3)]
+    answers = spark.createDataFrame([(1, '{"issue_id": "I001", "decision": "Use_It", "patch": {"text": "t"}}'), (2, "no json"), (3, '{"issue_id": "I002", "decision": "odd", "reason": "r"}'), (4, None), (5, '{"broken')], "r long, t string")
+    done = {r.issue_id: r for r in issues.outcomes(found, issues.verdicts(answers, "r", "t"), ["k"]).collect()}
+    assert (done["I001"].decision, done["I001"].patch_text, done["I002"].decision, done["I002"].reason, done["I003"].open) == ("use_reference", "t", "keep_anchor", "r", True)
+    conflict = lambda a, b, c=True: spark.range(1).select(issues.texts_conflict(F.array(*map(F.lit, a)), F.array(*map(F.lit, b)), c)).first()[0]
+    assert [conflict(["a b"], ["AB"]), conflict(["ab"], ["abc"]), conflict(["ab"], ["abc"], False), conflict([""], ["x"]), conflict(["ab"], ["cd"])] == [False, False, True, False, True]
