@@ -20,6 +20,20 @@ from pyspark.sql.types import DoubleType, StringType
 TOKEN = r"[一-鿿A-Za-z0-9_]+"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    Functions over arrays aren't compiled, and a value named twice in them is computed
+    twice, in a lambda once per element; bound as a lambda's variable it is computed once.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def let_two(a: Column, b: Column, body) -> Column:
+    """The same for two values."""
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda x: body(x["a"], x["b"]))
+
+
 def _empty(x: Column) -> Column:
     return F.coalesce(x, F.lit(""))
 
@@ -65,19 +79,24 @@ def bigrams(x: Column) -> Column:
 
 def jaccard(a: Column, b: Column, both_empty: float = 1.0) -> Column:
     """Of two sets as arrays."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(both_empty)).otherwise(F.size(F.array_intersect(a, b)) / union)
+    # |a or b| = |a| + |b| - |a and b| for arrays of distinct values
+    def body(x: Column, y: Column) -> Column:
+        return let(F.size(F.array_intersect(x, y)), lambda n: F.when(F.size(x) + F.size(y) == 0, F.lit(both_empty)).otherwise(n / (F.size(x) + F.size(y) - n)))
+
+    return let_two(a, b, body)
 
 
 def bigram_jaccard(a: Column, b: Column, both_empty: float = 1.0, one_empty: float = 0.0) -> Column:
     """Jaccard of the character pairs of two texts in comparable form."""
-    return F.when((F.length(a) == 0) & (F.length(b) == 0), F.lit(both_empty)).when((F.length(a) == 0) | (F.length(b) == 0), F.lit(one_empty)).otherwise(jaccard(bigrams(a), bigrams(b)))
+    def body(x: Column, y: Column) -> Column:
+        return F.when((F.length(x) == 0) & (F.length(y) == 0), F.lit(both_empty)).when((F.length(x) == 0) | (F.length(y) == 0), F.lit(one_empty)).otherwise(jaccard(bigrams(x), bigrams(y)))
+
+    return let_two(a, b, body)
 
 
 def alignment_similarity(a: Column, b: Column) -> Column:
     """For block alignment: without white space, equal or both empty 1, to four places."""
-    x, y = squeezed(a), squeezed(b)
-    return F.when(x == y, F.lit(1.0)).otherwise(F.round(bigram_jaccard(x, y), 4))
+    return let_two(squeezed(a), squeezed(b), lambda x, y: F.when(x == y, F.lit(1.0)).otherwise(F.round(bigram_jaccard(x, y), 4)))
 
 
 def keywords(x: Column) -> Column:
@@ -87,23 +106,23 @@ def keywords(x: Column) -> Column:
 
 def keyword_similarity(a: Column, b: Column) -> Column:
     """Jaccard of token runs; either empty gives 0."""
-    x, y = keywords(a), keywords(b)
-    return F.when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0)).otherwise(jaccard(x, y))
+    return let_two(keywords(a), keywords(b), lambda x, y: F.when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0)).otherwise(jaccard(x, y)))
 
 
 def char_similarity(a: Column, b: Column) -> Column:
     """Jaccard of character pairs of collapsed texts; either empty gives 0, equal 1."""
-    x, y = collapsed(a), collapsed(b)
-    return F.when((x == "") | (y == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).otherwise(bigram_jaccard(x, y))
+    return let_two(collapsed(a), collapsed(b), lambda x, y: F.when((x == "") | (y == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).otherwise(bigram_jaccard(x, y)))
 
 
 def phrase_similarity(a: Column, b: Column) -> Column:
     """The best of containment (0.45 + 0.5 length ratio), 0.6 keyword + 0.4 character, character."""
-    x, y = compact(a), compact(b)
-    ratio = F.least(F.length(x), F.length(y)) / F.greatest(F.length(x), F.length(y))
-    inside = F.when((x != "") & (y != "") & (x.contains(y) | y.contains(x)), 0.45 + 0.5 * ratio).otherwise(0.0)
-    char = char_similarity(a, b)
-    return F.when((x == "") | (y == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).otherwise(F.greatest(inside, 0.6 * keyword_similarity(a, b) + 0.4 * char, char))
+    def body(x: Column, y: Column) -> Column:
+        ratio = F.least(F.length(x), F.length(y)) / F.greatest(F.length(x), F.length(y))
+        inside = F.when((x != "") & (y != "") & (x.contains(y) | y.contains(x)), 0.45 + 0.5 * ratio).otherwise(0.0)
+        best = let(char_similarity(a, b), lambda char: F.greatest(inside, 0.6 * keyword_similarity(a, b) + 0.4 * char, char))
+        return F.when((x == "") | (y == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).otherwise(best)
+
+    return let_two(compact(a), compact(b), body)
 
 
 def list_overlap(a: Column, b: Column, similarity=phrase_similarity) -> Column:
@@ -239,5 +258,5 @@ def first_seen(values: Column, key: str = "exact") -> Column:
     """The distinct values in order, the first of equals; nulls and blanks left out."""
     rule = KEYS[key]
     kept = F.filter(values, lambda v: v.isNotNull() & (F.trim(v) != ""))
-    keys = F.transform(kept, rule)
-    return F.filter(kept, lambda v, i: F.array_position(keys, rule(v)) == i + 1)
+    keyed = let(kept, lambda vs: F.struct(vs.alias("v"), F.transform(vs, rule).alias("k")))
+    return let(keyed, lambda x: F.filter(x["v"], lambda v, i: F.array_position(x["k"], F.get(x["k"], i)) == i + 1))

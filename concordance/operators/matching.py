@@ -80,7 +80,10 @@ def best_overlap(blocks: DataFrame, key: list[str], targets: Column, step: float
     """
     at = blocks.filter("box is not null").withColumn("target", targets).withColumn("cell", F.explode(geometry.cells(F.col("box"), step)))
     t = at.filter("target").select(*key, "cell", F.col("pos").alias("target_pos"), F.col("box").alias("target_box"))
-    pairs = at.filter("not target").join(t, [*key, "cell"]).withColumn("overlap", geometry.iou(F.col("box"), F.col("target_box"))).filter("overlap > 0")
+    # of the cells that both touch only the one with the corner of their intersection counts
+    corner = lambda k: F.floor(F.greatest(F.col("box")[k], F.col("target_box")[k]) / step).cast("int")
+    met = at.filter("not target").join(t, [*key, "cell"]).filter((F.col("cell.x") == corner(0)) & (F.col("cell.y") == corner(1)))
+    pairs = met.withColumn("overlap", geometry.iou(F.col("box"), F.col("target_box"))).filter("overlap > 0")
     return pairs.groupBy(*key, "pos").agg(F.max(F.struct("overlap", (-F.col("target_pos")).alias("order"))).alias("best")).select(*key, "pos", (-F.col("best.order")).alias("target_pos"), "best.overlap")
 
 

@@ -14,49 +14,56 @@ def quorum(n: Column) -> Column:
     return F.when(n <= 2, n).otherwise(F.ceil(2 * n / 3)).cast("int")
 
 
+def _tally(values: Column) -> Column:
+    """array<struct<v, n>> of the distinct values in order of their first place."""
+    return text.let(values, lambda vs: F.transform(F.array_distinct(vs), lambda v: F.struct(v.alias("v"), F.size(F.filter(vs, lambda w: w == v)).alias("n"))))
+
+
 def majority(values: Column) -> Column:
     """The commonest value of an array; of equally common ones the first seen."""
-    count = lambda v: F.size(F.filter(values, lambda w: w == v))
-    best = F.array_max(F.transform(values, count))
-    return F.try_element_at(F.filter(values, lambda v: count(v) == best), F.lit(1))
+    ranked = F.transform(_tally(values), lambda x, i: F.struct(x["n"].alias("n"), (-i).alias("i"), x["v"].alias("v")))
+    return F.array_max(ranked)["v"]
 
 
 def majority_ratio(values: Column) -> Column:
     """Share of the commonest value; no values give 0."""
-    count = lambda v: F.size(F.filter(values, lambda w: w == v))
-    return F.when(F.size(values) == 0, 0.0).otherwise(F.array_max(F.transform(values, count)) / F.size(values))
+    return F.coalesce(F.array_max(F.transform(_tally(values), lambda x: x["n"])) / F.nullif(F.size(values), F.lit(0)), F.lit(0.0))
 
 
 def average_pairwise(values: Column, similarity) -> Column:
     """Mean similarity over all pairs of an array; one value 0.5, none 0."""
-    n = F.size(values)
-    rows = F.transform(values, lambda a, i: F.aggregate(F.transform(F.filter(values, lambda b, j: j > i), lambda b: similarity(a, b)), F.lit(0.0), lambda s, v: s + v))
-    total = F.aggregate(rows, F.lit(0.0), lambda s, v: s + v)
-    return F.when(n == 0, 0.0).when(n == 1, 0.5).otherwise(total / (n * (n - 1) / 2))
+
+    def body(vs: Column) -> Column:
+        n = F.size(vs)
+        rows = F.transform(vs, lambda a, i: F.aggregate(F.transform(F.slice(vs, i + 2, F.greatest(n - i - 1, F.lit(0))), lambda b: similarity(a, b)), F.lit(0.0), lambda s, v: s + v))
+        total = F.aggregate(rows, F.lit(0.0), lambda s, v: s + v)
+        return F.when(n == 0, 0.0).when(n == 1, 0.5).otherwise(total / (n * (n - 1) / 2))
+
+    return text.let(values, body)
 
 
 def text_consistency(votes: Column) -> Column:
     """Mean character-pair Jaccard of the collapsed non-empty votes; up to one vote 1."""
     kept = F.filter(F.transform(votes, text.collapsed), lambda v: v != "")
-    return F.when(F.size(kept) <= 1, 1.0).otherwise(average_pairwise(kept, lambda a, b: text.bigram_jaccard(a, b)))
+    return text.let(F.transform(kept, text.bigrams), lambda sets: F.when(F.size(sets) <= 1, 1.0).otherwise(average_pairwise(sets, text.jaccard)))
 
 
 def representative_shape(votes: Column) -> Column:
     """By votes, known before unknown, then the alphabet."""
-    count = lambda v: F.size(F.filter(votes, lambda w: w == v))
-    ranked = F.array_sort(F.transform(F.array_distinct(votes), lambda v: F.struct((-count(v)).alias("n"), (v == "unknown").cast("int").alias("u"), v.alias("v"))))
-    return F.coalesce(F.try_element_at(ranked, F.lit(1))["v"], F.lit("unknown"))
+    ranked = F.transform(_tally(votes), lambda x: F.struct((-x["n"]).alias("n"), (x["v"] == "unknown").cast("int").alias("u"), x["v"].alias("v")))
+    return F.coalesce(F.array_min(ranked)["v"], F.lit("unknown"))
 
 
 def representative_text(votes: Column) -> Column:
     """The group of equal collapsed texts with most votes, most visible characters, the
     longest key, then the alphabet; of its spellings the largest."""
-    kept = F.filter(votes, lambda v: v.isNotNull() & (text.collapsed(v) != ""))
-    keyed = F.transform(kept, lambda v: F.struct(text.collapsed(v).alias("k"), v.alias("v")))
-    keys = F.array_distinct(F.transform(keyed, lambda x: x["k"]))
-    ranked = F.array_sort(F.transform(keys, lambda k: F.struct((-F.size(F.filter(keyed, lambda x: x["k"] == k))).alias("n"), (-text.visible_score(k)).alias("s"), (-F.length(k)).alias("l"), k.alias("k"))))
-    best = F.try_element_at(ranked, F.lit(1))["k"]
-    return F.coalesce(F.array_max(F.transform(F.filter(keyed, lambda x: x["k"] == best), lambda x: x["v"])), F.lit(""))
+    keyed = F.filter(F.transform(F.filter(votes, lambda v: v.isNotNull()), lambda v: F.struct(text.collapsed(v).alias("k"), v.alias("v"))), lambda x: x["k"] != "")
+
+    def body(rows: Column) -> Column:
+        ranked = F.transform(_tally(F.transform(rows, lambda x: x["k"])), lambda x: F.struct((-x["n"]).alias("n"), (-text.visible_score(x["v"])).alias("s"), (-F.length(x["v"])).alias("l"), x["v"].alias("k")))
+        return text.let(F.array_min(ranked)["k"], lambda best: F.array_max(F.transform(F.filter(rows, lambda x: x["k"] == best), lambda x: x["v"])))
+
+    return F.coalesce(text.let(keyed, body), F.lit(""))
 
 
 def fuse_edges(claims: DataFrame, sources: DataFrame) -> DataFrame:
