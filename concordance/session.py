@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "concordance", master: str | None = None, **conf: str) -> SparkSession:
@@ -40,7 +43,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="concordance-")
+        local = tempfile.mkdtemp(prefix="concordance-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        named = "file://" + local
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
@@ -57,6 +62,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a derived table is broadcast.
+SMALL = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """``df`` written once and marked for broadcasting if it is small; a larger one is
+    joined by shuffle, where adaptive execution splits hot keys."""
+    written = materialise(df)
+    return F.broadcast(written) if written.limit(rows + 1).count() <= rows else written
+
+
 _SHIPPED: set[str] = set()
 
 
