@@ -40,7 +40,7 @@ FREQUENT, RARE, RARE_SLIP = 0.004, 0.0002, 0.02
 #: beyond it habits don't depend on the true label.
 SMOOTHING, MAX_TABLE = 10.0, 20_000_000
 #: Voters and aspects together; their abilities are gathered and sent to the workers.
-MAX_VOTERS = 1_000_000
+MAX_VOTERS = 20_000
 #: Two voters are dependent if so many of the items either gets wrong are wrong alike.
 COMMON_ERRORS, LEAST_ERRORS = 0.6, 15.0
 #: Or, from so many common items, if their agreement exceeds what others explain by this.
