@@ -152,6 +152,50 @@ def without_title_prefix(x: Column) -> Column:
     return F.trim(F.regexp_replace(_empty(x), r"(?iU)^\s*(?:figure|fig\.?|table|chart|图|表|图表)\s*\d+(?:[.\-]\d+)*\s*[:：.、\-]?\s*", ""))
 
 
+def _contained(a: Column, b: Column, base: float, share: float) -> Column:
+    """``base`` + ``share`` of the length ratio if one compact text holds the other."""
+
+    def body(x: Column, y: Column) -> Column:
+        ratio = F.least(F.length(x), F.length(y)) / F.greatest(F.length(x), F.length(y))
+        return F.when((x == "") | (y == ""), 0.0).when(x == y, 1.0).when(x.contains(y) | y.contains(x), base + share * ratio).otherwise(char_similarity(a, b))
+
+    return let_two(compact(a), compact(b), body)
+
+
+def title_alignment(a: Column, b: Column) -> Column:
+    """Of two titles without their numbering: containment counts 0.75 and more."""
+    return _contained(without_title_prefix(a), without_title_prefix(b), 0.75, 0.25)
+
+
+def visible_alignment(a: Column, b: Column) -> Column:
+    """Of a key text and a visible one: containment counts 0.45 and more."""
+    return _contained(a, b, 0.45, 0.5)
+
+
+def best_candidate(x: Column, candidates: Column, similarity=visible_alignment, least: float = 0.5) -> Column:
+    """The candidate most like ``x``, the first of equals, if it reaches ``least``, else ``x``."""
+    scored = F.transform(candidates, lambda c, i: F.struct(similarity(x, c).alias("s"), (-i).alias("i"), c.alias("c")))
+    return let(F.array_max(scored), lambda b: F.when(b["s"] >= least, b["c"]).otherwise(x))
+
+
+def aligned_keys(keys: Column, visible: Column, most: int = 10) -> Column:
+    """Key texts replaced by the visible texts they mean, distinct, ten at most; filled up
+    from the visible ones while there are fewer than three."""
+    own = first_seen(F.transform(keys, lambda k: best_candidate(k, visible)), "squeezed")
+    return let_two(own, first_seen(visible, "squeezed"), lambda k, v: F.slice(F.when(F.size(k) >= 3, k).otherwise(F.slice(F.array_distinct(F.concat(k, v)), 1, F.greatest(F.size(k), F.lit(3)))), 1, most))
+
+
+def excerpt(lines: Column, terms: Column, most: int = 20) -> Column:
+    """Lines that hold a term, with one before and after, the first and the last line too."""
+
+    def body(rows: Column) -> Column:
+        hit = F.transform(rows, lambda r: F.exists(terms, lambda t: (t != "") & r.contains(t)))
+        near = lambda h, i: F.coalesce(F.get(h, i - 1), F.lit(False)) | F.get(h, i) | F.coalesce(F.get(h, i + 1), F.lit(False))
+        return let(hit, lambda h: F.slice(F.filter(rows, lambda r, i: near(h, i) | (i == 0) | (i == F.size(rows) - 1)), 1, most))
+
+    return let(lines, body)
+
+
 def ratio_similarity(a: Column, b: Column) -> Column:
     """Smaller over larger; both 0 gives 1, one 0 gives 0."""
     return F.when((a == 0) & (b == 0), 1.0).when((a == 0) | (b == 0), 0.0).otherwise(F.least(a, b) / F.greatest(a, b))

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from concordance.functions import geometry, labels, text
+from concordance.functions import geometry, labels, predicates, text
 from concordance.operators import decisions, voting
 
 
@@ -116,3 +116,20 @@ def test_similarities_are_symmetric_and_bounded(spark, pairs):
     for similarity in (text.alignment_similarity, text.char_similarity, text.phrase_similarity, text.keyword_similarity):
         for x, y, z in df.select(similarity(a, b), similarity(b, a), similarity(a, a)).collect():
             assert 0 <= x <= 1 and abs(x - y) < 1e-9 and z in (0.0, 1.0)
+
+
+def test_predicates(one):
+    p = predicates
+    table = L("\n| a | b |\n|---|---|\n| 1 | 2 |")
+    code = L("graph TD\nA --> B")
+    assert list(one(p.looks_like_diagram(code), p.looks_like_diagram(L("a - b")), p.looks_like_diagram(null()), p.looks_like_table(table), p.looks_like_table(L("x\n| a |\n|-|")), p.looks_like_table(null()))) == [True, False, False, True, False, False]
+    assert list(one(p.flowchart_block(L("image"), null(), code), p.flowchart_block(L("table"), L("flowchart"), null()), p.flowchart_block(L("table"), L("flowchart"), null(), True), p.seal_block(L("image"), null(), strings("body", "seal")), p.seal_block(L("chart"), L("seal"), strings()), p.chart_with_table(L("chart"), null(), table), p.table_block(null(), table))) == [True, False, True, True, False, True, True]
+    assert list(one(p.auxiliary_node(L("x"), L("Merge2")), p.auxiliary_node(L("hub"), L("hub")), p.auxiliary_node(L("x"), L("pay")), p.continuous(strings("N001", "N002")), p.continuous(strings("N001", "N003")), p.continuous(strings()), p.worth_adding(L("image"), L("seal")), p.worth_adding(L("image"), null()), p.complete_answer(L(True), null(), code), p.complete_answer(L(True), L("length"), code))) == [True, True, False, True, False, False, True, False, True, False]
+
+
+def test_alignment_to_visible_text(one):
+    visible = strings("Total cost", "Net weight", "Page 3")
+    assert one(text.title_alignment(L("Figure 2: Cost"), L("Cost")), text.title_alignment(L("Cost"), L("Total cost")))[0:2] == (1.0, pytest.approx(0.75 + 0.25 * 4 / 9))
+    assert one(text.best_candidate(L("cost"), visible), text.best_candidate(L("zzz"), visible), text.best_candidate(L("x"), strings()))[0:3] == ("Total cost", "zzz", "x")
+    assert one(text.aligned_keys(strings("cost", "total  cost"), visible))[0] == ["Total cost", "Net weight", "Page 3"]
+    assert one(text.excerpt(strings("head", "a", "b", "hit", "c", "d", "tail"), strings("hit", "")))[0] == ["head", "b", "hit", "c", "tail"]
