@@ -126,6 +126,15 @@ def _padded(column: pa.Array, fill: float, kind: type) -> tuple[np.ndarray, np.n
     return out, mask
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch by the number of its items' candidates, so that few items have empty places."""
+    sizes = np.diff(batch.column(5).offsets.to_numpy())
+    for low, high in ((1, 1), (2, 2), (3, 4), (5, np.inf)):
+        own = np.flatnonzero((sizes >= low) & (sizes <= high))
+        if len(own):
+            yield batch.take(pa.array(own))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -213,9 +222,7 @@ def _statistics(encoded: DataFrame, model: Model, pairs: bool) -> DataFrame:
         sums = np.zeros((4, size))
         slips = np.zeros(model.habits.size)
         errors: dict[int, np.ndarray] = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for batch in batches for part in _parts(batch)):
             p = infer(batch, model)
             easy = p.easiness[:, None]
             slips += _slips(p, model)
@@ -350,9 +357,7 @@ def consensus(encoded: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = given.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for batch in batches for part in _parts(batch)):
             p = infer(batch, model)
             count = p.mask.sum(axis=1)
             tally = np.stack([((p.codes == c) & p.mask).sum(axis=1) for c in range(p.posterior.shape[1])], axis=1)
