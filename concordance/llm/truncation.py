@@ -3,9 +3,11 @@
 Per source a right-censored log-normal length distribution is fitted by maximum likelihood
 (EM on the sufficient statistics of a length histogram, for characters and for UTF-8 bytes).
 Lengths that hold far more values than their surroundings are candidate limits; a value at
-a limit is censored with probability 1 - expected / seen. Elsewhere the prior is the
-source's rate of transfers broken off, estimated in the same EM. The posterior combines
-this prior with the evidence of the ending: an ending that a whole value can't have
+a limit is censored with probability 1 - expected / seen, or less where the endings at the
+limit hold more sound ones than cutting leaves. How often a cut leaves a sound ending is
+estimated from values with a sound one, each cut at a place in its second half. Elsewhere
+the prior is the source's rate of transfers broken off. The posterior combines this prior
+with the evidence of the ending: an ending that a whole value can't have
 (open fence, bracket or quotation, half a table row, no end of sentence, an arrow without
 a target, a node that no edge uses) or a sound one. Last lines without an end mark, such as
 signatures, are sound if their shape is common in the whole table.
@@ -20,6 +22,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +33,10 @@ from pyspark.sql import functions as F
 
 from concordance.session import materialise, small
 
-#: P(broken ending | cut), P(broken ending | whole).
-BROKEN_IF_CUT, BROKEN_IF_WHOLE = 0.97, 0.002
+#: P(broken ending | cut) before any trial, the trials it weighs, P(broken ending | whole).
+BROKEN_IF_CUT, TRIALS, BROKEN_IF_WHOLE = 0.97, 100, 0.002
+#: The least prior of a cut, and the greatest off the limits.
+LEAST_PRIOR, MOST_OFF_LIMIT = 0.005, 0.5
 #: A length is a candidate limit from so many values, and so many times its surroundings.
 LEAST_AT_LIMIT, SPIKE = 8, 4.0
 #: Share of a table from which the shape of a last line is common, and the least count.
@@ -123,18 +128,29 @@ def code_ending(code: str) -> tuple[str, str | None]:
 
 
 ENDINGS = {"text": text_ending, "code": code_ending}
-FEATURES = "source_table string, record_id bigint, source string, chars bigint, bytes bigint, ending string, shape string"
+FEATURES = "source_table string, record_id bigint, source string, chars bigint, bytes bigint, ending string, shape string, trial string, trial_shape string"
+
+
+def _cut(text: str) -> str:
+    """The text cut at a place in its second half that its content chooses."""
+    half = len(text) // 2
+    return text[: half + zlib.crc32(text.encode("utf-8", "replace")) % (len(text) - half)]
 
 
 def features(df: DataFrame, source_table: str, record: str, value: str, source: str, kind: str) -> DataFrame:
-    """Lengths and the evidence of the ending of every value that isn't null or empty."""
+    """Lengths and the evidence of the ending of every value that isn't null or empty.
+
+    ``trial`` is the ending of a sound value after a cut in its second half.
+    """
     judge = ENDINGS[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            judged = [judge(t) for t in batch.column(4).to_pylist()]
+            values = batch.column(4).to_pylist()
+            judged = [judge(t) for t in values]
+            judged = [j + (judge(_cut(t)) if j[0] != "broken" and len(t) > 1 else (None, None)) for t, j in zip(values, judged)]
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array([source_table] * n), *(batch.column(k) for k in range(4)), pa.array([j[0] for j in judged], pa.string()), pa.array([j[1] for j in judged], pa.string())], [x.split()[0] for x in FEATURES.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array([source_table] * n), *(batch.column(k) for k in range(4)), *(pa.array([j[k] for j in judged], pa.string()) for k in range(4))], [x.split()[0] for x in FEATURES.split(", ")])
 
     text = F.col(value)
     narrow = df.filter(text.isNotNull() & (text != "")).select(
@@ -227,15 +243,22 @@ def posteriors(found: DataFrame) -> DataFrame:
     common = shapes.join(total, "source_table").filter((F.col("n") >= LEAST_COMMON) & (F.col("n") >= COMMON * F.col("total"))).select("source_table", "shape", F.lit(True).alias("common"))
     broken = (F.col("ending") == "broken") | ((F.col("ending") == "line") & F.col("common").isNull())
     judged = found.join(F.broadcast(common), ["source_table", "shape"], "left").withColumn("broken", broken)
-    fitted = limits(found).groupBy("source_table", "source").agg(F.collect_list(F.struct("unit", "limit", "reach", "censoring")).alias("limits"))
-    near = F.transform("limits", lambda x: F.when(F.when(x["unit"] == "chars", F.col("chars")).otherwise(F.col("bytes")).between(x["limit"] - x["reach"] + 1, x["limit"] + F.when(x["unit"] == "bytes", 2).otherwise(0)), x["censoring"]))
-    at_limit = F.array_max(near)
-    # off the limits: the share of broken endings of the source, less those of whole values
-    rate = judged.groupBy("source_table", "source").agg(F.avg(F.col("broken").cast("double")).alias("rate"))
-    transfer = F.least(F.lit(0.5), F.greatest(F.lit(0.005), (F.col("rate") - BROKEN_IF_WHOLE) / (BROKEN_IF_CUT - BROKEN_IF_WHOLE)))
-    prior = F.least(F.lit(0.97), F.coalesce(at_limit, transfer))
-    joined = judged.join(small(rate.join(fitted, ["source_table", "source"], "left")), ["source_table", "source"]).withColumn("prior", prior).withColumn("at_limit", at_limit.isNotNull())
-    cut = F.when(F.col("broken"), BROKEN_IF_CUT).otherwise(1 - BROKEN_IF_CUT) * F.col("prior")
+    after = common.select("source_table", F.col("shape").alias("trial_shape"), F.col("common").alias("trial_common"))
+    tried = judged.filter("not broken and trial is not null").join(F.broadcast(after), ["source_table", "trial_shape"], "left")
+    sound = (F.col("trial") == "sound") | ((F.col("trial") == "line") & F.col("trial_common").isNotNull())
+    missed = tried.groupBy("source_table").agg(((F.sum(sound.cast("int")) + TRIALS * (1 - BROKEN_IF_CUT)) / (F.count("*") + TRIALS)).alias("missed"))
+    fitted = limits(found).groupBy("source_table", "source").agg(F.collect_list(F.struct("censoring", "unit", "limit", "reach")).alias("limits"))
+    near = F.transform("limits", lambda x: F.when(F.when(x["unit"] == "chars", F.col("chars")).otherwise(F.col("bytes")).between(x["limit"] - x["reach"] + 1, x["limit"] + F.when(x["unit"] == "bytes", 2).otherwise(0)), x))
+    at = judged.join(small(fitted), ["source_table", "source"], "left").withColumn("at", F.array_max(near))
+    # off the limits unit and limit are '' and 0
+    placed = at.withColumn("unit", F.coalesce("at.unit", F.lit(""))).withColumn("limit", F.coalesce("at.limit", F.lit(0))).withColumn("censoring", F.col("at.censoring")).drop("limits", "at")
+    keys = ["source_table", "source", "unit", "limit"]
+    # the share of broken endings at a place, less those of whole values, tells the share of cuts there
+    share = placed.groupBy(*keys).agg(F.avg(F.col("broken").cast("double")).alias("share")).join(F.broadcast(missed), "source_table", "left").withColumn("missed", F.coalesce("missed", F.lit(1 - BROKEN_IF_CUT)))
+    told = (F.col("share") - BROKEN_IF_WHOLE) / F.greatest(F.lit(0.1), 1 - F.col("missed") - BROKEN_IF_WHOLE)
+    prior = F.greatest(F.lit(LEAST_PRIOR), F.least(F.coalesce("censoring", F.lit(MOST_OFF_LIMIT)), told))
+    joined = placed.join(small(share), keys).withColumn("prior", prior).withColumn("at_limit", F.col("censoring").isNotNull())
+    cut = F.when(F.col("broken"), 1 - F.col("missed")).otherwise(F.col("missed")) * F.col("prior")
     whole = F.when(F.col("broken"), BROKEN_IF_WHOLE).otherwise(1 - BROKEN_IF_WHOLE) * (1 - F.col("prior"))
     return joined.withColumn("posterior", cut / (cut + whole)).select("source_table", "record_id", "source", "chars", "bytes", "at_limit", "prior", "broken", "posterior")
 

@@ -66,6 +66,34 @@ def test_held_out_cuts(spark):
     assert {r.record_id for r in found.select("record_id").collect()} >= {9004} and found.filter("record_id in (9001, 9002)").count() == 0
 
 
+def _at_limit(spark, whole_at_limit, transfers):
+    """600 values cut at 500 characters, others whole; some whole ones just as long as a cut one."""
+    rng = np.random.default_rng(11)
+    words = lambda: "".join("".join(rng.choice(list("abcdefgh"), rng.integers(3, 9))) + (". " if rng.random() < 0.15 else " ") for _ in range(200))
+    rows = [(k, words()[:500], "s") for k in range(600)]
+    rows += [(1000 + k, words()[: int(np.exp(rng.normal(5.4, 0.4)))].rstrip() + ".", "s") for k in range(1400)]
+    rows += [(3000 + k, words()[:498] + "x.", "s") for k in range(whole_at_limit)]
+    rows += [(5000 + k, words()[:313] + "x", "s") for k in range(transfers)]
+    df = spark.createDataFrame([r for r in rows if r[0] < 1000 or r[0] >= 3000 or len(r[1]) < 500], "rid long, txt string, src string")
+    sound = {k for k, text, _ in rows if k < 1000 and t.text_ending(text)[0] == "sound"}
+    return t.features(df, "s", "rid", "txt", "src", "text"), sound
+
+
+def test_censoring_at_a_limit_decides(spark, monkeypatch):
+    found, sound = _at_limit(spark, 0, 0)
+    cut = lambda: {r.record_id for r in t.posteriors(found).filter("posterior > 0.5").collect()}
+    assert len(sound) > 5 and cut() == set(range(600))
+    fit = t.fit_censored
+    monkeypatch.setattr(t, "fit_censored", lambda *a: [{**x, "censoring": 0.5} for x in fit(*a)])
+    assert cut() == set(range(600)) - sound
+
+
+def test_whole_values_as_long_as_cut_ones_stay_whole(spark):
+    found, sound = _at_limit(spark, 120, 5)
+    got = {r.record_id for r in t.posteriors(found).filter("posterior > 0.5").collect()}
+    assert got == set(range(600)) - sound | set(range(5000, 5005))
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "rid long, txt string, src string")
     assert t.posteriors(t.features(df, "s", "rid", "txt", "src", "text")).count() == 0
