@@ -155,6 +155,8 @@ def load_rows(judged: DataFrame, kinds: DataFrame) -> DataFrame:
 
 _WS = r"[ \t\n\r]*+"
 _STR = r'"(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
+#: A member's name without escapes, so that it reads as it is written.
+_NAME = r'"[^"\\\x00-\x1f]*+"'
 _NUM = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
 #: The shapes a node may have (fixed values).
 SHAPES = ("rectangle", "diamond", "ellipse", "rounded", "unknown")
@@ -168,12 +170,17 @@ def _json_value(depth: int) -> str:
     return rf"(?:{scalar}|\[{_WS}(?:{inner}{_WS}(?:,{_WS}{inner}{_WS})*+)?\]|\{{{_WS}(?:{_STR}{_WS}:{_WS}{inner}{_WS}(?:,{_WS}{_STR}{_WS}:{_WS}{inner}{_WS})*+)?\}})"
 
 
-def _members(special: dict[str, str], depth: int) -> str:
-    """An object whose named members match their own patterns; others hold any value."""
+def _members(special: dict[str, str], depth: int, needed: bool = False) -> str:
+    """An object whose named members match their own patterns; others hold any value.
+
+    With ``needed`` every named member occurs.
+    """
     names = "|".join(map(re.escape, special))
     each = "|".join(rf'"{re.escape(k)}"{_WS}:{_WS}{v}' for k, v in special.items())
-    member = rf'(?:{each}|(?!"(?:{names})"){_STR}{_WS}:{_WS}{_json_value(depth)}){_WS}'
-    return rf"\{{{_WS}(?:{member}(?:,{_WS}{member})*+)?\}}"
+    member = rf'(?:{each}|(?!"(?:{names})"){_NAME}{_WS}:{_WS}{_json_value(depth)}){_WS}'
+    plain = rf"{_NAME}{_WS}:{_WS}{_json_value(depth)}{_WS},{_WS}"
+    there = "".join(rf'(?=\{{{_WS}(?:{plain})*?"{re.escape(k)}"{_WS}:)' for k in special) if needed else ""
+    return rf"{there}\{{{_WS}(?:{member}(?:,{_WS}{member})*+)?\}}"
 
 
 def _array(item: str) -> str:
@@ -181,8 +188,11 @@ def _array(item: str) -> str:
 
 
 def payload_patterns() -> dict[str, re.Pattern]:
-    """The whole-payload pattern and the pieces its failures are narrowed down with."""
-    node = _members({"node_id": r'"N[0-9]++"', "order_index": r"[1-9][0-9]*+(?![.eE0-9])", "shape": '"(?:' + "|".join(SHAPES) + ')"'}, 1)
+    """The whole-payload pattern and the pieces its failures are narrowed down with.
+
+    A payload that matches is well-formed and its nodes are valid.
+    """
+    node = _members({"node_id": r'"N[0-9]++"', "order_index": r"[1-9][0-9]*+(?![.eE0-9])", "shape": '"(?:' + "|".join(SHAPES) + ')"'}, 1, needed=True)
     edge = _members({"source": _STR, "target": _STR}, 1)
     whole = _WS + _members({"nodes": _array(node), "edges": _array(edge)}, 2) + _WS
     return {k: re.compile(v) for k, v in {"whole": whole, "member": rf"{_STR}{_WS}:{_WS}", "node": node, "edge": edge, "scalar": f"(?:{_STR}|{_NUM}|true|false|null)", "punct": r"[ \t\n\r{}\[\],]"}.items()}
@@ -208,9 +218,11 @@ def judge_payload(text: str | None, p: dict[str, re.Pattern]) -> tuple[str | Non
     """(reason, broken field) of one payload; (None, None) if it is sound."""
     if text is None:
         return "broken_json", None
-    matched = p["whole"].fullmatch(text) is not None
+    if p["whole"].fullmatch(text):
+        value = json.loads(text, parse_int=str)
+        return _edge_ends(value.get("edges", []), {n["node_id"] for n in value.get("nodes", [])})
     try:
-        value = json.loads(text, parse_constant=None if matched else _reject_constant)
+        value = json.loads(text, parse_constant=_reject_constant)
     except (ValueError, RecursionError):
         return "broken_json", _broken_at(text, p)
     value = value if isinstance(value, dict) else {}
@@ -228,6 +240,11 @@ def judge_payload(text: str | None, p: dict[str, re.Pattern]) -> tuple[str | Non
         if shape not in SHAPES:
             return "invalid_node", f"nodes[{k}].shape"
         known.add(ident)
+    return _edge_ends(edges, known)
+
+
+def _edge_ends(edges: list, known: set[str]) -> tuple[str | None, str | None]:
+    """The first end of an edge that is no known node."""
     for k, e in enumerate(edges):
         for end in ("source", "target"):
             found = e.get(end) if isinstance(e, dict) else None

@@ -181,6 +181,17 @@ def test_payloads(text, reason, field):
         assert got[1] == field
 
 
+def test_a_match_settles_the_nodes():
+    p = rowguard.payload_patterns()
+    sound = json.dumps(GOOD)
+    assert p["whole"].fullmatch(sound)
+    for text in ('{"nodes": [{}]}', '{"nodes": [{"node_id": "N1", "shape": "diamond"}]}', sound.replace('"text"', '"\\u0073hape"'), sound.replace('"node_order_rule"', '"\\u006eodes"'), changed(["nodes", 0, "order_index"], 0)):
+        assert not p["whole"].fullmatch(text), text
+        assert rowguard.judge_payload(text, p)[0] == ("invalid_node" if "u006e" not in text else None), text
+    assert rowguard.judge_payload(changed(["nodes", 0, "shape"], ""), {**p, "whole": re.compile(".*", re.S)}) == (None, None)
+    assert rowguard.judge_payload(changed(["edges", 0, "target"], "N3"), p) == ("unknown_edge_end", "edges[0].target")
+
+
 def test_whole_pattern_decides_most_payloads(spark):
     p = rowguard.payload_patterns()["whole"]
     texts = [r.payload for r in table(spark, SF, "visual_graphs").select("payload").collect()]
