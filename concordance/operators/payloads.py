@@ -25,8 +25,8 @@ CAPTIONS, FOOTNOTES = ("captions", "image_caption", "table_caption", "chart_capt
 def repaired(text: str | None) -> object:
     """The JSON value in a text, or None.
 
-    Fences and words before it are passed over; a value that was cut short is closed after
-    the last complete member.
+    Fences and words before it are passed over; a value that was cut short or is damaged is
+    closed after the last complete member before the damage, wherever that is.
     """
     if not text:
         return None
@@ -42,10 +42,13 @@ def repaired(text: str | None) -> object:
     text = text[min(starts) :]
     try:
         return json.JSONDecoder().raw_decode(text)[0]
+    except json.JSONDecodeError as error:
+        # whatever is closed after the damage holds it
+        end = error.pos
     except (ValueError, RecursionError):
-        pass
-    stack: list[str] = []
-    cuts: list[tuple[int, str]] = []
+        end = len(text)
+    closing: tuple | None = None  # the brackets to close, innermost first
+    cuts: list[tuple[int, tuple | None]] = []
     quoted = escaped = False
     for k, c in enumerate(text):
         if quoted:
@@ -54,16 +57,22 @@ def repaired(text: str | None) -> object:
         if c == '"':
             quoted, escaped = True, False
         elif c in "{[":
-            stack.append("}" if c == "{" else "]")
-            cuts.append((k + 1, "".join(reversed(stack))))
-        elif c in "}]" and stack:
-            stack.pop()
-            cuts.append((k + 1, "".join(reversed(stack))))
+            closing = ("}" if c == "{" else "]", closing)
+            cuts.append((k + 1, closing))
+        elif c in "}]" and closing:
+            closing = closing[1]
+            cuts.append((k + 1, closing))
         elif c == ",":
-            cuts.append((k, "".join(reversed(stack))))
-    for at, close in cuts[: -65 if len(cuts) > 64 else None : -1]:
+            cuts.append((k, closing))
+    for at, closing in reversed(cuts):
+        if at > end:
+            continue
+        close = []
+        while closing:
+            close.append(closing[0])
+            closing = closing[1]
         try:
-            return json.loads(text[:at] + close)
+            return json.loads(text[:at] + "".join(close))
         except (ValueError, RecursionError):
             continue
     return None

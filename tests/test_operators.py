@@ -111,6 +111,12 @@ def test_json_repair(given, want):
     assert payloads.repaired(given) == want
 
 
+def test_json_repair_far_from_the_end():
+    blocks = ", ".join(f'{{"block_id": "b{k}"}}' for k in range(300))
+    damaged = '{"blocks": [{"block_id": "a"}, {"block_id" "x"}, ' + blocks + "]}"
+    assert payloads.repaired(damaged) == {"blocks": [{"block_id": "a"}, {}]}
+
+
 def test_payload_shapes():
     block = {"type": "text", "text": "t"}
     for wrapped in ({"data": {"content_list": [block]}}, {"result": {"payload": {"content_list_v2": [[block]]}}}, {"extraction_results": [{"page": 1, "json_res": json.dumps([block])}]}, {"pdf_info": [{"page_idx": 0, "para_blocks": [block]}]}, [block], {"blocks": [block]}):
