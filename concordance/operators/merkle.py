@@ -59,7 +59,7 @@ class _Walker:
         if isinstance(value, list):
             return "[" + ",".join([self.walk(v, parent, owner, field, k) for k, v in enumerate(value)]) + "]"
         if isinstance(value, str):
-            head = value[:64].lstrip()[:1]
+            head = value[:1] if value[:1] > " " else value.lstrip()[:1]
             if head == "{" or head == "[":
                 try:
                     inner = json.loads(value)

@@ -60,3 +60,9 @@ def test_identity_is_the_content(spark):
     assert store.count() == bridged.select("object_hash").distinct().count() == 5
     assert bridged.count() == 9
     assert {r.ordinal for r in bridged.filter("field = 'x' and record_id = 1").collect()} == {1}
+
+
+def test_json_after_many_blanks_is_opened():
+    walker = merkle._Walker(("id",), False)
+    walker.walk({"a": " " * 70 + '{"id": 7}', "b": "\n" * 64 + '[{"id": 8}]', "c": " " * 70 + "x"}, -1, "", "", 0)
+    assert [row[6] for row in walker.rows] == [None, "7", "8"]
