@@ -34,7 +34,10 @@ RUN = 8
 #: Items searched for at once; more are searched in further passes over the corpus.
 ITEMS_AT_ONCE = 20_000
 
-_TAG = re.compile(r"<[^<>\n]{0,80}>|\[\d\d?:\d\d\]")
+#: Short tags of any form; longer ones, also over lines, by a name and attributes; times.
+_TAG = re.compile(
+    r"""<[^<>\n]{0,80}>|</?[A-Za-z][\w:.-]*+(?:\s++[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>=]++))?|\s*+/)*+\s*+>|\[\d\d?:\d\d\]"""
+)
 _CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 _SPLIT = re.compile(r"[\s|/\\_#*>~`=—–-]+")
 

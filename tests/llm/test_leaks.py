@@ -82,3 +82,12 @@ def test_items_in_blocks(spark, monkeypatch):
     want = {tuple(r) for r in p6_found(spark, "/root/testdata/sf0.01").collect()}
     monkeypatch.setattr(leaks, "ITEMS_AT_ONCE", 100)
     assert {tuple(r)[:2] for r in leaks.leaks(docs, items).collect()} == want and want
+
+
+def test_long_tags_and_tags_over_lines_leave_nothing():
+    style = "; ".join(f"margin-{k}: {k}px" for k in range(12))
+    for tag in (f'<span style="{style}">', '<a\n  href="x y z"\n  hidden>', f"<td class='{style}' nowrap data-a=b/>", "<br\n/>"):
+        assert leaks.tokens(f"one {tag}two</span> three") == ["one", "two", "three"], tag
+    prose = "one, two. " * 20
+    assert len(leaks.tokens(f"a <b, {prose}> c")) == 43
+    assert leaks.tokens("<a " * 50_000)[-1] == "a"
