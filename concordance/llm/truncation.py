@@ -24,6 +24,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -51,7 +52,12 @@ _NUMBER_CUT = re.compile(r"(?:^|[^\d.,])0\.\Z")
 def shape(line: str) -> str:
     """A line with names and numbers put out of it; plain words and sentences stay as they are."""
     form = re.sub(r"[^\W_]+(?:-[^\W_]+)*", lambda m: "9" if m.group().isdigit() else "w", line.strip())
-    return (line.strip() if re.search(r"\A[w9 ]*\Z|[.!?。！？] ", form) else form)[:60]
+    return _key(line.strip() if re.search(r"\A[w9 ]*\Z|[.!?。！？] ", form) else form)
+
+
+def _key(line: str) -> str:
+    """The line itself, or the hash of a long one."""
+    return line if len(line) <= 60 else blake2b(line.encode("utf-8", "replace"), digest_size=16).hexdigest()
 
 
 def _row_cells(line: str) -> int:
@@ -124,7 +130,7 @@ def code_ending(code: str) -> tuple[str, str | None]:
     if text == "end" or _NODE.fullmatch(last):
         return "sound", None
     # comments and styles end freely: only what is common as a last line is whole
-    return ("line", text[:60]) if text.startswith(("%%", "classDef", "style", "linkStyle", "click")) else ("broken", None)
+    return ("line", _key(text)) if text.startswith(("%%", "classDef", "style", "linkStyle", "click")) else ("broken", None)
 
 
 ENDINGS = {"text": text_ending, "code": code_ending}

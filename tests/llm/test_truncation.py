@@ -66,6 +66,15 @@ def test_held_out_cuts(spark):
     assert {r.record_id for r in found.select("record_id").collect()} >= {9004} and found.filter("record_id in (9001, 9002)").count() == 0
 
 
+def test_long_last_lines_are_compared_whole():
+    graph = 'graph TD\n  A["x"]\n  B["y"]\n  A --> B\n'
+    style = "classDef hot fill:#f96,stroke:#333,stroke-width:4px,color:#000,font-size:12px"
+    whole, cut = t.code_ending(graph + style), t.code_ending(graph + style[:70])
+    assert whole[0] == cut[0] == "line" and whole[1] != cut[1] and whole == t.code_ending(graph + style + "\n")
+    long = "Note: " + "w-" * 40
+    assert t.shape(long + "? x") != t.shape(long + "? y")
+
+
 def _at_limit(spark, whole_at_limit, transfers):
     """600 values cut at 500 characters, others whole; some whole ones just as long as a cut one."""
     rng = np.random.default_rng(11)
