@@ -6,6 +6,7 @@ import re
 import unicodedata
 from collections import Counter, deque
 from collections.abc import Iterator
+from itertools import count
 
 import pandas as pd
 import pyarrow as pa
@@ -122,18 +123,19 @@ def reachable(edges: DataFrame, rounds: int = 30) -> DataFrame:
     return paths
 
 
-def depths(nodes: DataFrame, edges: DataFrame, base: int = 1, rounds: int = 1000) -> DataFrame:
+def depths(nodes: DataFrame, edges: DataFrame, base: int = 1) -> DataFrame:
     """(graph, node_id, depth): steps from the nearest root, roots have ``base``.
 
     ``nodes``: graph, node_id, order_index. A graph without roots and nodes that no root
-    reaches have their order number, 1 at least.
+    reaches have their order number, 1 at least. One round per step, until nothing new is
+    found; a found node never returns, so the rounds end.
     """
     known = edges.join(nodes.select("graph", F.col("node_id").alias("source")), ["graph", "source"], "left_semi").join(nodes.select("graph", F.col("node_id").alias("target")), ["graph", "target"], "left_semi").select("graph", "source", "target").distinct()
     known = materialise(known)
     roots = nodes.join(known.select("graph", F.col("target").alias("node_id")), ["graph", "node_id"], "left_anti")
     front = materialise(roots.select("graph", "node_id", F.lit(base).alias("depth")))
     found = front
-    for step in range(1, rounds):
+    for step in count(1):
         nxt = front.join(known, (front.graph == known.graph) & (front.node_id == known.source)).select(known.graph, F.col("target").alias("node_id")).distinct()
         front = materialise(nxt.join(found.select("graph", "node_id"), ["graph", "node_id"], "left_anti").withColumn("depth", F.lit(base + step)))
         if front.isEmpty():

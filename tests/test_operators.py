@@ -1,5 +1,6 @@
 """Grouped operators against values worked out by hand and against brute force."""
 
+import inspect
 import itertools
 import json
 import random
@@ -138,6 +139,14 @@ def test_blocks_of_answers(spark):
 # --- graphs ------------------------------------------------------------------------------
 
 
+def test_depths_have_no_number_of_rounds(spark, monkeypatch):
+    monkeypatch.setattr(graphs, "range", lambda low, high: range(low, min(high, 3)), raising=False)
+    chain = [(f"n{k}", f"n{k + 1}") for k in range(7)]
+    nodes = spark.createDataFrame([("g", f"n{k}", 1) for k in range(8)], "graph string, node_id string, order_index int")
+    got = {r.node_id: r.depth for r in graphs.depths(nodes, edges_df(spark, chain)).collect()}
+    assert got == {f"n{k}": k + 1 for k in range(8)} and "rounds" not in inspect.signature(graphs.depths).parameters
+
+
 def edges_df(spark, pairs):
     return spark.createDataFrame([("g", a, b) for a, b in pairs], "graph string, source string, target string")
 
