@@ -36,9 +36,9 @@ PASSES, INNER = 14, 4
 #: them) have habits of their own. Any other label is a priori RARE, and as a slip of the
 #: true label, say a letter misread, RARE_SLIP.
 FREQUENT, RARE, RARE_SLIP = 0.004, 0.0002, 0.02
-#: Votes that the general habits weigh against a voter's own, and the largest habit table;
-#: beyond it habits don't depend on the true label.
-SMOOTHING, MAX_TABLE = 10.0, 20_000_000
+#: Votes that the general habits weigh against a voter's own, and the most slips (voter, true
+#: label, label) that may be met; they are gathered and sent to the workers.
+SMOOTHING, MAX_SLIPS = 10.0, 20_000_000
 #: Voters and aspects together; their abilities are gathered and sent to the workers.
 MAX_VOTERS = 20_000
 #: Two voters are dependent if so many of the items either gets wrong are wrong alike.
@@ -57,7 +57,29 @@ class Model:
     ability: np.ndarray
     group: np.ndarray
     general: np.ndarray  # voters x labels: habits whatever the truth
-    habits: np.ndarray  # voters x true labels (or 1) x labels; the last label is any rare one
+    # habits given the true label are the general ones but for the slips met: sorted places
+    # (voter, true label, label) in one index, expected votes there, their sums per voter and
+    # true label; the last label is any rare one
+    places: np.ndarray
+    slips: np.ndarray
+    missed: np.ndarray
+
+    def habit(self, voters: np.ndarray, truth: np.ndarray, said: np.ndarray) -> np.ndarray:
+        """Probability of a label said by a voter who doesn't show the truth."""
+        width = self.general.shape[1]
+        row = voters * width + truth
+        general = self.general[voters, said]
+        if not len(self.places):
+            return general
+        place = row * width + said
+        at = np.minimum(np.searchsorted(self.places, place), len(self.places) - 1)
+        met = np.where(self.places[at] == place, self.slips[at], 0.0)
+        return np.where(said == width - 1, RARE_SLIP, (met + SMOOTHING * general) / (self.missed[row] + SMOOTHING))
+
+
+def _model(names: list, ability: np.ndarray, group: np.ndarray, general: np.ndarray, places: np.ndarray, slips: np.ndarray) -> Model:
+    width = general.shape[1]
+    return Model(names, ability, group, general, places, slips, np.bincount(places // width, weights=slips, minlength=len(ability) * width))
 
 
 def ballots(votes: DataFrame) -> DataFrame:
@@ -113,8 +135,7 @@ def encode(votes: DataFrame) -> tuple[DataFrame, Model]:
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), *(pa.array(c, t) for c, t in zip(out, types))], [x.split()[0] for x in ENCODED.split(", ")])
 
     encoded = materialise(cast.select("image_id", "item", "aspect", "votes").mapInArrow(run, ENCODED))
-    habits = general[:, None, :].repeat(width if n * width * width <= MAX_TABLE else 1, axis=1)
-    return encoded, Model(list(index), np.ones(n), np.arange(n), general, habits)
+    return encoded, _model(list(index), np.ones(n), np.arange(n), general, np.zeros(0, np.int64), np.zeros(0))
 
 
 def _padded(column: pa.Array, fill: float, kind: type) -> tuple[np.ndarray, np.ndarray]:
@@ -164,15 +185,14 @@ def infer(batch: pa.RecordBatch, model: Model) -> Pass:
     prior, known = _padded(batch.column(7), 1e-12, float)
     ability, group = model.ability[voters], model.group[voters]
     said = np.take_along_axis(numbers, np.maximum(codes, 0), axis=1)
-    per_truth = model.habits.shape[1] > 1
     n, m = voters.shape
     # equal votes of dependent voters count once
     same = np.zeros((n, m))
     for k in range(m):
         same += (group == group[:, [k]]) & (codes == codes[:, [k]]) & mask[:, [k]]
     weight = np.where(mask, 1 / np.maximum(same, 1), 0.0)
-    slip = [model.habits[voters, numbers[:, [c]] if per_truth else 0, said] for c in range(prior.shape[1])]
-    own = model.habits[voters, said if per_truth else 0, said]
+    slip = [model.habit(voters, numbers[:, [c]], said) for c in range(prior.shape[1])]
+    own = model.habit(voters, said, said)
     equal = [(codes == c) & mask for c in range(prior.shape[1])]
     log_easy = np.zeros(n)
     for step in range(INNER):
@@ -194,17 +214,23 @@ def infer(batch: pa.RecordBatch, model: Model) -> Pass:
     return Pass(voters, codes, mask, weight, posterior, shown, right, np.exp(log_easy), s, numbers, model.general[voters, said])
 
 
-def _slips(p: Pass, model: Model) -> np.ndarray:
+def _slips(p: Pass, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Expected votes that don't show the truth, by (voter, true label, label) in one index."""
-    width, truths = model.habits.shape[2], model.habits.shape[1]
-    total = np.zeros(model.habits.size)
+    width = model.general.shape[1]
+    places, weights = [], []
     said = np.take_along_axis(p.numbers, np.maximum(p.codes, 0), axis=1)
     for c in range(p.posterior.shape[1]):
         missed = np.where(p.codes == c, p.right - p.shown, p.posterior[:, [c]]) * p.weight
-        truth = p.numbers[:, [c]] if truths > 1 else np.zeros_like(p.numbers[:, [c]])
-        key = (p.voters * truths + truth) * width + said
-        total += np.bincount(key[p.mask], weights=missed[p.mask], minlength=len(total))
-    return total
+        key = (p.voters * width + p.numbers[:, [c]]) * width + said
+        places.append(key[p.mask])
+        weights.append(missed[p.mask])
+    return _summed(places, weights)
+
+
+def _summed(places: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted places with the sums of their weights."""
+    key, inverse = np.unique(np.concatenate([np.zeros(0, np.int64), *places]), return_inverse=True)
+    return key, np.bincount(inverse, weights=np.concatenate([np.zeros(0), *weights]), minlength=len(key))
 
 
 STATS = "a bigint, b bigint, slope double, curve double, right double, votes double"
@@ -220,12 +246,12 @@ def _statistics(encoded: DataFrame, model: Model, pairs: bool) -> DataFrame:
         model = given.value
         size = len(model.ability)
         sums = np.zeros((4, size))
-        slips = np.zeros(model.habits.size)
+        slips = np.zeros(0, np.int64), np.zeros(0)
         errors: dict[int, np.ndarray] = {}
         for batch in (part for batch in batches for part in _parts(batch)):
             p = infer(batch, model)
             easy = p.easiness[:, None]
-            slips += _slips(p, model)
+            slips = _summed(*zip(slips, _slips(p, model)))
             for k, value in enumerate((p.weight * (p.shown - p.expected) * easy, p.weight * p.expected * (1 - p.expected) * easy**2, p.right, p.mask.astype(float))):
                 sums[k] += np.bincount(p.voters[p.mask], weights=value[p.mask], minlength=size)
             m = p.voters.shape[1] if pairs else 0
@@ -244,12 +270,13 @@ def _statistics(encoded: DataFrame, model: Model, pairs: bool) -> DataFrame:
                     for q, x, y in zip(unique.tolist(), w, e):
                         old = errors.setdefault(q, np.zeros(2))
                         old += (x, y)
-        met, missed = np.flatnonzero(sums[3]), np.flatnonzero(slips > 1e-3)
+        met, told = np.flatnonzero(sums[3]), slips[1] > 1e-3
+        missed, slipped = slips[0][told], slips[1][told]
         a = np.concatenate([met, missed, np.array([q // size for q in errors], int)])
         b = np.concatenate([met, np.full(len(missed), -1), np.array([q % size for q in errors], int)])
         tail = np.array(list(errors.values())).reshape(-1, 2)
         none = np.zeros(len(missed))
-        columns = [np.concatenate([sums[k][met], slips[missed] if k == 0 else none, tail[:, k] if k < 2 else np.zeros(len(tail))]) for k in range(4)]
+        columns = [np.concatenate([sums[k][met], slipped if k == 0 else none, tail[:, k] if k < 2 else np.zeros(len(tail))]) for k in range(4)]
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *(pa.array(c, pa.float64()) for c in columns)], [x.split()[0] for x in STATS.split(", ")])
 
     return encoded.mapInArrow(run, STATS).groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in ("slope", "curve", "right", "votes")))
@@ -272,14 +299,17 @@ def fit(votes: DataFrame) -> tuple[DataFrame, Model]:
     for k in range(PASSES):
         pairs = k in (3, 7)
         stats = _statistics(encoded, model, pairs)
-        # gathered are voters, their habit table and dependent pairs, never items
-        rows = stats.filter((F.col("a") == F.col("b")) | (F.col("b") == -1) | ((F.col("slope") >= COMMON_ERRORS * F.col("curve")) & (F.col("curve") >= LEAST_ERRORS))).collect()
+        # gathered are voters, their slips and dependent pairs, never items
+        rows = stats.filter((F.col("a") == F.col("b")) | (F.col("b") == -1) | ((F.col("slope") >= COMMON_ERRORS * F.col("curve")) & (F.col("curve") >= LEAST_ERRORS))).limit(MAX_VOTERS + MAX_SLIPS + 1).collect()
+        if len(rows) > MAX_VOTERS + MAX_SLIPS:
+            raise ValueError(f"more than {MAX_SLIPS} slips of voters")
         new = model.ability.copy()
         group, common = model.group, list(copies)
-        slips = np.zeros(model.habits.size)
+        places, slips = [], []
         for r in sorted(rows, key=lambda r: (r.a, r.b)):
             if r.b == -1:
-                slips[r.a] = r.slope
+                places.append(r.a)
+                slips.append(r.slope)
             elif r.a == r.b:
                 # Newton step with a normal prior around 1
                 new[r.a] = np.clip(new[r.a] + np.clip((r.slope - (new[r.a] - 1)) / (r.curve + 1), -1, 1), -4, 8)
@@ -287,11 +317,8 @@ def fit(votes: DataFrame) -> tuple[DataFrame, Model]:
                 common.append((r.a, r.b))
         if pairs:
             group = _grouped(len(new), common)
-        slips = slips.reshape(model.habits.shape)
-        habits = (slips + SMOOTHING * model.general[:, None, :]) / (slips.sum(axis=2, keepdims=True) + SMOOTHING)
-        habits[:, :, -1] = RARE_SLIP
         moved = np.abs(new - model.ability).max() if len(new) else 0
-        model = Model(model.names, new, group, model.general, habits)
+        model = _model(model.names, new, group, model.general, np.array(places, np.int64), np.array(slips, float))
         if moved < 1e-3 and k > 8:
             break
     return encoded, model

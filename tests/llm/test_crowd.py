@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from concordance.llm import crowd
@@ -54,6 +55,25 @@ def test_voters(fitted):
     assert v["good"].ability > v["fair"].ability > v["poor"].ability
 
 
+def test_habits_depend_on_the_truth_with_many_voters_and_labels(spark):
+    """100 labels and 2,100 voters; the swappers mix up the labels 0 and 1 and have no other slips."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(3000):
+        t = k % 100
+        for v in rng.sample(range(2100), 4):
+            rows.append(("i", str(k), "shape", f"v{v}", f"l{t:02d}"))
+    for k in [x for x in range(3000) if x % 100 < 6]:
+        t = k % 100
+        rows.append(("i", str(k), "shape", "swapper", f"l{ {0: 1, 1: 0}.get(t, t):02d}"))
+    df = spark.createDataFrame(rows, "image_id string, item string, aspect string, voter string, label string")
+    _, model = crowd.fit(df)
+    assert len(model.names) > 2000
+    v = np.array([model.names.index(("shape", "swapper"))])
+    habit = lambda truth, said: model.habit(v, np.array([truth]), np.array([said]))[0]
+    assert habit(0, 1) > 0.5 and habit(1, 0) > 0.5 and habit(3, 1) < 0.3 and habit(3, 0) < 0.3
+
+
 def test_edge_cases(spark):
     rows = [("i", "1", "t", "v", "x"), ("i", "1", "t", "v", "x"), ("i", "1", "t", "w", None), ("i", "2", "t", None, "x"), ("i", "3", "t", "v", "p"), ("i", "3", "t", "w", "q"), (None, "4", "t", "v", ""), ("i", "5", "t", "v", "x" * 50_000), ("i", "6", "u", "v", "a"), ("i", "6", "u", "v", "b")]
     df = spark.createDataFrame(rows, "image_id string, item string, aspect string, voter string, label string").selectExpr("*", "1 as votes", "2 as n")
