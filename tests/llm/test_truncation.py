@@ -19,14 +19,18 @@ CODE = [
 ]
 
 
+def kind(grade):
+    return "line" if grade == "line" else "broken" if grade in t.BROKEN else "sound"
+
+
 @pytest.mark.parametrize(("text", "want"), TEXT)
 def test_text_endings(text, want):
-    assert t.text_ending(text)[0] == want
+    assert kind(t.text_ending(text)[0]) == want
 
 
 @pytest.mark.parametrize(("code", "want"), CODE)
 def test_code_endings(code, want):
-    assert t.code_ending(code)[0] == want
+    assert kind(t.code_ending(code)[0]) == want
 
 
 def test_censored_fit_recovers_the_distribution():
@@ -84,7 +88,7 @@ def _at_limit(spark, whole_at_limit, transfers):
     rows += [(3000 + k, words()[:498] + "x.", "s") for k in range(whole_at_limit)]
     rows += [(5000 + k, words()[:313] + "x", "s") for k in range(transfers)]
     df = spark.createDataFrame([r for r in rows if r[0] < 1000 or r[0] >= 3000 or len(r[1]) < 500], "rid long, txt string, src string")
-    sound = {k for k, text, _ in rows if k < 1000 and t.text_ending(text)[0] == "sound"}
+    sound = {k for k, text, _ in rows if k < 1000 and kind(t.text_ending(text)[0]) == "sound"}
     return t.features(df, "s", "rid", "txt", "src", "text"), sound
 
 
@@ -95,6 +99,29 @@ def test_censoring_at_a_limit_decides(spark, monkeypatch):
     fit = t.fit_censored
     monkeypatch.setattr(t, "fit_censored", lambda *a: [{**x, "censoring": 0.5} for x in fit(*a)])
     assert cut() == set(range(600)) - sound
+    # without the limits the endings stand alone
+    monkeypatch.setattr(t, "fit_censored", lambda *a: [])
+    assert cut() == set(range(600)) - sound
+
+
+def test_shares_of_cuts_and_grades_are_learned():
+    """From a limit and other lengths the fit finds how many are cut and how they end."""
+    broken = np.array([True, True, False, False])
+    sound, whole = np.array([0, 0, 0.03, 0.02]), np.array([0, 0, 0.3, 0.7])
+    cuts = [sound + 0.95 * np.array([0.2, 0.8, 0, 0]), sound + 0.95 * np.array([0.6, 0.4, 0, 0])]
+    counts = np.array([10_000 * (s * cuts[z] + (1 - s) * whole) for z, s in ((0, 0.02), (1, 0.8))])
+    share, cut, w = t.learned(counts, np.array([0.05, 0.97]), np.array([1.0, 50.0]), np.array([0, 1]), broken, sound)
+    assert np.abs(share - (0.02, 0.8)).max() < 0.005
+    assert np.abs(cut - cuts).max() < 0.01 and np.abs(w - whole).max() < 0.01
+
+
+def test_long_lines_can_be_common(spark):
+    """A long last line without an end mark is whole if it is common, and cut if it is rare."""
+    note = "Recorded by the night desk of the harbour office and filed under the usual heading"
+    rows = [(k, f"The desk moved {k} boxes.\n{note}", "s") for k in range(200)] + [(900 + k, f"The desk moved it.\n{note[: 62 + k]}", "s") for k in range(3)]
+    df = spark.createDataFrame(rows, "rid long, txt string, src string")
+    got = {r.record_id for r in t.posteriors(t.features(df, "s", "rid", "txt", "src", "text")).filter("posterior > 0.5").collect()}
+    assert got == {900, 901, 902}
 
 
 def test_whole_values_as_long_as_cut_ones_stay_whole(spark):
