@@ -1,14 +1,20 @@
 """Sound rows from broken ones, with the reason and the first broken field.
 
 For each schema one anchored pattern for the whole row is generated. A row that matches is
-sound. Only failures go through the incremental patterns: lexical prefixes (is the quoting
-sound up to field k?), the field count, and typed prefixes (are the first k values valid?);
-the first prefix that fails names the broken field. All of it runs inside the JVM.
+sound. Only failures go through the incremental patterns, one field more each: lexical
+prefixes (is the quoting sound up to field k, and does the row go on?), then typed prefixes
+(are the first k values valid?). The first prefix that fails names the broken field, and
+where it fails gives the reason. All of it runs inside the JVM.
 
 Delimiters other than '|' follow RFC 4180. '|' rows start and end with '|', ``\\|`` is a
 plain bar and quotes are plain characters. A field is valid if, after trimming, it is empty
 or of its type.
 
+JSON payloads likewise: one that matches the whole-payload pattern is well-formed and its
+nodes are valid. The others go member by member and item by item through the patterns of
+names, nodes, edges and values; the first that fails gives reason and field. JSON has no
+regular language, so what the patterns call broken is parsed to make sure.
+
 Defined results: a null row or null payload is broken ('column_count', 'broken_json'); an
 unknown kind is 'unknown_kind'; the header (line_no 0) is sound; repeated rows keep theirs.
 """
@@ -18,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -82,16 +89,15 @@ class RowSchema:
             return r"\A\|" + "".join(f + r"\|" for f in parts)
         return r"\A" + self.d.join(parts) + rf"(?:{self.d}|\z)"
 
-    def quoting(self) -> str:
-        """Sound quoting over any number of fields; bars have no quoting."""
+    def rest(self) -> str:
+        """Sound quoting in any fields that follow the last column; bars have no quoting."""
         return r"\A" if self.bar else rf"\A{self.lexical}(?:{self.d}{self.lexical})*+\z"
 
-    def count(self) -> str:
-        """Exactly one field per column."""
-        n = len(self.fields)
+    def ends_after(self, k: int) -> str:
+        """A row of exactly ``k`` fields."""
         if self.bar:
-            return rf"\A\|(?:{self.lexical}\|){{{n}}}\z"
-        return rf"\A{self.lexical}(?:{self.d}{self.lexical}){{{n - 1}}}\z"
+            return rf"\A\|(?:{self.lexical}\|){{{k}}}\z"
+        return rf"\A{self.lexical}(?:{self.d}{self.lexical}){{{k - 1}}}\z" if k else r"(?!)"
 
 
 def schemas(kinds: DataFrame) -> dict[str, RowSchema]:
@@ -119,18 +125,32 @@ def _first_failing(row: Column, schema: RowSchema, typed: bool) -> Column:
 def judge_rows(lines: DataFrame, kinds: DataFrame) -> DataFrame:
     """``lines`` with ``reason`` (null: sound) and ``broken_field`` (1-based, null: sound)."""
     found, row = schemas(kinds), F.col("raw_line")
+    longest: dict[str, RowSchema] = {}
+    for s in found.values():
+        if s.d not in longest or len(s.fields) > len(longest[s.d].fields):
+            longest[s.d] = s
+
+    def prefix(d: str) -> Column:
+        # lexical prefixes are the same for all kinds with one delimiter
+        return _first_failing(row, longest[d], False)
 
     def reason(s: RowSchema) -> Column:
-        # the whole-row pattern decides for nearly all rows; the others see the prefixes
-        return F.when(row.rlike(s.whole()), F.lit(None).cast("string")).when(~row.rlike(s.quoting()), "broken_quoting").when(~row.rlike(s.count()), "column_count").otherwise("invalid_value")
+        # where a prefix fails, a row whose quoting is sound throughout has no such field
+        quoted = F.when(row.rlike(s.rest()), "column_count").otherwise("broken_quoting")
+        return F.when((F.col("_prefix") > len(s.fields)) & row.rlike(s.ends_after(len(s.fields))), "invalid_value").otherwise(quoted)
 
     def field(s: RowSchema) -> Column:
-        return F.when(F.col("reason") == "invalid_value", _first_failing(row, s, True)).otherwise(_first_failing(row, s, False))
+        return F.when(F.col("reason") == "invalid_value", _first_failing(row, s, True)).otherwise(F.least(F.col("_prefix"), F.lit(len(s.fields) + 1)))
 
-    header = F.coalesce(F.col("line_no") == 0, F.lit(False))
-    judged = F.when(header, F.lit(None).cast("string")).when(row.isNull(), "column_count").otherwise(_per_kind(found, reason, F.lit("unknown_kind")))
-    out = lines.withColumn("reason", judged)
-    return out.withColumn("broken_field", F.when(F.col("reason").isNotNull() & row.isNotNull(), _per_kind(found, field, F.lit(None).cast("int"))))
+    header, none = F.coalesce(F.col("line_no") == 0, F.lit(False)), F.lit(None).cast("int")
+    sound = header | F.coalesce(_per_kind(found, lambda s: row.rlike(s.whole()), F.lit(False)), F.lit(False))
+    first = none
+    for d in longest:
+        first = F.when(F.col("kind").isin(*(k for k, s in found.items() if s.d == d)), prefix(d)).otherwise(first)
+    # the whole-row pattern decides for nearly all rows; only the others see the prefixes
+    at = lines.withColumn("_sound", sound).withColumn("_prefix", F.when(~F.col("_sound") & row.isNotNull(), first))
+    why = F.when(F.col("_sound"), F.lit(None).cast("string")).when(row.isNull(), "column_count").otherwise(_per_kind(found, reason, F.lit("unknown_kind")))
+    return at.withColumn("reason", why).withColumn("broken_field", F.when(F.col("_prefix").isNotNull(), _per_kind(found, field, none))).drop("_sound", "_prefix")
 
 
 def load_rows(judged: DataFrame, kinds: DataFrame) -> DataFrame:
@@ -151,12 +171,12 @@ def load_rows(judged: DataFrame, kinds: DataFrame) -> DataFrame:
     return sound.withColumn("fields", values).withColumn("names", names)
 
 
-# --- JSON payloads: the same rule in two steps, well-formedness and values ---------------
+# --- JSON payloads: the same rule, member by member ---------------------------------------
 
 _WS = r"[ \t\n\r]*+"
 _STR = r'"(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
-#: A member's name without escapes, so that it reads as it is written.
-_NAME = r'"[^"\\\x00-\x1f]*+"'
+#: A member's name without coded letters, so that it reads as it is written.
+_NAME = r'"(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt])*+"'
 _NUM = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
 #: The shapes a node may have (fixed values).
 SHAPES = ("rectangle", "diamond", "ellipse", "rounded", "unknown")
@@ -167,7 +187,8 @@ def _json_value(depth: int) -> str:
     if not depth:
         return f"(?:{scalar})"
     inner = _json_value(depth - 1)
-    return rf"(?:{scalar}|\[{_WS}(?:{inner}{_WS}(?:,{_WS}{inner}{_WS})*+)?\]|\{{{_WS}(?:{_STR}{_WS}:{_WS}{inner}{_WS}(?:,{_WS}{_STR}{_WS}:{_WS}{inner}{_WS})*+)?\}})"
+    following = lambda end: rf"{_WS}(?:,{_WS}(?!{end})|(?={end}))"
+    return rf"(?:{scalar}|\[{_WS}(?:{inner}{following(r'\]')})*+\]|\{{{_WS}(?:{_STR}{_WS}:{_WS}{inner}{following(r'\}')})*+\}})"
 
 
 def _members(special: dict[str, str], depth: int, needed: bool = False) -> str:
@@ -187,31 +208,85 @@ def _array(item: str) -> str:
     return rf"\[{_WS}(?:{item}{_WS}(?:,{_WS}{item}{_WS})*+)?\]"
 
 
+#: Patterns of a node's members, in the order of the check.
+_NODE_PARTS = {"node_id": r'"N[0-9]++"', "order_index": r"[1-9][0-9]*+(?![.eE0-9])", "shape": '"(?:' + "|".join(SHAPES) + ')"'}
+
+
+@lru_cache(maxsize=1)
 def payload_patterns() -> dict[str, re.Pattern]:
     """The whole-payload pattern and the pieces its failures are narrowed down with.
 
     A payload that matches is well-formed and its nodes are valid.
     """
-    node = _members({"node_id": r'"N[0-9]++"', "order_index": r"[1-9][0-9]*+(?![.eE0-9])", "shape": '"(?:' + "|".join(SHAPES) + ')"'}, 1, needed=True)
-    edge = _members({"source": _STR, "target": _STR}, 1)
+    node, edge = _members(_NODE_PARTS, 1, needed=True), _members({"source": _STR, "target": _STR}, 1)
     whole = _WS + _members({"nodes": _array(node), "edges": _array(edge)}, 2) + _WS
-    return {k: re.compile(v) for k, v in {"whole": whole, "member": rf"{_STR}{_WS}:{_WS}", "node": node, "edge": edge, "scalar": f"(?:{_STR}|{_NUM}|true|false|null)", "punct": r"[ \t\n\r{}\[\],]"}.items()}
+    pieces = {"whole": whole, "name": rf"({_NAME}){_WS}:{_WS}", "node": node, "value": _json_value(3), "space": _WS}
+    # a node of which the first members are valid, one member more each
+    names = list(_NODE_PARTS)
+    for k, name in enumerate(names):
+        pieces["until_" + name] = _members({n: _NODE_PARTS[n] for n in names[: k + 1]}, 1, needed=True)
+    return {k: re.compile(v) for k, v in pieces.items()}
 
 
 def _reject_constant(name: str) -> None:
     raise ValueError(name)
 
 
-def _broken_at(text: str, p: dict[str, re.Pattern]) -> str:
-    """The member at which incremental prefixes stop matching."""
-    at, last = 0, ""
-    while at < len(text):
-        if m := p["member"].match(text, at):
-            last = m.group().rstrip(" \t\n\r:")[1:-1]
-        elif not (m := p["punct"].match(text, at)) and not (m := p["scalar"].match(text, at)):
+def _bad_node(text: str, at: int, p: dict[str, re.Pattern]) -> str:
+    """The first member of the node at ``at`` whose prefix pattern fails."""
+    if not text.startswith("{", at):
+        return ""
+    return next(("." + name for name in _NODE_PARTS if not p["until_" + name].match(text, at)), "")
+
+
+def narrowed(text: str, p: dict[str, re.Pattern]) -> tuple[str | None, str]:
+    """(reason, field) by incremental patterns: the first member or item that fails.
+
+    A payload that can't be read to its end is broken where reading stops, whatever its
+    nodes; else the first bad node counts.
+    """
+    space = lambda k: p["space"].match(text, k).end()
+    at, bad = space(0), ""
+    if not text.startswith("{", at):
+        m = p["value"].match(text, at)
+        return (None, "") if m and space(m.end()) == len(text) else ("broken_json", "")
+    at, field, first = space(at + 1), "", True
+    while not (first and text.startswith("}", at)):
+        m = p["name"].match(text, at)
+        if not m:
+            return "broken_json", field
+        field, at = m[1][1:-1], m.end()
+        if field in ("nodes", "edges") and text.startswith("[", at):
+            at, k = space(at + 1), 0
+            while not (k == 0 and text.startswith("]", at)):
+                m = p["node"].match(text, at) if field == "nodes" else None
+                if not m:
+                    m = p["value"].match(text, at)
+                    if not m:
+                        return "broken_json", f"{field}[{k}]"
+                    if field == "nodes" and not bad:
+                        bad = f"nodes[{k}]" + _bad_node(text, at, p)
+                at, k = space(m.end()), k + 1
+                if text.startswith("]", at):
+                    break
+                if not text.startswith(",", at):
+                    return "broken_json", f"{field}[{k}]"
+                at = space(at + 1)
+            at = space(at + 1)
+        else:
+            m = p["value"].match(text, at)
+            if not m:
+                return "broken_json", field
+            at = space(m.end())
+        first = False
+        if text.startswith("}", at):
             break
-        at = m.end()
-    return last
+        if not text.startswith(",", at):
+            return "broken_json", field
+        at = space(at + 1)
+    if space(at + 1) != len(text):
+        return "broken_json", ""
+    return ("invalid_node", bad) if bad else (None, "")
 
 
 def judge_payload(text: str | None, p: dict[str, re.Pattern]) -> tuple[str | None, str | None]:
@@ -221,10 +296,19 @@ def judge_payload(text: str | None, p: dict[str, re.Pattern]) -> tuple[str | Non
     if p["whole"].fullmatch(text):
         value = json.loads(text, parse_int=str)
         return _edge_ends(value.get("edges", []), {n["node_id"] for n in value.get("nodes", [])})
+    reason, field = narrowed(text, p)
+    if reason == "invalid_node" and "\\u" not in text and text.count('"nodes"') == 1:
+        return reason, field
+    # deeper than the patterns go, names written with escapes, or a member twice: the parser has the last word
     try:
         value = json.loads(text, parse_constant=_reject_constant)
     except (ValueError, RecursionError):
-        return "broken_json", _broken_at(text, p)
+        return "broken_json", field
+    return _judged_value(value)
+
+
+def _judged_value(value: object) -> tuple[str | None, str | None]:
+    """The same of a parsed payload."""
     value = value if isinstance(value, dict) else {}
     nodes, edges = value.get("nodes"), value.get("edges")
     nodes, edges = nodes if isinstance(nodes, list) else [], edges if isinstance(edges, list) else []

@@ -1,5 +1,6 @@
 import datetime
 import json
+import random
 import re
 
 import pytest
@@ -159,7 +160,11 @@ def changed(path, value):
         (json.dumps(GOOD)[:-1], "broken_json", None),
         (json.dumps(GOOD) + "{}", "broken_json", None),
         (json.dumps(GOOD).replace('"shape": "diamond"', '"shape" "diamond"'), "broken_json", None),
-        (json.dumps(GOOD).replace("12", "NaN"), "broken_json", "order_index"),
+        (json.dumps(GOOD).replace("12", "NaN"), "broken_json", "nodes[1]"),
+        (json.dumps(GOOD)[: json.dumps(GOOD).index('"edges"') + 20], "broken_json", "edges[0]"),
+        (changed(["nodes", 1, "extra"], json.loads("[" * 30 + "]" * 30)), None, None),
+        (changed(["nodes", 1, "extra"], json.loads("[" * 30 + "]" * 30)).replace('"unknown"', '"round"'), "invalid_node", "nodes[1].shape"),
+        ('{"nodes": [{"node_id": "X"}], "nodes": []}', None, None),
         (None, "broken_json", None),
         ("", "broken_json", None),
         ("[]", None, None),
@@ -192,6 +197,33 @@ def test_a_match_settles_the_nodes():
     assert rowguard.judge_payload(changed(["edges", 0, "target"], "N3"), p) == ("unknown_edge_end", "edges[0].target")
 
 
+def test_prefixes_give_reason_and_field():
+    """What the patterns say needs no parser: deep values and escapes apart."""
+    p = rowguard.payload_patterns()
+    assert rowguard.narrowed(changed(["nodes", 1, "order_index"], 0), p) == ("invalid_node", "nodes[1].order_index")
+    assert rowguard.narrowed(changed(["nodes", 0, "shape"], "x").replace("N2", "n2"), p) == ("invalid_node", "nodes[0].shape")
+    assert rowguard.narrowed(changed(["nodes", 0, "shape"], "x")[:-2], p) == ("broken_json", "edges[1]")
+    assert rowguard.narrowed(json.dumps(GOOD), p) == (None, "")
+    inert = {**p, "node": re.compile("(?!)"), "until_shape": re.compile("")}
+    assert rowguard.judge_payload(changed(["nodes", 0, "shape"], "x"), inert) != rowguard.judge_payload(changed(["nodes", 0, "shape"], "x"), p)
+
+
+def test_mutated_payloads_against_the_parser():
+    rng = random.Random(4)
+    p, base = rowguard.payload_patterns(), json.dumps(GOOD)
+    for _ in range(4000):
+        text = list(base)
+        for _ in range(rng.randint(1, 2)):
+            k = rng.randrange(len(text))
+            text[k : k + rng.randint(0, 2)] = rng.choice(['"', ",", "{", "}", "[", "]", "0", "-", "N", ":", "", " ", "\\"])
+        text = "".join(text)
+        try:
+            want = rowguard._judged_value(json.loads(text, parse_constant=rowguard._reject_constant))[0]
+        except ValueError:
+            want = "broken_json"
+        assert rowguard.judge_payload(text, p)[0] == want, text
+
+
 def test_whole_pattern_decides_most_payloads(spark):
     p = rowguard.payload_patterns()["whole"]
     texts = [r.payload for r in table(spark, SF, "visual_graphs").select("payload").collect()]
