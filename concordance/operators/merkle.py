@@ -4,12 +4,17 @@ Every JSON object of a record is canonicalised bottom-up: keys are sorted, numbe
 strings are written in one form, and each child object is replaced by its own hash. The
 hash of that canonical text is the object's identity, so equal subtrees get one identity
 wherever they occur. ``bridge`` keeps every occurrence (record, pre-order number, parent's
-number, field, ordinal, identity); ``object_store`` keeps every identity once.
+number, field, places in arrays, identity); the ``store`` keeps every identity once with all
+its fields; ``flat`` joins the two on the identity.
 
-Defined results: null, empty or malformed payloads give no rows; JSON held in a string is
-opened if it holds an object or a list; an id that is null isn't an id; repeated records
-keep their own rows; an id met twice under the same parent within one record gives two
-bridge rows and, with ``distinct_links``, one.
+In canonical text ``{"#": identity}`` stands for a child object and ``{"json": value}`` for
+JSON that was held in a string.
+
+Defined results: null and empty payloads give no rows; malformed ones and those nested
+deeper than the parser goes give none either, and ``rejects`` names them; JSON held in a
+string is opened if it holds an object or a list; an id that is null isn't an id; repeated
+records keep their own rows; an id met twice under the same parent within one record gives
+two bridge rows and, with ``distinct_links``, one; of a member named twice the last counts.
 """
 
 from __future__ import annotations
@@ -25,9 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concordance.session import materialise
+
+#: ``places``: where the object stands in the arrays of its field, outermost first ('2.0');
+#: ``ordinal``: the last of them, 0 outside arrays.
 BRIDGE = (
     "source_table string, record_id bigint, occurrence int, parent_occurrence int, field string, "
-    "ordinal int, object_hash string, id_key string, child_id string, parent_id string, attributes string"
+    "places string, ordinal int, object_hash string, id_key string, child_id string, parent_id string"
 )
 OBJECTS = "object_hash string, id_key string, canonical string, child_objects int"
 
@@ -40,24 +49,28 @@ def _scalar(value: object) -> str:
         return "true"
     if value is False:
         return "false"
-    if isinstance(value, float) and value.is_integer() and abs(value) < 1e15:
-        return str(int(value))
+    if isinstance(value, float):
+        if value.is_integer() and abs(value) < 1e15:
+            return str(int(value))
+        if value != value or value in (float("inf"), float("-inf")):
+            return quoted(str(value))
     return repr(value)
 
 
 class _Walker:
     """Hashes one record's objects bottom-up, numbering occurrences in pre-order."""
 
-    def __init__(self, id_keys: tuple[str, ...], keep_text: bool):
-        self.id_keys, self.keep_text = id_keys, keep_text
+    def __init__(self, id_keys: tuple[str, ...]):
+        self.id_keys = id_keys
         self.rows: list[list] = []
         self.objects: dict[str, tuple] | None = None
 
-    def walk(self, value: object, parent: int, owner: str, field: str, ordinal: int) -> str:
+    def walk(self, value: object, parent: int, owner: str, field: str, places: str) -> str:
         if isinstance(value, dict):
-            return self._object(value, parent, owner, field, ordinal)
+            return self._object(value, parent, owner, field, places)
         if isinstance(value, list):
-            return "[" + ",".join([self.walk(v, parent, owner, field, k) for k, v in enumerate(value)]) + "]"
+            below = places + "." if places else ""
+            return "[" + ",".join([self.walk(v, parent, owner, field, f"{below}{k}") if isinstance(v, (dict, list, str)) else _scalar(v) for k, v in enumerate(value)]) + "]"
         if isinstance(value, str):
             head = value[:1] if value[:1] > " " else value.lstrip()[:1]
             if head == "{" or head == "[":
@@ -65,11 +78,11 @@ class _Walker:
                     inner = json.loads(value)
                 except (ValueError, RecursionError):
                     return quoted(value)
-                return "s" + self.walk(inner, parent, owner, field, ordinal)
+                return '{"json":' + self.walk(inner, parent, owner, field, places) + "}"
             return quoted(value)
         return _scalar(value)
 
-    def _object(self, value: dict, parent: int, owner: str, field: str, ordinal: int) -> str:
+    def _object(self, value: dict, parent: int, owner: str, field: str, places: str) -> str:
         number = len(self.rows)
         own = key = None
         for k in self.id_keys:
@@ -77,30 +90,24 @@ class _Walker:
             if found is not None and not isinstance(found, (dict, list)):
                 own, key = found if isinstance(found, str) else _scalar(found), k
                 break
-        row = [number, parent, field, ordinal, "", key, own, owner, None]
+        row = [number, parent, field, places, int(places.rpartition(".")[2] or 0), "", key, own, owner]
         self.rows.append(row)
         inside = owner if own is None else own
-        parts, plain, children = [], [], 0
+        parts, children = [], 0
         for k in sorted(value):
             v = value[k]
             if isinstance(v, (dict, list, str)):
                 before = len(self.rows)
-                text = self.walk(v, number, inside, k, 0)
-                nested = len(self.rows) > before
-                children += nested
+                parts.append(quoted(k) + ":" + self.walk(v, number, inside, k, ""))
+                children += len(self.rows) > before
             else:
-                text, nested = _scalar(v), False
-            parts.append(quoted(k) + ":" + text)
-            if self.keep_text and not nested:
-                plain.append(parts[-1])
+                parts.append(quoted(k) + ":" + _scalar(v))
         canonical = "{" + ",".join(parts) + "}"
         identity = blake2b(canonical.encode(), digest_size=16).hexdigest()
-        row[4] = identity
-        if self.keep_text:
-            row[8] = "{" + ",".join(plain) + "}"
+        row[5] = identity
         if self.objects is not None and identity not in self.objects:
-            self.objects[identity] = (identity, key, canonical, children)
-        return "#" + identity
+            self.objects[identity] = (key, canonical, children)
+        return '{"#":"' + identity + '"}'
 
 
 def _loaded(payload: str | None) -> object:
@@ -112,65 +119,96 @@ def _loaded(payload: str | None) -> object:
         return None
 
 
-def bridge(df: DataFrame, source: str, record: str, payload: str, id_keys: tuple[str, ...], attributes: bool = True, identified_only: bool = False, distinct_links: bool = False) -> DataFrame:
+def bridge(df: DataFrame, source: str, record: str, payload: str, id_keys: tuple[str, ...], identified_only: bool = False, distinct_links: bool = False, objects: bool = False) -> DataFrame:
     """One row for every occurrence of an object in ``payload``.
 
     ``parent_id`` is the id of the nearest enclosing object that has one, '' if none.
     ``identified_only`` keeps the objects with an own id (all are hashed all the same);
-    ``attributes`` adds the object's fields that hold no further object, as canonical JSON;
     ``distinct_links`` keeps one row per record and (own id, parent's id), without a shuffle
-    since a record is never split.
+    since a record is never split; ``objects`` adds canonical text and number of child
+    objects where an identity is met for the first time in its batch (else null).
     """
+    schema = BRIDGE + (", canonical string, child_objects int" if objects else "")
+    names = [x.split()[0] for x in schema.split(", ")]
+    types = [{"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[x.split()[1]] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sys.setrecursionlimit(200_000)
-        names = ["source_table", "record_id", "occurrence", "parent_occurrence", "field", "ordinal", "object_hash", "id_key", "child_id", "parent_id", "attributes"]
-        types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string()]
         for batch in batches:
+            seen: set[str] = set()
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 out: list[list] = []
                 ids: list[int] = []
                 for rid, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    walker = _Walker(id_keys, attributes)
-                    walker.walk(_loaded(text), -1, "", "", 0)
-                    rows = [r for r in walker.rows if r[6] is not None] if identified_only else walker.rows
+                    walker = _Walker(id_keys)
+                    if objects:
+                        walker.objects = {}
+                    walker.walk(_loaded(text), -1, "", "", "")
+                    rows = walker.rows
+                    if objects:
+                        for r in rows:
+                            if r[5] in seen:
+                                r += (None, None)
+                            else:
+                                seen.add(r[5])
+                                r += walker.objects[r[5]][1:]
+                    if identified_only:
+                        rows = [r for r in rows if r[7] is not None]
                     if distinct_links:
-                        rows = list({(r[6], r[7]): r for r in rows}.values())
+                        rows = list({(r[7], r[8]): r for r in rows}.values())
                     out += rows
                     ids += [rid] * len(rows)
-                columns = list(zip(*out)) if out else [[]] * 9
+                columns = list(zip(*out)) if out else [[]] * (len(names) - 2)
                 data = [pa.array([source] * len(ids), types[0]), pa.array(ids, types[1]), *(pa.array(c, t) for c, t in zip(columns, types[2:]))]
                 yield pa.RecordBatch.from_arrays(data, names)
 
     narrow = df.select(F.col(record).cast("bigint").alias("record_id"), F.col(payload).cast("string").alias("payload"))
-    return narrow.filter("payload is not null").mapInArrow(run, BRIDGE)
-
+    return narrow.filter("payload is not null").mapInArrow(run, schema)
 
-def objects_of(df: DataFrame, payload: str, id_keys: tuple[str, ...]) -> DataFrame:
-    """The objects of each batch, each identity once per batch."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sys.setrecursionlimit(200_000)
-        for batch in batches:
-            seen: dict[str, tuple] = {}
-            for text in batch.column(0).to_pylist():
-                walker = _Walker(id_keys, False)
-                walker.objects = seen
-                walker.walk(_loaded(text), -1, "", "", 0)
-            columns = list(zip(*seen.values())) if seen else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int32()))], ["object_hash", "id_key", "canonical", "child_objects"])
+def store(*bridged: DataFrame) -> DataFrame:
+    """Every distinct object once, under its identity, from bridges with ``objects``.
 
-    return df.select(F.col(payload).cast("string").alias("payload")).filter("payload is not null").mapInArrow(run, OBJECTS)
+    Copies were dropped within a batch before the shuffle on the identity, so a payload
+    that a third of all records repeat is sent once per batch.
+    """
+    rows = reduce(DataFrame.unionAll, [b.filter("canonical is not null").select("object_hash", "id_key", "canonical", "child_objects") for b in bridged])
+    return rows.groupBy("object_hash").agg(*(F.first(c).alias(c) for c in ("id_key", "canonical", "child_objects")))
 
 
-def object_store(*parts: DataFrame) -> DataFrame:
-    """Every distinct object of the ``objects_of`` parts once, under its identity.
+def flat(bridged: DataFrame, id_key: str, fields: str) -> DataFrame:
+    """The flat table of the objects whose id is ``id_key``: every occurrence joined with its
+    stored object. ``fields`` become columns; ``content`` has all fields, as canonical JSON.
 
-    Copies were dropped within a batch before the shuffle on the identity, so a payload
-    that a third of all records repeat is sent once per batch.
+    ``bridged``: a bridge with ``objects``, written once. An identity that a third of all
+    occurrences share is one row on the store's side, and adaptive execution splits its
+    occurrences.
     """
-    return reduce(DataFrame.unionAll, parts).dropDuplicates(["object_hash"])
+    own = bridged.filter(F.col("id_key") == id_key)
+    stored = store(own).select("object_hash", "canonical")
+    rows = own.drop("canonical", "child_objects").join(stored, "object_hash")
+    read = F.from_json("canonical", fields)
+    return rows.select("record_id", "occurrence", "parent_occurrence", "parent_id", "field", "places", "ordinal", "object_hash", F.col("child_id").alias(id_key), read.alias("own"), F.col("canonical").alias("content")).select("*", "own.*").drop("own")
+
+
+def rejects(df: DataFrame, source: str, record: str, payload: str) -> DataFrame:
+    """(source_table, record_id, reason) of payloads that can't be read: 'malformed' or 'too_deep'."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    json.loads(text)
+                except RecursionError:
+                    out.append((rid, "too_deep"))
+                except ValueError:
+                    out.append((rid, "malformed"))
+            yield pa.RecordBatch.from_arrays([pa.array([source] * len(out), pa.string()), pa.array([r for r, _ in out], pa.int64()), pa.array([w for _, w in out], pa.string())], ["source_table", "record_id", "reason"])
+
+    narrow = df.select(F.col(record).cast("bigint").alias("record_id"), F.col(payload).cast("string").alias("payload"))
+    return narrow.filter("payload != ''").mapInArrow(run, "source_table string, record_id bigint, reason string")
 
 
 def identified(bridged: DataFrame) -> DataFrame:
@@ -198,3 +236,8 @@ def payloads(df: DataFrame, source: str) -> DataFrame:
 def bridge_of(df: DataFrame, source: str, **how: bool) -> DataFrame:
     """``bridge`` over one of the declared source tables."""
     return bridge(payloads(df, source), source, "record_id", "payload", SOURCES[source][2], **how)
+
+
+def written(df: DataFrame, source: str) -> DataFrame:
+    """The bridge of a declared source with its objects, written once for several readers."""
+    return materialise(bridge_of(df, source, objects=True))

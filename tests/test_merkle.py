@@ -1,5 +1,6 @@
 import json
 
+
 from concordance.operators import merkle
 from concordance.plans import problems
 from concordance.session import table
@@ -56,13 +57,51 @@ def test_identity_is_the_content(spark):
     bridged = merkle.bridge(df, "s", "rid", "payload", ("id",))
     root = {r.record_id: r.object_hash for r in bridged.filter("parent_occurrence = -1").collect()}
     assert root[1] == root[2] != root[3]
-    store = merkle.object_store(merkle.objects_of(df, "payload", ("id",)))
+    store = merkle.store(merkle.bridge(df, "s", "rid", "payload", ("id",), objects=True))
     assert store.count() == bridged.select("object_hash").distinct().count() == 5
     assert bridged.count() == 9
     assert {r.ordinal for r in bridged.filter("field = 'x' and record_id = 1").collect()} == {1}
 
 
 def test_json_after_many_blanks_is_opened():
-    walker = merkle._Walker(("id",), False)
-    walker.walk({"a": " " * 70 + '{"id": 7}', "b": "\n" * 64 + '[{"id": 8}]', "c": " " * 70 + "x"}, -1, "", "", 0)
-    assert [row[6] for row in walker.rows] == [None, "7", "8"]
+    walker = merkle._Walker(("id",))
+    walker.walk({"a": " " * 70 + '{"id": 7}', "b": "\n" * 64 + '[{"id": 8}]', "c": " " * 70 + "x"}, -1, "", "", "")
+    assert [row[7] for row in walker.rows] == [None, "7", "8"]
+
+
+def test_places_in_nested_arrays_and_parents(spark):
+    """Pages of blocks keep both places; every parent joins; the store gives back all fields."""
+    payload = json.dumps({"pages": [[{"id": "a", "z": [1, {"q": "NaN"}]}, {"id": "b"}], [{"id": "c", "w": '{"id": "d", "n": 1.50}'}]], "x": None})
+    df = spark.createDataFrame([(1, payload), (2, payload)], "rid long, payload string")
+    written = merkle.bridge(df, "s", "rid", "payload", ("id",), objects=True).cache()
+    assert {(r.child_id, r.places, r.ordinal) for r in written.filter("child_id is not null").collect()} == {("a", "0.0", 0), ("b", "0.1", 1), ("c", "1.0", 0), ("d", "", 0)}
+    orphans = written.alias("c").join(written.alias("p"), F.expr("c.record_id = p.record_id and c.parent_occurrence = p.occurrence"), "left_anti")
+    assert {r.parent_occurrence for r in orphans.collect()} == {-1}
+    rows = merkle.flat(written, "id", "n double").orderBy("record_id", "occurrence").collect()
+    assert [(r.record_id, r.id, r.parent_id, r.n) for r in rows] == [(k, *x) for k in (1, 2) for x in (("a", "", None), ("b", "", None), ("c", "", None), ("d", "c", 1.5))]
+    stored = {r.object_hash: json.loads(r.canonical) for r in merkle.store(written).collect()}
+
+    def built(value):
+        if isinstance(value, dict):
+            if set(value) == {"#"}:
+                return {k: built(v) for k, v in stored[value["#"]].items()}
+            return json.dumps(built(value["json"])) if set(value) == {"json"} else value
+        return [built(v) for v in value] if isinstance(value, list) else value
+
+    root = written.filter("parent_occurrence = -1 and record_id = 2").first().object_hash
+    again, want = built({"#": root}), json.loads(payload)
+    again["pages"][1][0]["w"], want["pages"][1][0]["w"] = (json.loads(x["pages"][1][0]["w"]) for x in (again, want))
+    assert again == want
+
+
+def test_rejects(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "{broken"), (4, "[]"), (5, "[" * 200_000 + "]" * 200_000)], "rid long, payload string")
+    assert {(r.record_id, r.reason) for r in merkle.rejects(df, "s", "rid", "payload").collect()} == {(3, "malformed"), (5, "too_deep")}
+
+
+def test_flat_tables_join_bridge_and_store(spark):
+    bridge, objects = problems.p1_bridge(spark, SF).cache(), problems.p1_objects(spark, SF)
+    assert bridge.select("object_hash").distinct().count() == objects.count()
+    spans = problems.p1_spans(spark, SF)
+    assert spans.count() == bridge.filter("id_key = 'span_id'").count() == spans.join(bridge.filter("source_table = 'layout_blocks'").selectExpr("record_id", "occurrence as parent_occurrence"), ["record_id", "parent_occurrence"]).count()
+    assert problems.p1_rejects(spark, SF).filter("reason = 'too_deep'").count() == 0

@@ -24,14 +24,17 @@ def comparable(rows):
     return sorted(tuple("" if v is None or v != v else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(fusion.QUERIES))
+QUERIES, SQL = fusion.QUERIES | problems.QUERIES, fusion.SQL | problems.SQL
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    got = fusion.QUERIES[name](spark, SF)
+    got = QUERIES[name](spark, SF)
     rows = got.collect()
-    if name not in fusion.SQL:
+    if name not in SQL:
         assert got.columns
         return
-    want = duck.execute(fusion.SQL[name])
+    want = duck.execute(SQL[name])
     columns = [d[0] for d in want.description]
     assert sorted(columns) == sorted(got.columns)
     order = [columns.index(c) for c in got.columns]
@@ -40,4 +43,4 @@ def test_query(spark, duck, name):
 
 def test_names_do_not_clash():
     assert not set(fusion.QUERIES) & set(problems.QUERIES)
-    assert set(fusion.SQL) <= set(fusion.QUERIES)
+    assert set(SQL) <= set(QUERIES)
