@@ -9,8 +9,10 @@ sums the gradients of the abilities and the expected habits; Newton steps on the
 move the abilities. Voters that repeat each other's errors are found from the posteriors
 (share of common errors) and equal votes of such a group count once.
 
-A pass reads the encoded ballots (one row per item) and sends one row per voter, so an item
-never moves and nothing grows with the items but the ballots themselves.
+What a pass needs of an item is who said which of its labels and how frequent these are, so
+passes run over the distinct ballots with their numbers of items. A pass sends one row per
+voter and per slip met; an item never moves again. Votes lie in flat arrays (votes, and pairs
+of a vote and a candidate label of its item), so an item costs what its own votes cost.
 
 Defined results: null votes are abstentions and so are values the caller declares so; equal
 votes of one voter on one item count once, however often rows repeat; different votes of
@@ -32,6 +34,10 @@ from pyspark.sql import functions as F
 from concordance.session import materialise
 
 PASSES, INNER = 14, 4
+#: Movement of the abilities at which the passes stop.
+SETTLED = 0.02
+#: Pairs of votes and labels, or of votes, that are handled at once.
+AT_ONCE = 2_000_000
 #: Frequent labels (share of an aspect's votes from FREQUENT, so at most 1 / FREQUENT of
 #: them) have habits of their own. Any other label is a priori RARE, and as a slip of the
 #: true label, say a letter misread, RARE_SLIP.
@@ -45,6 +51,8 @@ MAX_VOTERS = 20_000
 COMMON_ERRORS, LEAST_ERRORS = 0.6, 15.0
 #: Or, from so many common items, if their agreement exceeds what others explain by this.
 LEAST_COMMON, EXCESS = 30, 0.3
+#: Pairs of voters whose agreement is gathered at once; more are compared where they are.
+MAX_PAIRS = 1_000_000
 
 ENCODED = "image_id string, item string, aspect string, voters array<int>, codes array<int>, labels array<string>, numbers array<int>, priors array<double>"
 
@@ -84,8 +92,8 @@ def _model(names: list, ability: np.ndarray, group: np.ndarray, general: np.ndar
 
 def ballots(votes: DataFrame) -> DataFrame:
     """One row per item from rows (image_id, item, aspect, voter, label)."""
-    kept = votes.filter("voter is not null and label is not null").groupBy("image_id", "item", "aspect", "voter", "label").agg(F.lit(1).alias("one"))
-    return kept.groupBy("image_id", "item", "aspect").agg(F.sort_array(F.collect_list(F.struct("label", "voter"))).alias("votes"))
+    kept = votes.filter("voter is not null and label is not null")
+    return kept.groupBy("image_id", "item", "aspect").agg(F.sort_array(F.collect_set(F.struct("label", "voter"))).alias("votes"))
 
 
 def encode(votes: DataFrame) -> tuple[DataFrame, Model]:
@@ -123,11 +131,16 @@ def encode(votes: DataFrame) -> tuple[DataFrame, Model]:
         index, share, label_number, rare = tables.value
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for aspect, given in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                labels = sorted({v["label"] for v in given})
+            given_by = batch.column(3)
+            sizes = np.diff(given_by.offsets.to_numpy())
+            ends, flat = np.cumsum(sizes), given_by.flatten()
+            names, said = flat.field("voter").to_pylist(), flat.field("label").to_pylist()
+            for aspect, end, size in zip(batch.column(2).to_pylist(), ends.tolist(), sizes.tolist()):
+                given = range(end - size, end)
+                labels = sorted({said[v] for v in given})
                 code = {x: k for k, x in enumerate(labels)}
-                out[0].append([index[aspect, v["voter"]] for v in given])
-                out[1].append([code[v["label"]] for v in given])
+                out[0].append([index[aspect, names[v]] for v in given])
+                out[1].append([code[said[v]] for v in given])
                 out[2].append(labels)
                 out[3].append([label_number.get((aspect, x), rare) for x in labels])
                 out[4].append([share.get((aspect, x), RARE) for x in labels])
@@ -138,22 +151,60 @@ def encode(votes: DataFrame) -> tuple[DataFrame, Model]:
     return encoded, _model(list(index), np.ones(n), np.arange(n), general, np.zeros(0, np.int64), np.zeros(0))
 
 
-def _padded(column: pa.Array, fill: float, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """Lists as a matrix, and where it holds values."""
-    sizes = np.diff(column.offsets.to_numpy())
-    mask = np.arange(sizes.max() if len(sizes) else 0)[None, :] < sizes[:, None]
-    out = np.full(mask.shape, fill, kind)
-    out[mask] = column.flatten().to_numpy(zero_copy_only=False)
-    return out, mask
+def patterns(encoded: DataFrame) -> DataFrame:
+    """The distinct ballots (voters, codes, numbers, priors) with their number of items ``n``,
+    written once. The label texts don't matter to the passes."""
+    return materialise(encoded.groupBy("voters", "codes", "numbers", "priors").agg(F.count("*").alias("n")))
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch by the number of its items' candidates, so that few items have empty places."""
-    sizes = np.diff(batch.column(5).offsets.to_numpy())
-    for low, high in ((1, 1), (2, 2), (3, 4), (5, np.inf)):
-        own = np.flatnonzero((sizes >= low) & (sizes <= high))
-        if len(own):
-            yield batch.take(pa.array(own))
+@dataclass
+class Ballots:
+    """Items of a batch with their votes and candidate labels in flat arrays."""
+
+    items: np.ndarray  # how many items each row stands for
+    item: np.ndarray  # of each vote
+    voters: np.ndarray
+    codes: np.ndarray
+    at: np.ndarray  # each vote's own label among all candidates
+    owner: np.ndarray  # the item of each candidate
+    first: np.ndarray  # each item's first candidate
+    numbers: np.ndarray
+    prior: np.ndarray
+
+
+def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and values of a column of lists."""
+    return np.diff(column.offsets.to_numpy()), column.flatten().to_numpy(zero_copy_only=False).astype(kind)
+
+
+def read(batch: pa.RecordBatch) -> Ballots:
+    """A batch with columns voters, codes, numbers, priors and perhaps n."""
+    columns = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+    votes, voters = _flat(columns["voters"], np.int64)
+    _, codes = _flat(columns["codes"], np.int64)
+    labels, numbers = _flat(columns["numbers"], np.int64)
+    _, prior = _flat(columns["priors"], float)
+    n = columns["n"].to_numpy(zero_copy_only=False).astype(float) if "n" in columns else np.ones(batch.num_rows)
+    item, first = np.repeat(np.arange(batch.num_rows), votes), np.cumsum(labels) - labels
+    return Ballots(n, item, voters, codes, first[item] + codes, np.repeat(np.arange(batch.num_rows), labels), first, numbers, prior)
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about AT_ONCE pairs of a vote and a label, or of votes."""
+    names = batch.schema.names
+    votes = np.diff(batch.column(names.index("voters")).offsets.to_numpy())
+    labels = np.diff(batch.column(names.index("numbers")).offsets.to_numpy())
+    piece = np.cumsum(votes * np.maximum(labels, votes)) // AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def _ranges(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sizes (2, 1): the owners (0, 0, 1) and the places (0, 1, 0)."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -164,67 +215,57 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Pass:
     """Posteriors of a batch of items."""
 
-    voters: np.ndarray
-    codes: np.ndarray
-    mask: np.ndarray
-    weight: np.ndarray
-    posterior: np.ndarray  # items x candidates
+    weight: np.ndarray  # of each vote
+    posterior: np.ndarray  # of each candidate
     shown: np.ndarray  # probability that a vote shows the truth
     right: np.ndarray  # probability that a vote's label is true
-    easiness: np.ndarray
+    easiness: np.ndarray  # of each item
     expected: np.ndarray  # s
-    numbers: np.ndarray  # items x candidates: the candidates' label numbers
-    chance: np.ndarray  # general probability of each vote's label
+    vote: np.ndarray  # of each pair of a vote and a candidate of its item
+    candidate: np.ndarray
 
 
-def infer(batch: pa.RecordBatch, model: Model) -> Pass:
+def infer(b: Ballots, model: Model) -> Pass:
     """Label posteriors and easiness of the items of a batch under the abilities."""
-    voters, mask = _padded(batch.column(3), 0, np.int64)
-    codes, _ = _padded(batch.column(4), -1, np.int64)
-    numbers, _ = _padded(batch.column(6), 0, np.int64)
-    prior, known = _padded(batch.column(7), 1e-12, float)
-    ability, group = model.ability[voters], model.group[voters]
-    said = np.take_along_axis(numbers, np.maximum(codes, 0), axis=1)
-    n, m = voters.shape
+    n, votes, labels = len(b.items), len(b.item), len(b.owner)
+    ability, group, said = model.ability[b.voters], model.group[b.voters], b.numbers[b.at]
     # equal votes of dependent voters count once
-    same = np.zeros((n, m))
-    for k in range(m):
-        same += (group == group[:, [k]]) & (codes == codes[:, [k]]) & mask[:, [k]]
-    weight = np.where(mask, 1 / np.maximum(same, 1), 0.0)
-    slip = [model.habit(voters, numbers[:, [c]], said) for c in range(prior.shape[1])]
-    own = model.habit(voters, said, said)
-    equal = [(codes == c) & mask for c in range(prior.shape[1])]
-    log_easy = np.zeros(n)
+    _, inverse, same = np.unique(b.at * (len(model.group) + 1) + group, return_inverse=True, return_counts=True)
+    weight = 1 / same[inverse]
+    vote, place = _ranges(np.bincount(b.owner, minlength=n)[b.item])
+    candidate = b.first[b.item[vote]] + place
+    rare = model.general.shape[1] - 1
+    slip = np.full(len(vote), RARE_SLIP)
+    known = said[vote] != rare
+    slip[known] = model.habit(b.voters[vote[known]], b.numbers[candidate[known]], said[vote[known]])
+    own = model.habit(b.voters, said, said)
+    equal = candidate == b.at[vote]
+    log_prior, log_easy = np.log(b.prior), np.zeros(n)
     for step in range(INNER):
-        easy = np.exp(log_easy)[:, None]
+        easy = np.exp(log_easy)[b.item]
         s = _sigmoid(ability * easy)
-        log = np.where(known, np.log(prior), -np.inf)
-        for c in range(prior.shape[1]):
-            log[:, c] += (weight * np.log(np.where(equal[c], s, 0) + (1 - s) * slip[c] + 1e-9)).sum(axis=1)
-        log -= log.max(axis=1, keepdims=True)
+        told = np.log(np.where(equal, s[vote], 0) + (1 - s[vote]) * slip + 1e-9) * weight[vote]
+        log = log_prior + np.bincount(candidate, weights=told, minlength=labels)
+        log -= np.maximum.reduceat(log, b.first)[b.owner]
         posterior = np.exp(log)
-        posterior /= posterior.sum(axis=1, keepdims=True)
-        right = np.where(mask, np.take_along_axis(posterior, np.maximum(codes, 0), axis=1), 0.0)
+        posterior /= np.add.reduceat(posterior, b.first)[b.owner]
+        right = posterior[b.at]
         shown = right * s / (s + (1 - s) * own)
         if step < INNER - 1:
             # gradient step on the log easiness with a standard normal prior
-            slope = (weight * (shown - s) * ability * easy).sum(axis=1) - log_easy
-            curve = (weight * s * (1 - s) * (ability * easy) ** 2).sum(axis=1) + 1
+            slope = np.bincount(b.item, weights=weight * (shown - s) * ability * easy, minlength=n) - log_easy
+            curve = np.bincount(b.item, weights=weight * s * (1 - s) * (ability * easy) ** 2, minlength=n) + 1
             log_easy = np.clip(log_easy + np.clip(slope / curve, -1, 1), -3, 3)
-    return Pass(voters, codes, mask, weight, posterior, shown, right, np.exp(log_easy), s, numbers, model.general[voters, said])
+    return Pass(weight, posterior, shown, right, np.exp(log_easy), s, vote, candidate)
 
 
-def _slips(p: Pass, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def _slips(b: Ballots, p: Pass, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Expected votes that don't show the truth, by (voter, true label, label) in one index."""
     width = model.general.shape[1]
-    places, weights = [], []
-    said = np.take_along_axis(p.numbers, np.maximum(p.codes, 0), axis=1)
-    for c in range(p.posterior.shape[1]):
-        missed = np.where(p.codes == c, p.right - p.shown, p.posterior[:, [c]]) * p.weight
-        key = (p.voters * width + p.numbers[:, [c]]) * width + said
-        places.append(key[p.mask])
-        weights.append(missed[p.mask])
-    return _summed(places, weights)
+    own = p.candidate == b.at[p.vote]
+    missed = np.where(own, (p.right - p.shown)[p.vote], p.posterior[p.candidate]) * (p.weight * b.items[b.item])[p.vote]
+    key = (b.voters[p.vote] * width + b.numbers[p.candidate]) * width + b.numbers[b.at][p.vote]
+    return _summed([key], [missed])
 
 
 def _summed(places: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -233,53 +274,69 @@ def _summed(places: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.nda
     return key, np.bincount(inverse, weights=np.concatenate([np.zeros(0), *weights]), minlength=len(key))
 
 
+class _Pairs:
+    """Two sums per pair of voters, summed up within a task."""
+
+    def __init__(self, size: int):
+        self.size, self.parts, self.held = size, [], 0
+
+    def add(self, b: Ballots, first, second) -> None:
+        """``first`` and ``second``: values of the votes x and y of one item."""
+        votes = np.bincount(b.item, minlength=len(b.items))
+        last = np.cumsum(votes)[b.item]
+        x, place = _ranges(last - np.arange(len(b.item)) - 1)
+        y = x + 1 + place
+        other = b.voters[x] != b.voters[y]
+        x, y = x[other], y[other]
+        key = np.minimum(b.voters[x], b.voters[y]) * self.size + np.maximum(b.voters[x], b.voters[y])
+        items = b.items[b.item[x]]
+        unique, inverse = np.unique(key, return_inverse=True)
+        self.parts.append((unique, *(np.bincount(inverse, weights=f(x, y) * items, minlength=len(unique)) for f in (first, second))))
+        self.held += len(unique)
+        if self.held > AT_ONCE:
+            self.parts = [self.total()]
+            self.held = len(self.parts[0][0])
+
+    def total(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        key = [k for k, _, _ in self.parts]
+        place, one = _summed(key, [a for _, a, _ in self.parts])
+        return place, one, _summed(key, [a for _, _, a in self.parts])[1]
+
+
 STATS = "a bigint, b bigint, slope double, curve double, right double, votes double"
 
 
-def _statistics(encoded: DataFrame, model: Model, pairs: bool) -> DataFrame:
+def _statistics(distinct: DataFrame, model: Model, pairs: bool) -> DataFrame:
     """Per voter (a = b) the gradient sums; at b = -1 the expected slips of index a; with
     ``pairs`` also per pair of voters the common and all errors. Summed per task before the
-    shuffle."""
-    given = encoded.sparkSession.sparkContext.broadcast(model)
+    shuffle. ``distinct``: the patterns."""
+    given = distinct.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = given.value
         size = len(model.ability)
         sums = np.zeros((4, size))
         slips = np.zeros(0, np.int64), np.zeros(0)
-        errors: dict[int, np.ndarray] = {}
-        for batch in (part for batch in batches for part in _parts(batch)):
-            p = infer(batch, model)
-            easy = p.easiness[:, None]
-            slips = _summed(*zip(slips, _slips(p, model)))
-            for k, value in enumerate((p.weight * (p.shown - p.expected) * easy, p.weight * p.expected * (1 - p.expected) * easy**2, p.right, p.mask.astype(float))):
-                sums[k] += np.bincount(p.voters[p.mask], weights=value[p.mask], minlength=size)
-            m = p.voters.shape[1] if pairs else 0
-            for i in range(m):
-                for j in range(i + 1, m):
-                    both = p.mask[:, i] & p.mask[:, j] & (p.voters[:, i] != p.voters[:, j])
-                    if not both.any():
-                        continue
-                    a, b = p.voters[both, i], p.voters[both, j]
-                    equal = p.codes[both, i] == p.codes[both, j]
-                    wrong = np.where(equal, 1 - p.right[both, i], 0)
-                    either = np.where(equal, 1 - p.right[both, i], 1.0)
-                    key = np.minimum(a, b) * size + np.maximum(a, b)
-                    unique, inverse = np.unique(key, return_inverse=True)
-                    w, e = np.bincount(inverse, weights=wrong), np.bincount(inverse, weights=either)
-                    for q, x, y in zip(unique.tolist(), w, e):
-                        old = errors.setdefault(q, np.zeros(2))
-                        old += (x, y)
+        errors = _Pairs(size)
+        for batch in (part for batch in batches for part in _slices(batch)):
+            b = read(batch)
+            p = infer(b, model)
+            easy, items = p.easiness[b.item], b.items[b.item]
+            slips = _summed(*zip(slips, _slips(b, p, model)))
+            for k, value in enumerate((p.weight * (p.shown - p.expected) * easy, p.weight * p.expected * (1 - p.expected) * easy**2, p.right, 1.0)):
+                sums[k] += np.bincount(b.voters, weights=value * items, minlength=size)
+            if pairs:
+                wrong = lambda x, y: np.where(b.codes[x] == b.codes[y], 1 - p.right[x], 0.0)  # noqa: B023, E731
+                errors.add(b, wrong, lambda x, y: np.where(b.codes[x] == b.codes[y], 1 - p.right[x], 1.0))  # noqa: B023
         met, told = np.flatnonzero(sums[3]), slips[1] > 1e-3
         missed, slipped = slips[0][told], slips[1][told]
-        a = np.concatenate([met, missed, np.array([q // size for q in errors], int)])
-        b = np.concatenate([met, np.full(len(missed), -1), np.array([q % size for q in errors], int)])
-        tail = np.array(list(errors.values())).reshape(-1, 2)
-        none = np.zeros(len(missed))
-        columns = [np.concatenate([sums[k][met], slipped if k == 0 else none, tail[:, k] if k < 2 else np.zeros(len(tail))]) for k in range(4)]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *(pa.array(c, pa.float64()) for c in columns)], [x.split()[0] for x in STATS.split(", ")])
+        key, common, either = errors.total()
+        zero = lambda x: np.zeros(len(x))
+        a, b_ = np.concatenate([met, missed, key // size]), np.concatenate([met, np.full(len(missed), -1), key % size])
+        columns = [np.concatenate([sums[k][met], slipped if k == 0 else zero(missed), (common, either, zero(key), zero(key))[k]]) for k in range(4)]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b_, pa.int64()), *(pa.array(c, pa.float64()) for c in columns)], [x.split()[0] for x in STATS.split(", ")])
 
-    return encoded.mapInArrow(run, STATS).groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in ("slope", "curve", "right", "votes")))
+    return distinct.mapInArrow(run, STATS).groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in ("slope", "curve", "right", "votes")))
 
 
 def _grouped(size: int, pairs: list[tuple[int, int]]) -> np.ndarray:
@@ -294,81 +351,84 @@ def _grouped(size: int, pairs: list[tuple[int, int]]) -> np.ndarray:
 def fit(votes: DataFrame) -> tuple[DataFrame, Model]:
     """The encoded ballots and the fitted abilities and groups of dependent voters."""
     encoded, model = encode(votes)
-    copies = dependent(encoded, model)
+    distinct = patterns(encoded)
+    copies = dependent(distinct, model)
     model.group = _grouped(len(model.group), copies)
+    settled = False
     for k in range(PASSES):
-        pairs = k in (3, 7)
-        stats = _statistics(encoded, model, pairs)
+        # dependence is looked for early, and again when the abilities have settled
+        pairs = k == 2 or settled
+        stats = _statistics(distinct, model, pairs)
         # gathered are voters, their slips and dependent pairs, never items
-        rows = stats.filter((F.col("a") == F.col("b")) | (F.col("b") == -1) | ((F.col("slope") >= COMMON_ERRORS * F.col("curve")) & (F.col("curve") >= LEAST_ERRORS))).limit(MAX_VOTERS + MAX_SLIPS + 1).collect()
+        rows = stats.filter((F.col("a") == F.col("b")) | (F.col("b") == -1) | ((F.col("slope") >= COMMON_ERRORS * F.col("curve")) & (F.col("curve") >= LEAST_ERRORS))).limit(MAX_VOTERS + MAX_SLIPS + 1).toPandas()
         if len(rows) > MAX_VOTERS + MAX_SLIPS:
             raise ValueError(f"more than {MAX_SLIPS} slips of voters")
-        new = model.ability.copy()
-        group, common = model.group, list(copies)
-        places, slips = [], []
-        for r in sorted(rows, key=lambda r: (r.a, r.b)):
-            if r.b == -1:
-                places.append(r.a)
-                slips.append(r.slope)
-            elif r.a == r.b:
-                # Newton step with a normal prior around 1
-                new[r.a] = np.clip(new[r.a] + np.clip((r.slope - (new[r.a] - 1)) / (r.curve + 1), -1, 1), -4, 8)
-            else:
-                common.append((r.a, r.b))
+        rows = rows.sort_values(["a", "b"], kind="stable")
+        own, slipped = rows[rows["a"] == rows["b"]], rows[rows["b"] == -1]
+        new, group, at = model.ability.copy(), model.group, own["a"].to_numpy()
+        # Newton step with a normal prior around 1
+        step = (own["slope"].to_numpy() - (new[at] - 1)) / (own["curve"].to_numpy() + 1)
+        new[at] = np.clip(new[at] + np.clip(step, -1, 1), -4, 8)
         if pairs:
-            group = _grouped(len(new), common)
-        moved = np.abs(new - model.ability).max() if len(new) else 0
-        model = _model(model.names, new, group, model.general, np.array(places, np.int64), np.array(slips, float))
-        if moved < 1e-3 and k > 8:
+            alike = rows[(rows["a"] != rows["b"]) & (rows["b"] >= 0)]
+            group = _grouped(len(new), [*copies, *zip(alike["a"].tolist(), alike["b"].tolist())])
+        moved = np.abs(new - model.ability).max(initial=0)
+        done = settled and np.array_equal(group, model.group)
+        model = _model(model.names, new, group, model.general, slipped["a"].to_numpy(np.int64), slipped["slope"].to_numpy(float))
+        if done:
             break
+        settled = k > 2 and moved < SETTLED
     return encoded, model
 
 
-def _agreements(encoded: DataFrame, size: int) -> DataFrame:
+def _agreements(distinct: DataFrame, size: int) -> DataFrame:
     """(a, b, n, equal): common items and equal votes of each pair of voters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, list] = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            voters, mask = _padded(batch.column(3), 0, np.int64)
-            codes, _ = _padded(batch.column(4), -1, np.int64)
-            for i in range(voters.shape[1]):
-                for j in range(i + 1, voters.shape[1]):
-                    both = mask[:, i] & mask[:, j] & (voters[:, i] != voters[:, j])
-                    a, b = voters[both, i], voters[both, j]
-                    key, inverse = np.unique(np.minimum(a, b) * size + np.maximum(a, b), return_inverse=True)
-                    equal = np.bincount(inverse, weights=codes[both, i] == codes[both, j], minlength=len(key))
-                    for q, x, y in zip(key.tolist(), np.bincount(inverse, minlength=len(key)), equal):
-                        old = total.setdefault(q, [0, 0.0])
-                        old[0] += int(x)
-                        old[1] += float(y)
-        keys = list(total)
-        yield pa.RecordBatch.from_arrays([pa.array([q // size for q in keys], pa.int64()), pa.array([q % size for q in keys], pa.int64()), pa.array([total[q][0] for q in keys], pa.int64()), pa.array([total[q][1] for q in keys], pa.float64())], ["a", "b", "n", "equal"])
-
-    return encoded.mapInArrow(run, "a bigint, b bigint, n bigint, equal double").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("equal").alias("equal"))
-
-
-def dependent(encoded: DataFrame, model: Model) -> list[tuple[int, int]]:
+        total = _Pairs(size)
+        for batch in (part for batch in batches for part in _slices(batch)):
+            b = read(batch)
+            total.add(b, lambda x, y: np.ones(len(x)), lambda x, y: b.codes[x] == b.codes[y])  # noqa: B023
+        key, n, equal = total.total()
+        yield pa.RecordBatch.from_arrays([pa.array(key // size, pa.int64()), pa.array(key % size, pa.int64()), pa.array(n.astype(np.int64), pa.int64()), pa.array(equal, pa.float64())], ["a", "b", "n", "equal"])
+
+    return distinct.mapInArrow(run, "a bigint, b bigint, n bigint, equal double").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("equal").alias("equal"))
+
+
+def dependent(distinct: DataFrame, model: Model) -> list[tuple[int, int]]:
     """Pairs of voters that agree far more than their agreement with others explains.
 
     Among independent voters the chance-corrected agreement of a and b is about the product
     of two reliabilities; each is the median over all partners, so copies can't lift it.
+    Beyond MAX_PAIRS pairs the medians are taken where the pairs are.
     """
-    rows = _agreements(encoded, max(1, len(model.ability))).filter(F.col("n") >= LEAST_COMMON).collect()
-    shares = model.general[:, :-1]
-    chance = np.clip((shares**2).sum(axis=1), 0, 0.9)
-    pairs: dict[int, list[tuple[int, float]]] = {}
-    for r in rows:
-        base = (chance[r.a] + chance[r.b]) / 2
-        corrected = (r.equal / r.n - base) / (1 - base)
-        pairs.setdefault(r.a, []).append((r.b, corrected))
-        pairs.setdefault(r.b, []).append((r.a, corrected))
-    level = dict.fromkeys(pairs, 0.7)
+    size = len(model.ability)
+    chance = np.clip((model.general[:, :-1] ** 2).sum(axis=1), 0, 0.9)
+    spark = distinct.sparkSession
+    number = spark.createDataFrame(pd.DataFrame({"v": np.arange(size), "chance": chance}), "v bigint, chance double") if size else None
+    found = _agreements(distinct, max(1, size)).filter(F.col("n") >= LEAST_COMMON)
+    if number is None:
+        return []
+    for x in "ab":
+        found = found.join(F.broadcast(number.select(F.col("v").alias(x), F.col("chance").alias("chance_" + x))), x)
+    base = (F.col("chance_a") + F.col("chance_b")) / 2
+    found = materialise(found.select("a", "b", ((F.col("equal") / F.col("n") - base) / (1 - base)).alias("x")))
+    level = np.full(size, 0.7)
+    if found.count() <= MAX_PAIRS:
+        pdf = found.toPandas()
+        a, b, x = (pdf[c].to_numpy() for c in ("a", "b", "x"))
+        for _ in range(30):
+            ratio = pd.Series(np.concatenate([x / level[b], x / level[a]])).groupby(np.concatenate([a, b])).median()
+            level[ratio.index.to_numpy()] = np.clip(ratio.to_numpy(), 0.05, 1)
+        told = (x > 0.4) & (x - level[a] * level[b] > EXCESS)
+        return list(zip(a[told].tolist(), b[told].tolist()))
+    both = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "x"))
+    levels = lambda c: F.broadcast(spark.createDataFrame(pd.DataFrame({c: np.arange(size), "level_" + c: level}), f"{c} bigint, level_{c} double"))
     for _ in range(30):
-        level = {a: float(np.clip(np.median([x / level[b] for b, x in own]), 0.05, 1)) for a, own in pairs.items()}
-    return [(a, b) for a, own in pairs.items() for b, x in own if a < b and x > 0.4 and x - level[a] * level[b] > EXCESS]
+        ratio = both.join(levels("b"), "b").groupBy("a").agg(F.median(F.col("x") / F.col("level_b")).alias("m")).toPandas()
+        level[ratio["a"].to_numpy()] = np.clip(ratio["m"].to_numpy(), 0.05, 1)
+    told = found.join(levels("a"), "a").join(levels("b"), "b").filter((F.col("x") > 0.4) & (F.col("x") - F.col("level_a") * F.col("level_b") > EXCESS))
+    return [(r.a, r.b) for r in told.select("a", "b").limit(MAX_PAIRS).toLocalIterator()]
 
 
 LABELS = "image_id string, item string, aspect string, label string, posterior double, difficulty double, agreement double, votes int"
@@ -384,25 +444,50 @@ def consensus(encoded: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = given.value
-        for batch in (part for batch in batches for part in _parts(batch)):
-            p = infer(batch, model)
-            count = p.mask.sum(axis=1)
-            tally = np.stack([((p.codes == c) & p.mask).sum(axis=1) for c in range(p.posterior.shape[1])], axis=1)
-            best = np.argmax(np.round(p.posterior, 9) + 1e-12 * tally, axis=1)
-            observed = (tally * (tally - 1)).sum(axis=1) / np.maximum(count * (count - 1), 1)
-            expected = np.minimum(0.95, np.where(p.mask, p.chance, 0).sum(axis=1) / np.maximum(count, 1))
+        for batch in (part for batch in batches for part in _slices(batch)):
+            first, where = _distinct(batch)
+            b = read(batch.take(first))
+            p = infer(b, model)
+            count = np.bincount(b.item, minlength=len(b.items))
+            tally = np.bincount(b.at, minlength=len(b.owner))
+            score = np.round(p.posterior, 9) + 1e-12 * tally
+            # the first of the best candidates
+            order = np.lexsort((np.arange(len(score)), -score, b.owner))
+            best = order[b.first]
+            observed = np.add.reduceat(tally * (tally - 1), b.first) / np.maximum(count * (count - 1), 1)
+            chance = np.bincount(b.item, weights=model.general[b.voters, b.numbers[b.at]], minlength=len(b.items))
+            expected = np.minimum(0.95, chance / np.maximum(count, 1))
             agreement = np.where(count > 1, (observed - expected) / (1 - expected), np.nan)
-            labels = [own[k] for own, k in zip(batch.column(5).to_pylist(), best)]
-            top = p.posterior[np.arange(len(best)), best]
-            data = [batch.column(0), batch.column(1), batch.column(2), pa.array(labels, pa.string()), pa.array(top), pa.array(1 / p.easiness), pa.array(agreement, pa.float64(), from_pandas=True), pa.array(count, pa.int32())]
+            chosen, labels = (best - b.first)[where], batch.column(5)
+            names = labels.flatten().take(pa.array(np.cumsum(np.diff(labels.offsets.to_numpy())) - np.diff(labels.offsets.to_numpy()) + chosen))
+            data = [batch.column(0), batch.column(1), batch.column(2), names.cast(pa.string()), pa.array(p.posterior[best][where]), pa.array((1 / p.easiness)[where]), pa.array(agreement[where], pa.float64(), from_pandas=True), pa.array(count[where], pa.int32())]
             yield pa.RecordBatch.from_arrays(data, [x.split()[0] for x in LABELS.split(", ")])
 
     return encoded.mapInArrow(run, LABELS)
 
 
+def _distinct(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """The first rows of the batch's distinct ballots, and which of them each row has."""
+    seen: dict[bytes, int] = {}
+    first, where = [], np.zeros(batch.num_rows, np.int64)
+    columns = []
+    for name in ("voters", "codes", "numbers"):
+        column = batch.column(batch.schema.names.index(name))
+        sizes, values = _flat(column, np.int32)
+        ends = np.cumsum(sizes)
+        columns.append((values, ends - sizes, ends))
+    for k in range(batch.num_rows):
+        key = b"|".join([values[start[k] : end[k]].tobytes() for values, start, end in columns])
+        at = seen.setdefault(key, len(first))
+        if at == len(first):
+            first.append(k)
+        where[k] = at
+    return pa.array(first, pa.int64()), where
+
+
 def voters(encoded: DataFrame, model: Model) -> DataFrame:
     """Per voter and aspect: votes, share of true labels, ability, and whom it depends on."""
-    stats = {r.a: r for r in _statistics(encoded, model, False).filter("a = b").collect()}
+    stats = {r.a: r for r in _statistics(patterns(encoded), model, False).filter("a = b").collect()}
     rows = [(name, aspect, int(stats[k].votes), float(stats[k].right / stats[k].votes), float(model.ability[k]), model.names[model.group[k]][1]) for k, (aspect, name) in enumerate(model.names)]
     schema = "voter string, aspect string, votes bigint, reliability double, ability double, voting_group string"
     return encoded.sparkSession.createDataFrame(pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")]), schema)
