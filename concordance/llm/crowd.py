@@ -121,8 +121,10 @@ def encode(votes: DataFrame) -> tuple[DataFrame, Model]:
     total = np.array([r.n for r in rows], float)
     for (aspect, label), k in label_number.items():
         general[[v for v, r in enumerate(rows) if r.aspect == aspect], k] = 20 * share[aspect, label]
-    for r in own.collect():
-        general[index[r.aspect, r.voter], label_number[r.aspect, r.label]] += r.n
+    # at most MAX_VOTERS rows of 1 / FREQUENT labels
+    given = own.toPandas()
+    for aspect, voter, label, count in zip(given["aspect"], given["voter"], given["label"], given["n"]):
+        general[index[aspect, voter], label_number[aspect, label]] += count
     general /= total[:, None] + 20
     general[:, -1] = RARE_SLIP
     tables = votes.sparkSession.sparkContext.broadcast((index, share, label_number, width - 1))

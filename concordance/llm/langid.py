@@ -9,6 +9,9 @@ The filters are fitted on a bounded sample of labelled documents (``PER_LANGUAGE
 language, the first in order of a hash of the document id). Labels are noisy, so an n-gram
 belongs to a language only if its share of documents there is a good part of the largest.
 
+A document none of whose sentences is sure alone, say one of short sentences, is judged by
+all of them together.
+
 Defined results: null or empty text, or text of headings, tables, code and quotations only,
 has no stretches and no language; a repeated document has its own rows; ties go to the
 language that comes first in ``LANGUAGES``; texts are read whole, however long.
@@ -21,17 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LANGUAGES = ("en", "de", "fr", "es", "it", "ru", "zh")
-#: The sample for fitting: documents per language, none longer than MAX_CHARS (45 MB at most).
+#: The sample for fitting: documents per language, none longer than MAX_CHARS.
 PER_LANGUAGE, MAX_CHARS = 400, 16_000
 GRAMS, HASHES, BITS = (2, 4), 2, 21
 #: Share of the most common language's document share from which an n-gram counts.
 KEEP = 0.2
-#: A sentence needs so many letters (CJK letters count double) and such a lead.
+#: The lead that a sentence needs for its language; one of fewer letters than MIN_LETTERS (CJK
+#: letters count double) needs an end mark, and a larger lead in proportion.
 MIN_LETTERS, MIN_LEAD = 16, 0.12
+#: Documents over the sample's size that its hash threshold lets through.
+SPARE = 1.5
 
 #: Spellings of each language's code and name (fixed values).
 SPELLINGS = {
@@ -55,8 +61,10 @@ def label_code(label: Column) -> Column:
 _FENCE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)", re.S)
 _LINE = re.compile(r"^[ \t]*(?:#+[ \t].*|\|.*|[-=_*]{3,}[ \t]*)$", re.M)
 _QUOTE = re.compile(r'"[^"\n]*"|“[^”\n]*”|«[^»\n]*»|„[^“”\n]*[“”]|「[^」\n]*」|《[^》\n]*》')
-_MARK = re.compile(r"<[^<>\n]{1,80}>|`[^`\n]*`|https?://\S+|^[ \t]*(?:>|[-*+]|\d+[.)])[ \t]+|\[\d\d?:\d\d\]", re.M)
+_MARK = re.compile(r"</?[A-Za-z][^<>]*>|<[^<>\n]{1,80}>|`[^`\n]*`|https?://\S+|^[ \t]*(?:>|[-*+]|\d+[.)])[ \t]+|\[\d\d?:\d\d\]", re.M)
 _END = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])|\n+")
+#: The end of a whole sentence.
+_WHOLE = re.compile(r"[.!?…。！？]['\"’”»)]*\s*\Z")
 _LETTER = re.compile(r"[^\W\d_]")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 
@@ -82,8 +90,8 @@ def sentences(text: str | None) -> list[tuple[int, int, str]]:
     return out
 
 
-def _long_enough(s: str) -> bool:
-    return len(s) >= MIN_LETTERS // 2 and len(_LETTER.findall(s)) + len(_WIDE.findall(s)) >= MIN_LETTERS
+def _letters(s: str) -> int:
+    return len(_LETTER.findall(s)) + len(_WIDE.findall(s))
 
 
 _PAD = "   "
@@ -116,7 +124,7 @@ class Filters:
 
     def __init__(self, cells: np.ndarray):
         self.cells = cells
-        fill = np.array([((cells >> np.uint8(k)) & 1).mean() for k in range(len(LANGUAGES))])
+        fill = np.array([((cells >> cells.dtype.type(k)) & 1).mean() for k in range(len(LANGUAGES))])
         self.false = fill**HASHES
 
     @classmethod
@@ -124,7 +132,7 @@ class Filters:
         """From (language, text) pairs; each n-gram counts once per document."""
         grams: list[list[np.ndarray]] = [[] for _ in LANGUAGES]
         for lang, text in labelled:
-            parts = [s for _, _, s in sentences(text) if _long_enough(s)]
+            parts = [s for _, _, s in sentences(text) if _letters(s) >= MIN_LETTERS]
             if parts and lang in LANGUAGES:
                 codes, _ = _codes(parts)
                 grams[LANGUAGES.index(lang)].append(np.unique(np.concatenate([_hashed(codes, n) for n in GRAMS])))
@@ -133,11 +141,12 @@ class Filters:
         share = np.zeros((len(LANGUAGES), len(keys)))
         for k, (own, count) in enumerate(every):
             share[k, np.searchsorted(keys, own)] = np.where(count > 1, count, 0) / max(1, len(grams[k]))
-        cells = np.zeros(1 << BITS, np.uint8)
+        kind = np.min_scalar_type((1 << len(LANGUAGES)) - 1)  # a bit for each language
+        cells = np.zeros(1 << BITS, kind)
         top = share.max(axis=0)
         for k in range(len(LANGUAGES)):
             for slot in _slots(keys[(share[k] > 0) & (share[k] >= KEEP * top)]):
-                cells[slot] |= np.uint8(1 << k)
+                cells[slot] |= kind.type(1 << k)
         return cls(cells)
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -153,45 +162,81 @@ class Filters:
             for slot in rest:
                 found &= self.cells[slot]
             for k in range(len(LANGUAGES)):
-                hits[:, k] += np.add.reduceat((found >> np.uint8(k)) & np.uint8(1), np.minimum(starts, len(found) - 1), dtype=np.int32)
+                hits[:, k] += np.add.reduceat((found >> found.dtype.type(k)) & found.dtype.type(1), np.minimum(starts, len(found) - 1), dtype=np.int32)
         share = hits / (len(GRAMS) * total[:, None])
         return np.maximum(0, (share - self.false) / np.maximum(1e-9, 1 - self.false))
 
 
 def fit(documents: DataFrame) -> Filters:
-    """Filters fitted on the bounded sample of labelled documents."""
-    coded = documents.select("doc_id", "text", label_code(F.col("lang")).alias("code")).filter(F.col("code").isNotNull() & F.length("text").between(1, MAX_CHARS))
-    first = Window.partitionBy("code").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = coded.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= PER_LANGUAGE)
-    return Filters.fit([(r.code, r.text) for r in sample.select("code", "text").collect()])
+    """Filters fitted on the bounded sample of labelled documents.
+
+    A threshold on a hash of the id, set by each language's number of documents, lets a few
+    more through than the sample needs, and only these leave their tasks.
+    """
+    coded = documents.select("doc_id", "text", label_code(F.col("lang")).alias("code")).filter(F.col("code").isNotNull())
+    counts = {r.code: r.n for r in coded.groupBy("code").agg(F.count("*").alias("n")).collect()}
+    most = 1 << 31
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(most))
+    found: dict[str, list[tuple]] = {}
+    share = {code: SPARE * PER_LANGUAGE / n for code, n in counts.items()}
+    while share:
+        # languages with too few of a fit length get a larger threshold and another pass
+        wanted = F.coalesce(*(F.when(F.col("code") == code, F.lit(int(min(1, x) * most))) for code, x in share.items()))
+        rows = coded.filter(F.col("code").isin(*share) & (place < wanted) & F.length("text").between(1, MAX_CHARS)).select("code", "doc_id", "text", place.alias("place"))
+        for code in share:
+            found[code] = []
+        for r in rows.toLocalIterator():
+            found[r.code].append((r.place, r.doc_id, r.text))
+            if len(found[r.code]) > 4 * SPARE * PER_LANGUAGE:
+                found[r.code] = sorted(found[r.code])[:PER_LANGUAGE]
+        share = {code: 4 * x for code, x in share.items() if x < 1 and len(found[code]) < PER_LANGUAGE}
+    return Filters.fit([(code, text) for code in sorted(found) for _, _, text in sorted(found[code])[:PER_LANGUAGE]])
 
 
 def _stretches(filters: Filters, texts: list[str | None]) -> list[list[tuple]]:
     """For each text its stretches: (start, end, language index, confidence, sentences)."""
-    cut = [[s for s in sentences(t) if _long_enough(s[2])] for t in texts]
-    scores = filters.scores([s[2] for own in cut for s in own])
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :2] if len(scores) else np.zeros((0, 2), int)
-    rows = np.arange(len(scores))
-    best, second = scores[rows, order[:, 0]], scores[rows, order[:, 1]]
+    cut = [[(*s, n) for s in sentences(t) if (n := _letters(s[2])) >= MIN_LETTERS or n and _WHOLE.search(s[2])] for t in texts]
+    order, best, second = _ranked(filters.scores([s[2] for own in cut for s in own]))
+    letters = np.array([s[3] for own in cut for s in own])
     lead = np.where(best > 0, (best - second) / np.maximum(best, 1e-9), 0)
-    confidence = best * best / np.maximum(1e-9, best * best + second * second)
-    out, at = [], 0
+    sure = (best > 0) & (lead >= MIN_LEAD * np.maximum(1, MIN_LETTERS / np.maximum(letters, 1)))
+    confidence = _confidence(best, second)
+    out, at, open_ = [], 0, []
     for own in cut:
         merged: list[tuple] = []
-        for start, end, _ in own:
-            lang, sure, at = int(order[at, 0]), bool(lead[at] >= MIN_LEAD), at + 1
-            if not sure:
+        for start, end, _, _ in own:
+            lang, c, told = int(order[at]), float(confidence[at]), sure[at]
+            at += 1
+            if not told:
                 continue
-            c = float(confidence[at - 1])
             if merged and merged[-1][2] == lang:
                 p = merged[-1]
                 merged[-1] = (p[0], end, lang, (p[3] * p[4] + c) / (p[4] + 1), p[4] + 1)
             else:
                 merged.append((start, end, lang, c, 1))
+        if own and not merged:
+            open_.append(len(out))
         out.append(merged)
+    if open_:
+        order, best, second = _ranked(filters.scores([" ".join(s[2] for s in cut[k]) for k in open_]))
+        confidence = _confidence(best, second)
+        for n, k in enumerate(open_):
+            if best[n] > second[n]:
+                out[k] = [(cut[k][0][0], cut[k][-1][1], int(order[n]), float(confidence[n]), len(cut[k]))]
     return out
 
 
+def _ranked(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best language of each row, its score and the second one's."""
+    order = np.argsort(-scores, axis=1, kind="stable")[:, :2] if len(scores) else np.zeros((0, 2), int)
+    rows = np.arange(len(scores))
+    return order[:, 0], scores[rows, order[:, 0]], scores[rows, order[:, 1]]
+
+
+def _confidence(best: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return best * best / np.maximum(1e-9, best * best + second * second)
+
+
 SEGMENTS = "array<struct<start:int,end:int,lang:string,confidence:double,sentences:int>>"
 _SEGMENT_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("sentences", pa.int32())]))
 

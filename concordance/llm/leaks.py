@@ -20,7 +20,7 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -187,8 +187,10 @@ class Searcher:
     def _passage(self, doc: list[int], i: int, item: int, j: int) -> tuple[int, int] | None:
         """The longest sound passage through the run at (i, j): (tokens, edits)."""
         seq, least = self.items[item], int(self.least[item])
-        right = _reach(doc, i, seq, j, 1, self.most)
-        left = _reach(doc, i - 1, seq, j - 1, -1, self.most)
+        # no passage of the item can have more edits than a tenth of it, about
+        most = max(self.most, len(seq) * EDITS_IN_TEN // 10 + 1)
+        right = _reach(doc, i, seq, j, 1, most)
+        left = _reach(doc, i - 1, seq, j - 1, -1, most)
         best = None
         for a, x in enumerate(left):
             for b, y in enumerate(right):
@@ -233,21 +235,38 @@ class Searcher:
 LEAKS = "doc_id bigint, item_id bigint, passage_tokens int, edits int"
 
 
+@lru_cache(maxsize=2)
+def _searcher(given) -> Searcher:
+    """The searcher of a block of items, prepared once per worker and not per task."""
+    return Searcher(given.value)
+
+
+def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The items in order of their ids, ITEMS_AT_ONCE at a time; the driver holds one block."""
+    rows = items.select("item_id", "text").filter("text is not null").orderBy("item_id")
+    block: list[tuple[int, str]] = []
+    for r in rows.toLocalIterator():
+        block.append((r.item_id, r.text))
+        if len(block) == ITEMS_AT_ONCE:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, passage_tokens, edits): every item a document repeats a passage of.
 
     The items are the stated query set; they are searched for in blocks, each block in one
     pass over the corpus without a shuffle.
     """
-    rows = [(r.item_id, r.text) for r in items.select("item_id", "text").filter("text is not null").toLocalIterator()]
-    rows.sort(key=lambda r: r[0])
-    blocks = [rows[k : k + ITEMS_AT_ONCE] for k in range(0, len(rows), ITEMS_AT_ONCE)] or [[]]
+    context = documents.sparkSession.sparkContext
 
     def scan(block: list[tuple[int, str]]) -> DataFrame:
-        given = documents.sparkSession.sparkContext.broadcast(block)
+        given = context.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(given.value)
+            searcher = _searcher(given)
             for batch in batches:
                 for start in range(0, batch.num_rows, 128):
                     part = batch.slice(start, 128)
@@ -257,4 +276,5 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
 
         return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).filter("text is not null").mapInArrow(run, LEAKS)
 
-    return reduce(DataFrame.unionAll, map(scan, blocks))
+    scans = [scan(block) for block in _blocks(items)] or [scan([])]
+    return reduce(DataFrame.unionAll, scans)

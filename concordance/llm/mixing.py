@@ -32,6 +32,8 @@ from concordance.session import materialise
 
 #: Documents of a block; a block is one group of one task.
 BLOCK = 4096
+#: Listed sources; their targets and totals are gathered.
+MAX_SOURCES = 100_000
 #: Place of a public tokenizer's ranks; the same on every worker.
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: How that vocabulary splits texts (fixed value).
@@ -49,19 +51,8 @@ def encoder(ranks: str):
 
 
 def token_count(text: str, encoding) -> int:
-    """Tokens of a whole text; very long ones go through in pieces cut at line ends or
-    spaces, since a piece without any break would take quadratic time."""
-    if len(text) <= 100_000:
-        return len(encoding.encode_ordinary(text))
-    total, at = 0, 0
-    while at < len(text):
-        end = min(len(text), at + 50_000)
-        if end < len(text):
-            cut = max(text.rfind("\n", at, end), text.rfind(" ", at, end))
-            end = cut if cut > at else end
-        total += len(encoding.encode_ordinary(text[at:end]))
-        at = end
-    return total
+    """Tokens of a whole text, however long."""
+    return len(encoding.encode_ordinary(text))
 
 
 def sizes(documents: DataFrame, ranks: str = RANKS) -> DataFrame:
@@ -137,9 +128,13 @@ def mixture(sized: DataFrame, targets: DataFrame, total: float | None = None, se
     """(doc_id, source, tokens, copies) of the documents in the mixture."""
     spark = sized.sparkSession
     sized = materialise(sized)
-    asked = {r.source: (float(r.target_share or 0), int(r.max_repeats or 0)) for r in targets.filter("source is not null").select("source", "target_share", "max_repeats").collect()}
+    given = targets.filter("source is not null").select("source", "target_share", "max_repeats").limit(MAX_SOURCES + 1).collect()
+    if len(given) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} target sources")
+    asked = {r.source: (float(r.target_share or 0), int(r.max_repeats or 0)) for r in given}
     # one row per listed source comes to the driver
-    listed = sized.join(F.broadcast(targets.select("source").distinct()), "source")
+    names = spark.createDataFrame([(s,) for s in sorted(asked)], "source string")
+    listed = sized.join(F.broadcast(names), "source")
     totals = {r.source: (r.n, r.tokens) for r in listed.groupBy("source").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens")).collect()}
     times, _ = plan(totals, asked, total)
     if not times:

@@ -49,3 +49,28 @@ def test_no_false_negatives_of_the_filter():
     filters = langid.Filters.fit([("en", EN), ("en", EN), ("de", DE), ("de", DE)])
     scores = filters.scores([EN, DE])
     assert scores[0].argmax() == 0 and scores[1].argmax() == 1 and scores[0, 0] > 0.9
+
+
+def test_short_sentences(spark, filters):
+    """Short sentences count, alone by a larger lead and else together; fragments don't."""
+    rows = [(1, "Das geht so nicht. Das ist gut. Wir haben es auch.", None), (2, EN + " Das Prüfteam.", "en"), (3, EN + " Zodor", "en"), (4, "Ok.", None), (5, "第二页。不好。", None)]
+    cut = langid.stretches(spark.createDataFrame(rows, "doc_id long, text string, lang string"), filters)
+    found = {}
+    for r in langid.mislabelled(cut).collect():
+        found.setdefault(r.doc_id, set()).add(r.lang)
+    assert found[1] == {"de"} and found[2] == {"en", "de"} and 3 not in found and found[5] == {"zh"}
+
+
+def test_sample_is_bounded_and_whole(spark):
+    """Few documents of a language are all taken; of many the first by hash, whatever the split."""
+    rows = [(k, EN if k % 10 else DE, "en" if k % 10 else "de") for k in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    original = langid.Filters.fit
+    langid.Filters.fit = classmethod(lambda cls, labelled: seen.append(sorted(labelled)) or original(labelled))
+    try:
+        langid.fit(df.repartition(3))
+        langid.fit(df.repartition(7))
+    finally:
+        langid.Filters.fit = original
+    assert seen[0] == seen[1] and len(seen[0]) == 2 * langid.PER_LANGUAGE

@@ -91,3 +91,19 @@ def test_long_tags_and_tags_over_lines_leave_nothing():
     prose = "one, two. " * 20
     assert len(leaks.tokens(f"a <b, {prose}> c")) == 43
     assert leaks.tokens("<a " * 50_000)[-1] == "a"
+
+
+def test_long_passages_with_many_edits():
+    """400 words with a change in every 13th are one passage of full length."""
+    words = [f"w{k}x" for k in range(400)]
+    changed = [w if k % 13 else "other" for k, w in enumerate(words)]
+    (found,) = leaks.Searcher([(1, " ".join(words))]).find([" ".join(["so"] * 30 + changed[1:399] + ["so"] * 30)])
+    assert found == [(1, 398, 30)]
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "ITEMS_AT_ONCE", 2)
+    texts = [" ".join(f"{c}{k}y" for k in range(50)) for c in "abcde"]
+    items = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(9, None)], "item_id long, text string")
+    documents = spark.createDataFrame([(k, f"Before it. {t} After it.") for k, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in leaks.leaks(documents, items).collect()) == [(k, k) for k in range(5)]
