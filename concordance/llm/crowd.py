@@ -93,7 +93,7 @@ def _model(names: list, ability: np.ndarray, group: np.ndarray, general: np.ndar
 def ballots(votes: DataFrame) -> DataFrame:
     """One row per item from rows (image_id, item, aspect, voter, label)."""
     kept = votes.filter("voter is not null and label is not null")
-    return kept.groupBy("image_id", "item", "aspect").agg(F.sort_array(F.collect_set(F.struct("label", "voter"))).alias("votes"))
+    return kept.groupBy("image_id", "item", "aspect").agg(F.collect_set(F.struct("label", "voter")).alias("votes"))
 
 
 def encode(votes: DataFrame) -> tuple[DataFrame, Model]:
@@ -138,11 +138,12 @@ def encode(votes: DataFrame) -> tuple[DataFrame, Model]:
             ends, flat = np.cumsum(sizes), given_by.flatten()
             names, said = flat.field("voter").to_pylist(), flat.field("label").to_pylist()
             for aspect, end, size in zip(batch.column(2).to_pylist(), ends.tolist(), sizes.tolist()):
-                given = range(end - size, end)
-                labels = sorted({said[v] for v in given})
-                code = {x: k for k, x in enumerate(labels)}
-                out[0].append([index[aspect, names[v]] for v in given])
-                out[1].append([code[said[v]] for v in given])
+                # by voter, labels numbered as they come: like ballots are equal, whatever their texts
+                given = sorted((index[aspect, names[v]], said[v]) for v in range(end - size, end))
+                code: dict[str, int] = {}
+                out[1].append([code.setdefault(x, len(code)) for _, x in given])
+                out[0].append([v for v, _ in given])
+                labels = list(code)
                 out[2].append(labels)
                 out[3].append([label_number.get((aspect, x), rare) for x in labels])
                 out[4].append([share.get((aspect, x), RARE) for x in labels])
@@ -461,7 +462,15 @@ def consensus(encoded: DataFrame, model: Model) -> DataFrame:
             expected = np.minimum(0.95, chance / np.maximum(count, 1))
             agreement = np.where(count > 1, (observed - expected) / (1 - expected), np.nan)
             chosen, labels = (best - b.first)[where], batch.column(5)
-            names = labels.flatten().take(pa.array(np.cumsum(np.diff(labels.offsets.to_numpy())) - np.diff(labels.offsets.to_numpy()) + chosen))
+            sizes = np.diff(labels.offsets.to_numpy())
+            start = np.cumsum(sizes) - sizes
+            # of equally good labels the smaller one
+            ties = np.add.reduceat((np.abs(score - score[best][b.owner]) < 1e-13).astype(int), b.first)[where] > 1
+            for k in np.flatnonzero(ties):
+                own = labels[int(k)].as_py()
+                tied = np.flatnonzero(np.abs(score[b.first[where[k]] :][: sizes[k]] - score[best[where[k]]]) < 1e-13)
+                chosen[k] = min(tied, key=lambda c: own[c])  # noqa: B023
+            names = labels.flatten().take(pa.array(start + chosen))
             data = [batch.column(0), batch.column(1), batch.column(2), names.cast(pa.string()), pa.array(p.posterior[best][where]), pa.array((1 / p.easiness)[where]), pa.array(agreement[where], pa.float64(), from_pandas=True), pa.array(count[where], pa.int32())]
             yield pa.RecordBatch.from_arrays(data, [x.split()[0] for x in LABELS.split(", ")])
 
