@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import re
-import unicodedata
-from collections import Counter, deque
 from collections.abc import Iterator
 from itertools import count
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,22 +102,22 @@ def parsed(df: DataFrame, key: str, column: str) -> DataFrame:
 # --- relations over many graphs ----------------------------------------------------------
 
 
-def reachable(edges: DataFrame, rounds: int = 30) -> DataFrame:
+def reachable(edges: DataFrame) -> DataFrame:
     """(graph, source, target) for every target that a path leads to.
 
-    Paths double each round, so ``rounds`` bounds the path length by 2^rounds; each round is
-    written once. A node reaches itself only through a cycle.
+    Each round joins the paths found last with all that are known, so a path doubles its
+    length and is built from new ones only; a round writes its new paths, and rounds end when
+    there are none. A node reaches itself only through a cycle.
     """
-    paths = materialise(edges.select("graph", "source", "target").distinct())
-    known = paths.count()
-    for _ in range(rounds):
-        longer = paths.alias("a").join(paths.alias("b"), (F.col("a.graph") == F.col("b.graph")) & (F.col("a.target") == F.col("b.source"))).select("a.graph", "a.source", "b.target")
-        paths = materialise(paths.unionAll(longer).distinct())
-        now = paths.count()
-        if now == known:
-            break
-        known = now
-    return paths
+    front = materialise(edges.select("graph", "source", "target").distinct())
+    known = front
+    while not front.isEmpty():
+        link = (F.col("a.graph") == F.col("b.graph")) & (F.col("a.target") == F.col("b.source"))
+        on = front.alias("a").join(known.alias("b"), link).select("a.graph", "a.source", "b.target")
+        back = known.alias("a").join(front.alias("b"), link).select("a.graph", "a.source", "b.target")
+        front = materialise(on.unionAll(back).distinct().join(known, ["graph", "source", "target"], "left_anti"))
+        known = known.unionAll(front)
+    return known
 
 
 def depths(nodes: DataFrame, edges: DataFrame, base: int = 1) -> DataFrame:
@@ -144,14 +141,14 @@ def depths(nodes: DataFrame, edges: DataFrame, base: int = 1) -> DataFrame:
     return nodes.join(found, ["graph", "node_id"], "left").select("graph", "node_id", F.coalesce("depth", F.greatest(F.lit(1), F.coalesce("order_index", F.lit(1)))).alias("depth"))
 
 
-def pruned(nodes: DataFrame, fused: DataFrame, low: DataFrame, rounds: int = 50) -> DataFrame:
+def pruned(nodes: DataFrame, fused: DataFrame, low: DataFrame) -> DataFrame:
     """Nodes without those that lack support and agreement and that only weak edges touch.
 
     ``nodes``: graph, node_id, support, n, text_consistency; ``fused`` and ``low``: edges.
-    Repeated until nothing is removed.
+    Repeated until nothing is removed; each round removes nodes, so the rounds end.
     """
     ends = lambda e: e.select("graph", F.col("source").alias("node_id")).unionAll(e.select("graph", F.col("target").alias("node_id"))).distinct()
-    for _ in range(rounds):
+    while True:
         weak = nodes.filter((F.col("support") < F.col("n")) & (F.col("text_consistency") < 0.35))
         gone = materialise(weak.join(ends(fused), ["graph", "node_id"], "left_anti").join(ends(low), ["graph", "node_id"], "left_semi").select("graph", "node_id"))
         if gone.isEmpty():
@@ -161,264 +158,3 @@ def pruned(nodes: DataFrame, fused: DataFrame, low: DataFrame, rounds: int = 50)
             low = low.join(gone.withColumnRenamed("node_id", side), ["graph", side], "left_anti")
         low = materialise(low)
     return nodes
-
-
-# --- comparison of two graphs ------------------------------------------------------------
-
-#: Weights of node parts, of the graph score and of the whole score (fixed values).
-NODE_PARTS = {"label": 0.35, "shape": 0.10, "subgraph": 0.10, "incoming": 0.15, "outgoing": 0.15, "degree": 0.10, "position": 0.05}
-NODE_MATCH, EDGE_MATCH = 0.65, 0.70
-_DROP = re.compile(r"[\s\-_.,，、;；:：!?？！\"'`“”‘’·•()\[\]{}<>/\\|]+")
-
-
-def signature(value: object) -> str:
-    return _DROP.sub("", unicodedata.normalize("NFKC", str(value or "")).casefold())
-
-
-def _pairs(s: str) -> set[str]:
-    return {s[k : k + 2] for k in range(max(1, len(s) - 1))} if s else set()
-
-
-def text_score(a: str, b: str) -> float:
-    x, y = _pairs(signature(a)), _pairs(signature(b))
-    return 1.0 if x == y else len(x & y) / len(x | y)
-
-
-def dice(a: Counter, b: Counter) -> float:
-    total = sum(a.values()) + sum(b.values())
-    return 2 * sum((a & b).values()) / total if total else 1.0
-
-
-def near(a: int, b: int) -> float:
-    return max(0.0, 1 - abs(a - b) / max(abs(a), abs(b), 1))
-
-
-def distances(ids: list[str], out: dict[str, set[str]], seeds: list[str]) -> dict[str, int]:
-    """Steps from the seeds; without seeds 1, 2, .. by name; the unreached follow the farthest."""
-    if not seeds:
-        return {n: k for k, n in enumerate(sorted(ids), 1)}
-    got = dict.fromkeys(seeds, 0)
-    queue = deque(sorted(set(seeds)))
-    while queue:
-        n = queue.popleft()
-        for t in sorted(out.get(n, ())):
-            if t not in got:
-                got[t] = got[n] + 1
-                queue.append(t)
-    last = max(got.values(), default=0)
-    for n in ids:
-        if n not in got:
-            last += 1
-            got[n] = last
-    return got
-
-
-def closure(ids: list[str], out: dict[str, set[str]]) -> dict[str, set[str]]:
-    reach = {}
-    for n in ids:
-        seen: set[str] = set()
-        todo = list(out.get(n, ()))
-        while todo:
-            t = todo.pop()
-            if t not in seen:
-                seen.add(t)
-                todo += out.get(t, ())
-        reach[n] = seen
-    return reach
-
-
-class Features:
-    """What the comparison needs of one graph."""
-
-    def __init__(self, nodes: list[dict], edges: list[dict]):
-        self.nodes = {n["node_id"]: n for n in nodes}
-        self.ids = list(self.nodes)
-        self.edges = [e for e in edges if e["source"] in self.nodes and e["target"] in self.nodes]
-        self.out: dict[str, set[str]] = {}
-        self.into: dict[str, set[str]] = {}
-        self.incoming = {n: Counter() for n in self.ids}
-        self.outgoing = {n: Counter() for n in self.ids}
-        self.degree = {n: [0, 0] for n in self.ids}
-        self.text = {i: n.get("text") or i for i, n in self.nodes.items()}
-        for e in self.edges:
-            s, t, label = e["source"], e["target"], signature(e.get("label"))
-            self.out.setdefault(s, set()).add(t)
-            self.into.setdefault(t, set()).add(s)
-            self.incoming[t][signature(self.text[s]) or s, label] += 1
-            self.outgoing[s][signature(self.text[t]) or t, label] += 1
-            self.degree[s][1] += 1
-            self.degree[t][0] += 1
-        self.start = distances(self.ids, self.out, [n for n in self.ids if not self.degree[n][0]])
-        self.finish = distances(self.ids, self.into, [n for n in self.ids if not self.degree[n][1]])
-        order = sorted(self.ids, key=lambda n: self.nodes[n].get("order_index") or 0)
-        self.place = {n: k / max(1, len(order) - 1) for k, n in enumerate(order)}
-        self.reach = closure(self.ids, self.out)
-        self.groups = Counter(p for n in self.nodes.values() if (p := signature(n.get("parent"))))
-
-
-def node_score(a: Features, x: str, b: Features, y: str) -> float:
-    p, q = a.nodes[x], b.nodes[y]
-    s, t = p.get("shape") or "unknown", q.get("shape") or "unknown"
-    g, h = signature(p.get("parent")), signature(q.get("parent"))
-    (i, o), (j, u) = a.degree[x], b.degree[y]
-    role = ((i == 0) == (j == 0)) / 2 + ((o == 0) == (u == 0)) / 2
-    parts = {
-        "label": text_score(a.text[x], b.text[y]), "shape": 1.0 if s == t else 0.5 if "unknown" in (s, t) else 0.0,
-        "subgraph": 1.0 if g == h else 0.0 if not g or not h else text_score(g, h),
-        "incoming": dice(a.incoming[x], b.incoming[y]), "outgoing": dice(a.outgoing[x], b.outgoing[y]),
-        "degree": max(0.0, 1 - (abs(i - j) + abs(o - u)) / (2 * max(i + o, j + u, 1))),
-        "position": 0.35 * role + 0.25 * near(a.start[x], b.start[y]) + 0.20 * near(a.finish[x], b.finish[y]) + 0.20 * (1 - abs(a.place[x] - b.place[y])),
-    }
-    return sum(w * parts[k] for k, w in NODE_PARTS.items())
-
-
-def assignment(weight: list[list[float]]) -> list[int]:
-    """For each row its column in a one-to-one choice of largest total weight.
-
-    Shortest augmenting paths with potentials on the padded square matrix.
-    """
-    rows, cols = len(weight), len(weight[0]) if weight else 0
-    n = max(rows, cols)
-    cost = [[-(weight[i][j]) if i < rows and j < cols else 0.0 for j in range(n)] for i in range(n)]
-    u, v = [0.0] * (n + 1), [0.0] * (n + 1)
-    owner = [n] * (n + 1)
-    for i in range(n):
-        owner[n] = i
-        column = n
-        least, prev, done = [float("inf")] * n, [n] * n, [False] * (n + 1)
-        while owner[column] != n:
-            done[column] = True
-            row, step, nxt = owner[column], float("inf"), n
-            for j in range(n):
-                if not done[j]:
-                    reduced = cost[row][j] - u[row] - v[j]
-                    if reduced < least[j]:
-                        least[j], prev[j] = reduced, column
-                    if least[j] < step:
-                        step, nxt = least[j], j
-            for j in range(n + 1):
-                if done[j]:
-                    u[owner[j]] += step
-                    v[j] -= step
-                elif j < n:
-                    least[j] -= step
-            column = nxt
-        while column != n:
-            before = prev[column]
-            owner[column] = owner[before]
-            column = before
-    out = [-1] * rows
-    for j in range(cols):
-        if owner[j] < rows:
-            out[owner[j]] = j
-    return out
-
-
-def _f1(hit: float, a: int, b: int) -> float:
-    return 2 * hit / (a + b) if a + b else 1.0
-
-
-def _scores(a: Features, b: Features, mapping: dict[str, str], sim: dict[tuple[str, str], float]) -> dict:
-    """Scores of one mapping: matched nodes and edges, paths, subgraphs, penalties."""
-    good = {x: y for x, y in mapping.items() if sim[x, y] >= NODE_MATCH}
-    node_f1 = _f1(len(good), len(a.ids), len(b.ids))
-    agreement = sum(sim[x, y] for x, y in good.items()) / max(len(a.ids), len(b.ids), 1)
-    left = Counter()
-    free: dict[tuple[str, str], list[dict]] = {}
-    for e in b.edges:
-        free.setdefault((e["source"], e["target"]), []).append(e)
-    hits = reversed_ = 0
-    for e in a.edges:
-        ends = good.get(e["source"]), good.get(e["target"])
-        if None in ends:
-            continue
-        rank = lambda f: text_score(e.get("label"), f.get("label")) if e.get("label") or f.get("label") else 1.0
-        best = max(free.get(ends, ()), key=rank, default=None)
-        if best is not None:
-            label = rank(best)
-            if 0.45 + 0.25 * label + 0.20 + 0.10 >= EDGE_MATCH and (label >= 0.4 or not e.get("label")):
-                hits += 1
-                free[ends].remove(best)
-                continue
-        reversed_ += bool(free.get(ends[::-1]))
-    edge_f1 = _f1(hits, len(a.edges), len(b.edges))
-    chosen = list(good)
-    same = total = 0
-    for x in chosen:
-        for z in chosen:
-            if x != z:
-                total += 1
-                same += (z in a.reach[x]) == (good[z] in b.reach[good[x]])
-    path = same / total if total else float(bool(good) or not (a.ids or b.ids))
-    sub = dice(a.groups, b.groups)
-    for n in a.ids:
-        left[signature(a.text[n])] += 1
-    taken = Counter(signature(a.text[x]) for x in good)
-    collapse = sum(c - taken[k] for k, c in left.items() if c > 1) / max(1, len(a.ids))
-    there = Counter(signature(b.text[n]) for n in b.ids)
-    split = sum(max(0, there[k] - left[k]) for k in left) / max(1, len(b.ids))
-    objective = 0.45 * agreement + 0.40 * edge_f1 + 0.10 * path + 0.05 * sub
-    structure = 0.35 * node_f1 + 0.45 * edge_f1 + 0.10 * path + 0.05 * sub - 0.025 * collapse - 0.025 * split
-    return {"node_f1": node_f1, "edge_f1": edge_f1, "path": path, "subgraph": sub, "objective": objective, "structure": max(0.0, min(1.0, structure)), "reversed": reversed_, "matched": good}
-
-
-def compare_graphs(nodes_a: list[dict], edges_a: list[dict], nodes_b: list[dict], edges_b: list[dict]) -> dict:
-    """Scores of two graphs under the best mapping found: optimal by node score, then two
-    rounds of pair swaps that raise the objective."""
-    a, b = Features(nodes_a, edges_a), Features(nodes_b, edges_b)
-    if not a.ids or not b.ids:
-        equal = float(not a.ids and not b.ids)
-        return {"node_f1": equal, "edge_f1": equal, "path": equal, "subgraph": equal, "objective": equal, "structure": equal, "reversed": 0, "matched": {}}
-    sim = {(x, y): node_score(a, x, b, y) for x in a.ids for y in b.ids}
-    columns = assignment([[sim[x, y] for y in b.ids] for x in a.ids])
-    mapping = {x: b.ids[j] for x, j in zip(a.ids, columns) if j >= 0}
-    best = _scores(a, b, mapping, sim)
-    for _ in range(2):
-        better = False
-        keys = list(mapping)
-        for i, x in enumerate(keys):
-            for z in keys[i + 1 :]:
-                trial = {**mapping, x: mapping[z], z: mapping[x]}
-                # a swap can only help if both ends stay plausible
-                if min(sim[x, trial[x]], sim[z, trial[z]]) < 0.5:
-                    continue
-                got = _scores(a, b, trial, sim)
-                if got["objective"] > best["objective"] + 1e-9:
-                    mapping, best, better = trial, got, True
-        if not better:
-            break
-    return best
-
-
-COMPARED = "node_f1 double, edge_f1 double, path double, subgraph double, objective double, structure double, reversed_edges int, matched int"
-
-
-def compared(pairs: DataFrame, key: list[str]) -> DataFrame:
-    """Scores of rows (key..., nodes_a, edges_a, nodes_b, edges_b), a pair per row."""
-    types = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = []
-            for r in pdf.to_dict("records"):
-                s = compare_graphs(*(list(r[c]) if r[c] is not None else [] for c in ("nodes_a", "edges_a", "nodes_b", "edges_b")))
-                rows.append([*(r[k] for k in key), *(round(s[c], 4) for c in ("node_f1", "edge_f1", "path", "subgraph", "objective", "structure")), s["reversed"], len(s["matched"])])
-            yield pd.DataFrame(rows, columns=[*key, *(x.split()[0] for x in COMPARED.split(", "))])
-
-    return pairs.mapInPandas(run, ", ".join(f"`{k}` {types[k]}" for k in key) + ", " + COMPARED)
-
-
-def diagram_score(structure: float, text: float, ast: float, path: float, edge_f1: float, node_f1: float, render: float, valid: bool = True) -> float:
-    """The weighted diagram score; an invalid diagram scores 0.2 of its text at most."""
-    if not valid:
-        return min(0.2, 0.2 * text)
-    semantic = 0.55 * path + 0.25 * (0.5 * edge_f1 + 0.5 * path) + 0.20 * (0.5 * node_f1 + 0.5 * path)
-    return 0.10 * text + 0.15 * ast + 0.45 * structure + 0.20 * semantic + 0.10 * render
-
-
-def ast_score(nodes_a: list[dict], edges_a: list[dict], nodes_b: list[dict], edges_b: list[dict]) -> float:
-    """Counts of nodes, edges, subgraphs and shapes compared."""
-    ratio = lambda x, y: 1.0 if x == y == 0 else 0.0 if not x or not y else min(x, y) / max(x, y)
-    groups = lambda ns: len({n["parent"] for n in ns if n.get("parent")})
-    shapes = lambda ns: Counter(n.get("shape") for n in ns)
-    return 0.35 * ratio(len(nodes_a), len(nodes_b)) + 0.30 * ratio(len(edges_a), len(edges_b)) + 0.15 * ratio(groups(nodes_a), groups(nodes_b)) + 0.20 * dice(shapes(nodes_a), shapes(nodes_b))

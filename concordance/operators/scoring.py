@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from concordance.functions import seals, text
-from concordance.operators import graphs, voting
+from concordance.operators import comparison, graphs, voting
 from concordance.operators.payloads import repaired
 
 #: Types, kinds and the format of each kind (fixed values).
@@ -85,13 +85,14 @@ def structure_score(kinds: list[str], contents: list[str]) -> float:
         drawn = {c: graphs.parse_diagram(c) for c in own}
         if len(own) == 1:
             return 0.4 + 0.1 * bool(drawn[own[0]][1])
-        same = {(a, b): graphs.compare_graphs(*drawn[a][1:], *drawn[b][1:]) for a, b in pairs}
+        same = {(a, b): comparison.compare_graphs(*drawn[a][1:], *drawn[b][1:]) for a, b in pairs}
         structure = mean(lambda a, b: same[a, b]["structure"])
 
         def whole(a: str, b: str) -> float:
             s = same[a, b]
-            render = 0.6 * (drawn[a][0] == drawn[b][0]) + 0.4 * min(len(drawn[a][1]), len(drawn[b][1])) / max(1, len(drawn[a][1]), len(drawn[b][1]))
-            return graphs.diagram_score(s["structure"], graphs.text_score(a, b), graphs.ast_score(*drawn[a][1:], *drawn[b][1:]), s["path"], s["edge_f1"], s["node_f1"], render, bool(drawn[a][1] and drawn[b][1]))
+            render = comparison.render_score(drawn[a][0], drawn[b][0], len(drawn[a][1]), len(drawn[b][1]))
+            ast = comparison.ast_score(*drawn[a][1:], *drawn[b][1:])
+            return comparison.diagram_score(s["structure"], comparison.text_score(a, b), ast, s["paths"], s["edge_f1"], s["node_f1"], render, bool(drawn[a][1] and drawn[b][1]))
 
         return min(1.0, 0.15 * share + 0.25 * mean(whole) + 0.60 * structure) * empty
     words = lambda c: set("".join(x if x.isalnum() else " " for x in c.lower()).split())
@@ -101,7 +102,7 @@ def structure_score(kinds: list[str], contents: list[str]) -> float:
         ratio = lambda x, y: 1.0 if x == y else min(x, y) / max(x, y)
         shape = mean(lambda a, b: sum(ratio(x, y) for x, y in zip(size(a), size(b))) / 2)
         return (0.5 * share + 0.25 * shape + 0.25 * mean(overlap)) * empty
-    return (0.6 * share + 0.4 * mean(lambda a, b: graphs.text_score(a, b) if a and b else 0.0)) * empty
+    return (0.6 * share + 0.4 * mean(lambda a, b: comparison.text_score(a, b) if a and b else 0.0)) * empty
 
 
 @F.pandas_udf(DoubleType())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordance.functions import geometry, labels, text
-from concordance.operators import decisions, dedup, graphs, issues, layout, matching, ordering, patches, payloads, scoring, tables, voting
+from concordance.operators import comparison, decisions, dedup, graphs, issues, layout, matching, ordering, patches, payloads, scoring, tables, voting
 from concordance.session import table
 from concordance.sources import sinks
 from concordance.streaming import incremental
@@ -284,12 +284,21 @@ def diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graphs.parsed(table(spark, sf_dir, "snapshots"), "snapshot_id", "code").select("snapshot_id", "direction", F.size("nodes").alias("nodes"), F.size("edges").alias("edges"))
 
 
-def graph_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gold diagram of an image against its final one, under the best mapping."""
+def _compared_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = table(spark, sf_dir, "snapshots").filter("code is not null and image_id is not null and origin in ('gold_file', 'final_mermaid')").groupBy("image_id", "origin").agg(F.max_by("code", "snapshot_id").alias("code"), F.max("snapshot_id").alias("snapshot_id"))
     drawn = graphs.parsed(last, "snapshot_id", "code").join(last.select("snapshot_id", "image_id", "origin"), "snapshot_id")
     side = lambda o, s: drawn.filter(F.col("origin") == o).select("image_id", F.col("nodes").alias("nodes_" + s), F.col("edges").alias("edges_" + s))
-    return graphs.compared(side("gold_file", "a").join(side("final_mermaid", "b"), "image_id"), ["image_id"])
+    return comparison.compared(side("gold_file", "a").join(side("final_mermaid", "b"), "image_id"), ["image_id"])
+
+
+def graph_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold diagram of an image against its final one, under the best mapping."""
+    return _compared_diagrams(spark, sf_dir).drop("differences")
+
+
+def graph_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the final diagram of an image lacks of the gold one or has otherwise."""
+    return _compared_diagrams(spark, sf_dir).select("image_id", F.explode("differences").alias("d")).select("image_id", "d.*")
 
 
 def model_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,7 +465,7 @@ def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     quorum_vote, graph_support, majority_first, representative_shape, representative_text, text_consistency, distinct_votes, fuse_nodes, selected_nodes, decision_gate, validation_scores, first_copies,
     edge_differences, longest_blocks, crop_identity, page_merge, renumber, status_changes, markdown_cells, table_diff, best_reader, best_overlap, page_hulls, crop_groups, reachability, node_depths, pruned_nodes,
-    diagrams, graph_similarity, model_blocks, align_blocks, unmatched_blocks, page_markdown, number_units, token_usage, block_kinds, region_labels, summaries, best_snapshots, images_without_code, patched_blocks,
+    diagrams, graph_similarity, graph_differences, model_blocks, align_blocks, unmatched_blocks, page_markdown, number_units, token_usage, block_kinds, region_labels, summaries, best_snapshots, images_without_code, patched_blocks,
     hourly_answers, latest_answers, gold_matches, neighbour_similarity, block_boxes, seal_conflicts, model_labels, label_consensus, document_issues, judge_verdicts, verdict_counts,
 )}
 
@@ -515,7 +524,8 @@ select page as page_output_id, count(*) as crops, md5(string_agg(m, E'\n\n' orde
     "reachability": "with recursive e as (select distinct graph, s as source, t as target from (select graph_id as graph, unnest(edges).source as s, unnest(edges).target as t from visual_graphs) where s is not null and t is not null), r as (select * from e union select r.graph, r.source, e.target from r join e on r.graph = e.graph and r.target = e.source) select * from r",
     "node_depths": """with recursive e as (select distinct graph, s as source, t as target from (select graph_id as graph, unnest(edges).source as s, unnest(edges).target as t from visual_graphs) where s is not null and t is not null),
 n as (select graph, source as node_id from e union select graph, target from e), roots as (select n.* from n anti join e on n.graph = e.graph and n.node_id = e.target),
-d as (select graph, node_id, 1 as depth from roots union select d.graph, e.target, d.depth + 1 from d join e on d.graph = e.graph and d.node_id = e.source where d.depth < 60)
+size as (select graph, count(*) as nodes from n group by 1),
+d as (select graph, node_id, 1 as depth from roots union select d.graph, e.target, d.depth + 1 from d join e on d.graph = e.graph and d.node_id = e.source join size on size.graph = d.graph where d.depth < size.nodes)
 select n.graph, n.node_id, coalesce(min(d.depth), greatest(1, coalesce(try_cast(nullif(regexp_extract(n.node_id, '(\\d+)', 1), '') as int), 1)))::bigint as depth from n left join d using (graph, node_id) group by n.graph, n.node_id""",
     "number_units": f"""with x as (select region_id, regexp_extract_all(coalesce(text, ''), '(?i)([+-]?(?:\\d{{1,3}}(?:[,，]\\d{{3}})+|\\d+)(?:\\.\\d+)?|[+-]?\\.\\d+)\\s*({_UNITS})?', 1) as v, regexp_extract_all(coalesce(text, ''), '(?i)([+-]?(?:\\d{{1,3}}(?:[,，]\\d{{3}})+|\\d+)(?:\\.\\d+)?|[+-]?\\.\\d+)\\s*({_UNITS})?', 2) as u from ocr_regions)
 select region_id, (generate_subscripts(v, 1) - 1)::int as pos, regexp_replace(unnest(v), '[,，]', '', 'g')::double as value, lower(coalesce(unnest(u), '')) as unit from x""",

@@ -5,10 +5,11 @@ import itertools
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from concordance.operators import dedup, graphs, issues, layout, matching, ordering, patches, payloads, scoring, tables
+from concordance.operators import comparison, dedup, graphs, issues, layout, matching, ordering, patches, payloads, scoring, tables
 from concordance.session import table
 from concordance.functions import seals
 from concordance.sources import connectors, files, sinks
@@ -163,8 +164,8 @@ def test_depths(spark):
 
 
 def test_distances_without_seeds():
-    assert graphs.distances(["b", "a"], {"a": {"b"}, "b": {"a"}}, []) == {"a": 1, "b": 2}
-    assert graphs.distances(["a", "b", "c"], {"a": {"b"}}, ["a"]) == {"a": 0, "b": 1, "c": 2}
+    assert comparison.distances(["b", "a"], {"a": {"b"}, "b": {"a"}}, []) == {"a": 1, "b": 2}
+    assert comparison.distances(["a", "b", "c"], {"a": {"b"}}, ["a"]) == {"a": 0, "b": 1, "c": 2}
 
 
 def test_pruning(spark):
@@ -178,11 +179,38 @@ def test_assignment_is_optimal():
     for _ in range(100):
         r, c = rng.randint(1, 5), rng.randint(1, 5)
         w = [[rng.random() for _ in range(c)] for _ in range(r)]
-        got = [(i, j) for i, j in enumerate(graphs.assignment(w)) if j >= 0]
+        got = [(i, j) for i, j in enumerate(comparison.assignment(w)) if j >= 0]
         best = max(sum(w[i][p[i]] for i in range(r)) if r <= c else sum(w[p[j]][j] for j in range(c)) for p in itertools.permutations(range(max(r, c)), min(r, c)))
         assert abs(sum(w[i][j] for i, j in got) - best) < 1e-9 and len({j for _, j in got}) == len(got) == min(r, c)
 
 
+def test_comparison_by_hand():
+    """Two nodes of one label of which one is taken; an extra node like a taken one; a
+    reversed edge; a label that differs."""
+    a = [{"node_id": x, "order_index": k, "shape": "rectangle", "text": t, "parent": ""} for k, (x, t) in enumerate([("A", "start"), ("B", "check"), ("C", "check")])]
+    f = comparison.Features(a, [{"source": "A", "target": "B", "label": "x"}, {"source": "A", "target": "C", "label": ""}])
+    assert f.reach.tolist() == [[False, True, True], [False] * 3, [False] * 3] and f.key(1) == "check:B" and f.key(0) == "start"
+    turned = comparison.Comparison(comparison.Features(a, [{"source": "A", "target": "B", "label": "yes"}]), comparison.Features(a[:2], [{"source": "B", "target": "A", "label": "yes"}]))
+    turned.node[:] = 0.9
+    got = turned.score(np.array([0, 1, -1]))
+    assert got["collapsed"] == 0.5 and got["node_f1"] == pytest.approx(0.8) and got["paths"] == 0 and got["split"] == 0
+    assert got["wrong"] == [("edge_direction_conflict", 0, 0)] and got["edge_f1"] == 0
+    assert got["objective"] == round(0.45 * 0.9 + 0.05, 4) and got["structure"] == round(0.35 * 0.8 + 0.05 - 0.025 * 0.5, 4)
+    b = [*a[:2], {**a[0], "node_id": "D", "order_index": 9}]
+    other = comparison.Comparison(comparison.Features(a[:2], [{"source": "A", "target": "B", "label": "yes"}]), comparison.Features(b, [{"source": "A", "target": "B", "label": "nein"}]))
+    other.node[:] = 0.9
+    got = other.score(np.array([0, 1]))
+    assert got["node_f1"] == pytest.approx(0.8) and got["split"] == 0.5 and got["wrong"] == [("edge_label_conflict", 0, 0)]
+
+
+def test_auxiliary_nodes_are_taken_out():
+    nodes = [{"node_id": i, "shape": s, "text": t} for i, s, t in (("A", "rectangle", "a"), ("J", "unknown", "join1"), ("K", "rectangle", ""), ("B", "rectangle", "join2"))]
+    edges = [{"source": "A", "target": "J", "label": "p"}, {"source": "J", "target": "B", "label": "q"}, {"source": "A", "target": "K", "label": "P"}, {"source": "K", "target": "B", "label": "p"}, {"source": "A", "target": "B", "label": "p"}]
+    left, kept = comparison.simplified(nodes, edges)
+    assert [n["node_id"] for n in left] == ["A", "B"]
+    assert sorted(e["label"] for e in kept) == ["p", "p / q"]
+
+
 def test_diagram_round_trip(spark):
     code = 'flowchart LR\n  subgraph G["Num"]\n    A("x y")\n    B["s"] --> C{"q"}\n  end\n  C -->|No| D(["e"])\n  D -- maybe --> A\n  classDef hot fill:#f96\n  %% note'
     direction, nodes, edges = graphs.parse_diagram(code)
@@ -198,16 +226,16 @@ def test_diagram_round_trip(spark):
 def test_graph_comparison():
     nodes = [{"node_id": n, "order_index": k, "shape": "rectangle", "text": t, "parent": ""} for k, (n, t) in enumerate([("A", "start"), ("B", "check"), ("C", "done")], 1)]
     edges = [{"source": "A", "target": "B", "label": "yes"}, {"source": "B", "target": "C", "label": ""}]
-    same = graphs.compare_graphs(nodes, edges, nodes, edges)
-    assert same["node_f1"] == same["edge_f1"] == same["path"] == same["objective"] == 1.0
+    same = comparison.compare_graphs(nodes, edges, nodes, edges)
+    assert same["node_f1"] == same["edge_f1"] == same["paths"] == same["objective"] == 1.0
     renamed = [{**n, "node_id": "z" + n["node_id"]} for n in reversed(nodes)]
     moved = [{**e, "source": "z" + e["source"], "target": "z" + e["target"]} for e in edges]
-    assert graphs.compare_graphs(nodes, edges, renamed, moved)["edge_f1"] == 1.0
+    assert comparison.compare_graphs(nodes, edges, renamed, moved)["edge_f1"] == 1.0
     back = [{**e, "source": e["target"], "target": e["source"]} for e in edges]
-    turned = graphs.compare_graphs(nodes, edges, nodes, back)
+    turned = comparison.compare_graphs(nodes, edges, nodes, back)
     assert turned["edge_f1"] < 1 and 0 <= turned["structure"] < same["structure"]
-    assert graphs.compare_graphs([], [], [], [])["objective"] == 1.0 and graphs.compare_graphs(nodes, edges, [], [])["objective"] == 0.0
-    assert graphs.diagram_score(0.95, 1, 1, 1, 1, 1, 1) == pytest.approx(0.9775) and graphs.diagram_score(1, 1, 1, 1, 1, 1, 1, valid=False) == 0.2
+    assert comparison.compare_graphs([], [], [], [])["objective"] == 1.0 and comparison.compare_graphs(nodes, edges, [], [])["objective"] == 0.0
+    assert comparison.diagram_score(0.95, 1, 1, 1, 1, 1, 1) == pytest.approx(0.9775) and comparison.diagram_score(1, 1, 1, 1, 1, 1, 1, valid=False) == 0.2
 
 
 def test_reading_rows():
