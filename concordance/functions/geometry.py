@@ -69,5 +69,5 @@ def to_pixels(box: Column, width: Column, height: Column, padding: int) -> Colum
 
 def cells(box: Column, step: float) -> Column:
     """Grid cells that a box touches, for joins of boxes that overlap."""
-    line = lambda lo, hi: F.sequence(F.floor(lo / step).cast("int"), F.floor(hi / step).cast("int"))
+    line = lambda lo, hi: F.sequence(F.floor(lo / step), F.floor(hi / step))
     return F.flatten(F.transform(line(box[0], box[2]), lambda x: F.transform(line(box[1], box[3]), lambda y: F.struct(x.alias("x"), y.alias("y")))))

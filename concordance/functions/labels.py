@@ -28,11 +28,27 @@ BLOCK_TYPES = {
     "page_footnote": "page_footnote",
 }
 VISUAL, TEXTUAL = ("image", "chart", "table"), ("paragraph", "title", "list", "page_header", "page_footer")
-OCR_ROLES = ("title", "body", "caption", "seal", "axis", "legend", "header", "footer", "other")
+#: Wordings of the roles of recognised texts (fixed values).
+OCR_ROLES = {
+    "seal": ("seal", "stamp", "印章", "公章"),
+    "watermark": ("watermark", "水印"),
+    "footer": ("footer", "页脚", "底部文字"),
+    "body": ("body", "正文"),
+    "title": ("title", "标题"),
+}
+#: Wordings of confidence beside the words themselves (fixed values).
+CONFIDENCE = {"very_high": "high", "strong": "high", "sure": "high", "mid": "medium", "moderate": "medium", "weak": "low"}
+#: Kinds of images, their names and the parts of names that tell them, in order (fixed values).
+IMAGE_TYPES = ("flowchart", "chart", "table", "seal", "document", "screenshot", "diagram", "natural_image", "mixed", "unknown")
+IMAGE_NAMES = {"流程图": "flowchart", "图表": "chart", "表格": "table", "印章": "seal", "公章": "seal", "文档": "document", "截图": "screenshot", "示意图": "diagram", "自然图像": "natural_image", "混合": "mixed", "未知": "unknown"}
+IMAGE_PARTS = {
+    "flowchart": "flow|流程", "chart": "chart|plot|graph|图表", "table": "table|表格", "seal": "seal|stamp|印章|公章", "screenshot": "screen|截图",
+    "document": "doc|文档", "diagram": "diagram|示意", "natural_image": "natural|photo|scene|自然", "mixed": "mixed|混合",
+}
 NODE_SHAPES = ("rectangle", "rounded", "diamond", "ellipse")
 
 
-def mapped(x: Column, table: dict[str, str], otherwise: str) -> Column:
+def mapped(x: Column, table: dict[str, str], otherwise: str | None) -> Column:
     """A look-up in a literal map."""
     pairs = F.create_map(*(F.lit(v) for kv in table.items() for v in kv))
     return F.coalesce(F.try_element_at(pairs, F.lower(F.trim(x))), F.lit(otherwise))
@@ -49,8 +65,8 @@ def type_compatibility(a: Column, b: Column) -> Column:
 
 
 def ocr_role(x: Column) -> Column:
-    clean = F.lower(F.trim(x))
-    return F.when(clean.isin(*OCR_ROLES), clean).otherwise("other")
+    """The role of a recognised text from its wording; others are 'other'."""
+    return mapped(x, {word: role for role, words in OCR_ROLES.items() for word in words}, "other")
 
 
 def node_shape(x: Column) -> Column:
@@ -62,15 +78,18 @@ def confidence(x: Column) -> Column:
     """low / medium / high from a word or a number (0.85 high, 0.5 medium)."""
     clean = F.lower(F.trim(x))
     number = clean.try_cast("double")
-    word = F.when(clean.isin("low", "medium", "high"), clean)
+    word = mapped(x, {**CONFIDENCE, "low": "low", "medium": "medium", "high": "high"}, None)
     return F.coalesce(word, F.when(number >= 0.85, "high").when(number >= 0.5, "medium").when(number.isNotNull(), "low"), F.lit("medium"))
 
 
-def image_type(x: Column) -> Column:
-    """Kind of an image from free wording."""
+def image_type(x: Column, otherwise: Column | None = None) -> Column:
+    """Kind of an image from free wording: a kind, a known name, else the first part of a
+    name that occurs; no wording and none known give ``otherwise`` ('unknown')."""
     clean = F.lower(F.trim(F.coalesce(x, F.lit(""))))
-    has = lambda *w: clean.rlike("|".join(w))
-    return F.when(has("flow", "流程"), "flowchart").when(has("seal", "stamp", "印章"), "seal").when(has("table", "表格"), "table").when(has("chart", "plot", "graph", "图表"), "chart").when(has("photo", "照片"), "photo").when(clean == "", "unknown").otherwise("document")
+    column = F.when(clean.isin(*IMAGE_TYPES), clean).when(clean.isin(*IMAGE_NAMES), mapped(x, IMAGE_NAMES, "unknown"))
+    for kind, parts in IMAGE_PARTS.items():
+        column = column.when(clean.rlike(parts), kind)
+    return column.otherwise(F.lit("unknown") if otherwise is None else otherwise)
 
 
 def node_id(raw: Column, position: Column) -> Column:

@@ -230,16 +230,28 @@ def joined_errors(*parts: Column) -> Column:
 
 @F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Longest-matching-blocks ratio; an Arrow function since no built-in has it."""
-    return pd.Series([1.0 if x == y else difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
+    """Longest-matching-blocks ratio; an Arrow function since no built-in has it. Equal pairs
+    of a batch are compared once; a null operand gives 0."""
+    known: dict[tuple, float] = {}
+    out = []
+    for pair in zip(a, b):
+        if pair[0] is None or pair[1] is None:
+            out.append(0.0)
+            continue
+        if pair not in known:
+            known[pair] = difflib.SequenceMatcher(None, *pair).ratio()
+        out.append(known[pair])
+    return pd.Series(out, dtype=float)
 
 
 def cell_similarity(a: Column, b: Column) -> Column:
     """Of two normalised cells: the ratio, or 0.6 keyword Jaccard + 0.4 ratio if larger."""
     x, y = _empty(a), _empty(b)
-    ratio = sequence_ratio(x, y)
+    # equal and empty cells are decided here, only the others are sent to Python
+    open_ = (x != y) & (x != "") & (y != "")
+    ratio = sequence_ratio(F.when(open_, x), F.when(open_, y))
     token = jaccard(keywords(x), keywords(y), both_empty=0.0)
-    return F.when((x == "") & (y == ""), 1.0).when((x == "") | (y == ""), 0.0).otherwise(F.greatest(ratio, 0.6 * token + 0.4 * ratio))
+    return F.when(x == y, 1.0).when((x == "") | (y == ""), 0.0).otherwise(F.greatest(ratio, 0.6 * token + 0.4 * ratio))
 
 
 # --- numbers, formulas and cells ---------------------------------------------------------

@@ -58,9 +58,13 @@ def verdicts(answers: DataFrame, record: str, raw: str) -> DataFrame:
 
 
 def outcomes(issues: DataFrame, verdicts_: DataFrame, key: list[str]) -> DataFrame:
-    """Issues with their last verdict; without one the anchor stays and the issue is open."""
-    last = verdicts_.groupBy("issue_id").agg(F.max_by(F.struct("decision", "patch_text", "reason"), "record_id").alias("v"))
-    joined = issues.join(last, "issue_id", "left")
+    """Issues with their last verdict; without one the anchor stays and the issue is open.
+
+    Issues are numbered within a document, so a verdict belongs to the issue of its own
+    document. ``verdicts_``: key..., record_id, issue_id, decision, patch_text, reason.
+    """
+    last = verdicts_.groupBy(*key, "issue_id").agg(F.max_by(F.struct("decision", "patch_text", "reason"), "record_id").alias("v"))
+    joined = issues.join(last, [*key, "issue_id"], "left")
     return joined.select(*key, "issue_id", "issue_type", F.coalesce("v.decision", F.lit("keep_anchor")).alias("decision"), F.col("v.patch_text").alias("patch_text"), F.coalesce("v.reason", F.lit("no_verdict")).alias("reason"), F.col("v").isNull().alias("open"))
 
 

@@ -9,18 +9,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordance.functions import geometry
-from concordance.operators.ordering import numbered, running_sum
+from concordance.operators.ordering import numbered, running
 
 #: Types that make a crop, and types that may join one (fixed values).
 PRIMARY = ("chart", "image", "table")
 CONTEXT = ("image_caption", "image_footnote", "table_caption", "table_footnote", "chart_caption", "chart_footnote")
 
 
-def sound_blocks(raw: DataFrame, page: str, order: str, block_type: str, box: str, ties: tuple[str, ...] = ()) -> DataFrame:
-    """Blocks with a type and a box of four numbers, corners in order, renumbered from 0."""
+def sound_blocks(raw: DataFrame, page: str, order: str, block_type: str, box: str, ties: tuple[str, ...] = (), context: tuple[str, ...] = CONTEXT) -> DataFrame:
+    """Blocks with a type and a box of four numbers, corners in order, renumbered from 0, and
+    their chunk: a new one begins at each block that is neither primary nor context."""
     kind = F.lower(F.trim(F.col(block_type)))
     kept = raw.withColumn("kind", kind).withColumn("box", geometry.sorted_corners(F.col(box))).filter("kind != '' and box is not null")
-    return numbered(kept, [page], [order, *ties], "position").withColumn("position", (F.col("position") - 1).cast("int"))
+    counted = running(kept, [page], [order, *ties], {"position": F.lit(1), "chunk": _barrier(context)})
+    return counted.withColumn("position", (F.col("position") - 1).cast("int"))
+
+
+def _barrier(context: tuple[str, ...]) -> Column:
+    return (~F.col("kind").isin(*PRIMARY, *context)).cast("int")
 
 
 def attach(kinds: list[str], boxes: list[list[float]], least_overlap: float = 0.25, most_gap: float = 0.08, context: tuple[str, ...] = CONTEXT) -> list[list[int]]:
@@ -63,9 +69,9 @@ def crop_groups(blocks: DataFrame, page: str, least_overlap: float = 0.25, most_
     A context block can only join the nearest primary blocks, so a page is cut into chunks
     at blocks that are neither. Chunks are spread over tasks, and a task streams its sorted
     rows and holds one chunk at a time, so a page with a tenth of all rows is no burden.
+    ``blocks``: ``sound_blocks`` under the same ``context``.
     """
-    barrier = (~F.col("kind").isin(*PRIMARY, *context)).cast("int")
-    chunked = running_sum(blocks.select(F.col(page).alias("page"), "kind", "box", "position"), ["page"], ["position"], barrier, "chunk")
+    chunked = blocks.withColumnRenamed(page, "page")
 
     def grouped(name: str, rows: list[tuple]) -> list[tuple]:
         kinds, boxes, position = [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]

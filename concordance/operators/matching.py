@@ -21,9 +21,12 @@ def match_score(a: str, b: str) -> Column:
 def candidates(base: DataFrame, other: DataFrame, key: list[str], least: float = LEAST) -> DataFrame:
     """Scored pairs of blocks on the same page. Sides: key..., page_idx, pos, box, text, kind."""
     at = [*key, "page_idx"]
-    left, right = (d.select(*at, *(F.col(c).alias(f"{c}_{s}") for c in ("pos", "box", "text", "kind"))) for d, s in ((base, "a"), (other, "b")))
+    # a text's form and character pairs are made once per block, not once per pair
+    formed = (d.withColumn("text", text.squeezed(F.col("text"))).withColumn("pairs", text.bigrams(F.col("text"))) for d in (base, other))
+    left, right = (d.select(*at, *(F.col(c).alias(f"{c}_{s}") for c in ("pos", "box", "text", "kind", "pairs"))) for d, s in zip(formed, "ab"))
     pairs = left.join(right, at)
-    pairs = pairs.withColumn("overlap", geometry.iou(F.col("box_a"), F.col("box_b"))).withColumn("similarity", text.alignment_similarity(F.col("text_a"), F.col("text_b")))
+    alike = F.when(F.col("text_a") == F.col("text_b"), F.lit(1.0)).otherwise(F.round(text.jaccard(F.col("pairs_a"), F.col("pairs_b")), 4))
+    pairs = pairs.withColumn("overlap", geometry.iou(F.col("box_a"), F.col("box_b"))).withColumn("similarity", alike)
     return pairs.withColumn("score", match_score("a", "b")).filter(F.col("score") >= least).select(*at, "pos_a", "pos_b", "overlap", "similarity", "score")
 
 
@@ -72,17 +75,26 @@ def with_positional(base: DataFrame, other: DataFrame, matches: DataFrame, key:
     return matches.unionByName(zipped.select(*key, "page_idx", "pos_a", "pos_b", zero.alias("overlap"), zero.alias("similarity"), zero.alias("score")))
 
 
-def best_overlap(blocks: DataFrame, key: list[str], targets: Column, step: float = 250.0) -> DataFrame:
+def best_overlap(blocks: DataFrame, key: list[str], targets: Column, step: float = 16.0) -> DataFrame:
     """For each other block the target block of its page with most overlap; ties: the first.
 
-    Blocks meet through the grid cells they touch, so a page with a tenth of all blocks
-    isn't compared pair by pair. ``blocks``: key..., pos, box.
+    Blocks meet in grid cells of their own size: level k has cells of ``step`` * 2^k, a box
+    belongs to the level whose cells are as large as itself and so touches four of them at
+    most, whatever its size; two boxes meet at the level of the larger one. So a page with a
+    tenth of all blocks isn't compared pair by pair. ``blocks``: key..., pos, box.
     """
-    at = blocks.filter("box is not null").withColumn("target", targets).withColumn("cell", F.explode(geometry.cells(F.col("box"), step)))
-    t = at.filter("target").select(*key, "cell", F.col("pos").alias("target_pos"), F.col("box").alias("target_box"))
+    size = F.greatest(F.col("box")[2] - F.col("box")[0], F.col("box")[3] - F.col("box")[1])
+    own = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size, F.lit(1e-9)) / step))).cast("int")
+    sized = blocks.filter("box is not null").withColumn("target", targets).withColumn("own", own)
+    levels = F.array(*(F.lit(r.own) for r in sized.select("own").distinct().orderBy("own").collect()))  # a number per doubling
+    at = sized.withColumn("level", F.explode(F.filter(levels, lambda k: k >= F.col("own"))))
+    side = F.lit(step) * F.pow(F.lit(2.0), F.col("level"))
+    cell = F.explode(geometry.cells(F.transform("box", lambda v: v / side), 1.0))
+    at = at.withColumn("cell", cell)
+    t = at.filter("target").select(*key, "level", "cell", F.col("own").alias("target_own"), F.col("pos").alias("target_pos"), F.col("box").alias("target_box"))
     # of the cells that both touch only the one with the corner of their intersection counts
-    corner = lambda k: F.floor(F.greatest(F.col("box")[k], F.col("target_box")[k]) / step).cast("int")
-    met = at.filter("not target").join(t, [*key, "cell"]).filter((F.col("cell.x") == corner(0)) & (F.col("cell.y") == corner(1)))
+    corner = lambda k: F.floor(F.greatest(F.col("box")[k], F.col("target_box")[k]) / side)
+    met = at.filter("not target").join(t, [*key, "level", "cell"]).filter((F.col("level") == F.greatest("own", "target_own")) & (F.col("cell.x") == corner(0)) & (F.col("cell.y") == corner(1)))
     pairs = met.withColumn("overlap", geometry.iou(F.col("box"), F.col("target_box"))).filter("overlap > 0")
     return pairs.groupBy(*key, "pos").agg(F.max(F.struct("overlap", (-F.col("target_pos")).alias("order"))).alias("best")).select(*key, "pos", (-F.col("best.order")).alias("target_pos"), "best.overlap")
 

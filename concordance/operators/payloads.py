@@ -25,8 +25,8 @@ CAPTIONS, FOOTNOTES = ("captions", "image_caption", "table_caption", "chart_capt
 def repaired(text: str | None) -> object:
     """The JSON value in a text, or None.
 
-    Fences and words before it are passed over; a value that was cut short or is damaged is
-    closed after the last complete member before the damage, wherever that is.
+    Fences and words before it are passed over; a value that was cut within a string is closed
+    there, one that is damaged elsewhere after the last complete member before the damage.
     """
     if not text:
         return None
@@ -64,20 +64,31 @@ def repaired(text: str | None) -> object:
             cuts.append((k + 1, closing))
         elif c == ",":
             cuts.append((k, closing))
+    if quoted:
+        # cut within a string: what is there of it is kept
+        tail = text[:-1] if escaped else re.sub(r"\\u[0-9a-fA-F]{0,3}\Z", "", text)
+        try:
+            return json.loads(tail + '"' + _closers(closing))
+        except (ValueError, RecursionError):
+            pass
     for at, closing in reversed(cuts):
         if at > end:
             continue
-        close = []
-        while closing:
-            close.append(closing[0])
-            closing = closing[1]
         try:
-            return json.loads(text[:at] + "".join(close))
+            return json.loads(text[:at] + _closers(closing))
         except (ValueError, RecursionError):
             continue
     return None
 
 
+def _closers(closing: tuple | None) -> str:
+    close = []
+    while closing:
+        close.append(closing[0])
+        closing = closing[1]
+    return "".join(close)
+
+
 def _list(value: object) -> list:
     value = repaired(value) if isinstance(value, str) else value
     return value if isinstance(value, list) else [value] if isinstance(value, dict) else []
@@ -85,7 +96,7 @@ def _list(value: object) -> list:
 
 def pages_of(value: object) -> list[tuple[int, list]]:
     """(page, blocks) of an unwrapped or wrapped answer; of repeated pages the last counts."""
-    for _ in range(16):
+    while True:
         if isinstance(value, list):
             if value and all(isinstance(v, dict) and "json_res" in v for v in value):
                 return _page_results(value)
@@ -101,9 +112,14 @@ def pages_of(value: object) -> list[tuple[int, list]]:
             return []
         for key in ("extraction_result", "extraction_results"):
             if value.get(key) is not None:
-                inner = value[key]
-                return _page_results(inner) if isinstance(inner, list) else pages_of(inner)
-        if "json_res" in value:
+                break
+        else:
+            key = ""
+        if key:
+            value = value[key]
+            if isinstance(value, list):
+                return _page_results(value)
+        elif "json_res" in value:
             value = _list(value["json_res"])
         elif "content_list_v2" in value:
             value = value["content_list_v2"]
@@ -121,7 +137,6 @@ def pages_of(value: object) -> list[tuple[int, list]]:
             value = value["blocks"]
         else:
             value = next((value[k] for k in WRAPPERS if isinstance(value.get(k), (dict, list))), None)
-    return []
 
 
 def _page_results(results: list) -> list[tuple[int, list]]:

@@ -66,20 +66,41 @@ def representative_text(votes: Column) -> Column:
     return F.coalesce(text.let(keyed, body), F.lit(""))
 
 
-def fuse_edges(claims: DataFrame, sources: DataFrame) -> DataFrame:
+def fuse_edges(claims: DataFrame, sources: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """Edges with support, by quorum of the graph's sources.
 
-    ``claims``: graph, source_model, source, target, label; ``sources``: graph, n. Claims
-    count once per model. An edge claimed both ways has ``conflict``.
+    ``claims``: graph, source_model, source, target, label; ``sources``: graph, n; ``nodes``:
+    graph, node_id of the fused nodes, to which edges must belong (else see ``edge_errors``).
+    A claim counts once per model and label, every label is a vote, and the support is the
+    number of models. An edge claimed both ways has ``conflict``.
     """
-    once = claims.groupBy("graph", "source", "target", "source_model").agg(F.min("label").alias("label"))
-    edges = once.groupBy("graph", "source", "target").agg(F.count("*").alias("support"), F.sort_array(F.collect_list("label")).alias("labels"))
+    if nodes is not None:
+        for end in ("source", "target"):
+            claims = claims.join(nodes.select("graph", F.col("node_id").alias(end)), ["graph", end], "left_semi")
+    once = claims.groupBy("graph", "source", "target", "source_model", F.trim("label").alias("label")).agg(F.lit(1).alias("one"))
+    edges = once.groupBy("graph", "source", "target").agg(F.count_distinct("source_model").alias("support"), F.sort_array(F.collect_list("label")).alias("labels"))
     back = edges.select("graph", F.col("source").alias("target"), F.col("target").alias("source"), F.lit(True).alias("reverse"))
     out = edges.join(back, ["graph", "source", "target"], "left").join(sources, "graph")
     status = F.when(F.col("support") >= quorum(F.col("n")), "fused").otherwise("low_support")
     return out.select("graph", "source", "target", F.col("support").cast("bigint").alias("support"), "n", "labels", status.alias("status"), F.coalesce("reverse", F.lit(False)).alias("conflict"))
 
 
+def edge_errors(claims: DataFrame, claimed: DataFrame, fused: DataFrame) -> DataFrame:
+    """(graph, source_model, source, target, error) of claims that can't be fused: 'unknown_node'
+    where an end isn't among the model's own nodes, 'unfused_node' where it isn't fused,
+    'duplicate' where the model claims the same edge and label again.
+
+    ``claimed``: graph, source_model, node_id; ``fused``: graph, node_id.
+    """
+    rows = claims.groupBy("graph", "source_model", "source", "target", F.trim("label").alias("label")).agg(F.count("*").alias("times"))
+    for end in ("source", "target"):
+        rows = rows.join(claimed.select("graph", "source_model", F.col("node_id").alias(end), F.lit(True).alias("own_" + end)).distinct(), ["graph", "source_model", end], "left")
+        rows = rows.join(fused.select("graph", F.col("node_id").alias(end), F.lit(True).alias("fused_" + end)).distinct(), ["graph", end], "left")
+    both = lambda c: F.coalesce(F.col(c + "_source") & F.col(c + "_target"), F.lit(False))
+    error = F.when(~both("own"), "unknown_node").when(~both("fused"), "unfused_node").when(F.col("times") > 1, "duplicate")
+    return rows.select("graph", "source_model", "source", "target", "label", error.alias("error")).filter("error is not null")
+
+
 def fuse_nodes(claims: DataFrame, sources: DataFrame) -> DataFrame:
     """Nodes with support and confidence. ``claims``: graph, source_model, node_id, shape, text."""
     once = claims.groupBy("graph", "node_id", "source_model").agg(F.min("shape").alias("shape"), F.min("text").alias("text"))

@@ -47,8 +47,8 @@ def quorum_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CLAIMS = "select image_id as graph, model_name as source_model, e.source as source, e.target as target, coalesce(e.label, '') as label from (select image_id, model_name, unnest(edges) as e from visual_graphs where image_id is not null and model_name is not null) where e.source is not null and e.target is not null"
 _FUSED = f"""
-with claims as ({_CLAIMS}), once as (select graph, source, target, source_model, min(label) as label from claims group by all),
-e as (select graph, source, target, count(*) as support, string_agg(label, '|' order by label) as labels from once group by all),
+with claims as ({_CLAIMS}), once as (select distinct graph, source, target, source_model, trim(label) as label from claims),
+e as (select graph, source, target, count(distinct source_model) as support, string_agg(label, '|' order by label) as labels from once group by all),
 n as (select image_id as graph, count(distinct model_name) as n from visual_graphs where image_id is not null and model_name is not null group by 1)
 select e.graph, e.source, e.target, e.support, n.n, e.labels,
   case when e.support >= case when n.n <= 2 then n.n else ceil(2 * n.n / 3) end then 'fused' else 'low_support' end as status,
@@ -227,7 +227,7 @@ def best_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
 def best_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each text block of an image the picture, chart or table it overlaps most."""
     blocks = table(spark, sf_dir, "layout_blocks").filter("image_id is not null").select("image_id", F.col("block_row_id").alias("pos"), geometry.sorted_corners(F.col("bbox")).alias("box"), labels.block_type(F.col("block_type")).alias("kind"))
-    return matching.best_overlap(blocks, ["image_id"], F.col("kind").isin(*layout.PRIMARY), 125.0)
+    return matching.best_overlap(blocks, ["image_id"], F.col("kind").isin(*layout.PRIMARY))
 
 
 _KIND = "case coalesce(lower(trim(block_type)), '') " + " ".join(f"when '{k}' then '{v}'" for k, v in labels.BLOCK_TYPES.items()) + " else 'paragraph' end"
@@ -249,8 +249,9 @@ def page_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crop_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Caption groups of every image; page headers and footers serve as captions here."""
     raw = table(spark, sf_dir, "layout_blocks").filter("image_id is not null")
-    blocks = layout.sound_blocks(raw, "image_id", "block_index", "block_type", "bbox", ("block_row_id",))
-    return layout.crop_groups(blocks, "image_id", most_gap=80.0, context=(*layout.CONTEXT, "page_footer", "title"))
+    context = (*layout.CONTEXT, "page_footer", "title")
+    blocks = layout.sound_blocks(raw, "image_id", "block_index", "block_type", "bbox", ("block_row_id",), context)
+    return layout.crop_groups(blocks, "image_id", most_gap=80.0, context=context)
 
 
 def _drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,7 +532,7 @@ select n.graph, n.node_id, coalesce(min(d.depth), greatest(1, coalesce(try_cast(
 select region_id, (generate_subscripts(v, 1) - 1)::int as pos, regexp_replace(unnest(v), '[,，]', '', 'g')::double as value, lower(coalesce(unnest(u), '')) as unit from x""",
     "token_usage": "select model_name, count(*) as answers, sum(coalesce(try_cast(json_extract_string(parsed, '$.usage.prompt_tokens') as bigint), 0))::bigint as prompt_tokens, sum(coalesce(try_cast(json_extract_string(parsed, '$.usage.completion_tokens') as bigint), 0))::bigint as completion_tokens from model_outputs group by 1",
     "block_kinds": f"select {_KIND} as kind, count(*) as blocks from layout_blocks group by 1",
-    "region_labels": "select case when lower(trim(role)) in ('title', 'body', 'caption', 'seal', 'axis', 'legend', 'header', 'footer', 'other') then lower(trim(role)) else 'other' end as role, case when lower(trim(confidence)) in ('low', 'medium', 'high') then lower(trim(confidence)) when try_cast(confidence as double) >= 0.85 then 'high' when try_cast(confidence as double) >= 0.5 then 'medium' when try_cast(confidence as double) is not null then 'low' else 'medium' end as confidence, count(*) as regions from ocr_regions group by 1, 2",
+    "region_labels": "select case when lower(trim(role)) in ('seal', 'stamp', '印章', '公章') then 'seal' when lower(trim(role)) in ('watermark', '水印') then 'watermark' when lower(trim(role)) in ('footer', '页脚', '底部文字') then 'footer' when lower(trim(role)) in ('body', '正文') then 'body' when lower(trim(role)) in ('title', '标题') then 'title' else 'other' end as role, case when lower(trim(confidence)) in ('low', 'medium', 'high') then lower(trim(confidence)) when lower(trim(confidence)) in ('very_high', 'strong', 'sure') then 'high' when lower(trim(confidence)) in ('mid', 'moderate') then 'medium' when lower(trim(confidence)) = 'weak' then 'low' when try_cast(confidence as double) >= 0.85 then 'high' when try_cast(confidence as double) >= 0.5 then 'medium' when try_cast(confidence as double) is not null then 'low' else 'medium' end as confidence, count(*) as regions from ocr_regions group by 1, 2",
     "summaries": "select image_id, count(*) as answers, count_if(success) as successes, coalesce(string_agg(distinct model_name, ',' order by model_name), '') as models, coalesce(sum(latency_ms), 0)::bigint as latency_ms, arg_min(error, output_id) filter (error is not null) as first_error from model_outputs where image_id is not null group by 1",
     "best_snapshots": "select image_id, max(snapshot_id) as snapshot_id, origin from snapshots where image_id is not null and code is not null and origin in ('final_mermaid', 'legacy_dump', 'artifact_block', 'derived_label') group by image_id, origin qualify row_number() over (partition by image_id order by list_position(['final_mermaid', 'legacy_dump', 'artifact_block', 'derived_label'], origin)) = 1",
     "images_without_code": "select distinct image_id from validations where image_id is not null and image_id not in (select image_id from snapshots where code is not null and image_id is not null)",

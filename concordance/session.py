@@ -10,6 +10,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` if the cluster names one.
 
-    Only where it is unset (tests on one machine) is a local folder made and set.
+    Only where it is unset on one machine (tests) is a local folder made and set; a cluster
+    without one is an error, since each executor would write to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         local = tempfile.mkdtemp(prefix="concordance-")
         atexit.register(shutil.rmtree, local, ignore_errors=True)
         named = "file://" + local
@@ -58,10 +63,30 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"stage-{uuid.uuid4().hex}")
+    if not _STAGES:
+        atexit.register(clear_stages)
+    _STAGES.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_STAGES: list[str] = []
+
+
+def clear_stages() -> int:
+    """Deletes the tables that ``materialise`` wrote, once their queries' results are saved;
+    runs by itself when the driver ends. Returns their number."""
+    gateway = SparkContext._gateway
+    done = 0
+    while _STAGES and gateway is not None:
+        path = gateway.jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        try:
+            done += path.getFileSystem(gateway.jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        except Exception:  # noqa: BLE001 - a folder that can't be reached any more is left
+            break
+    return done
+
+
 #: Rows up to which a derived table is broadcast.
 SMALL = 100_000
 

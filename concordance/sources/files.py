@@ -18,12 +18,12 @@ MIME = {"png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "webp": "
 def images(spark: SparkSession, root: str, skip: str | None = None, limit: int | None = None, content: bool = False) -> DataFrame:
     """(image_id, image_path, file_name, file_ext, page_output_id, merge_order, ...) of all
     pictures below ``root``, by name; two of one stem are an error. Contents are read only
-    if asked for."""
+    if asked for; paths that begin with ``skip`` are left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     rows = files.select(F.col("path").alias("image_path"), *(["content"] if content else []))
     rows = rows.withColumn("file_name", F.regexp_extract("image_path", r"([^/]+)$", 1)).withColumn("file_ext", F.lower(F.regexp_extract("file_name", r"\.([^.]+)$", 1))).filter(F.col("file_ext").isin(*EXTENSIONS))
     if skip:
-        rows = rows.filter(~F.col("image_path").contains(skip))
+        rows = rows.filter(~F.regexp_replace("image_path", r"^file:/+", "/").startswith(skip))
     rows = rows.withColumn("image_id", labels.file_stem(F.col("image_path")))
     twice = rows.groupBy("image_id").agg(F.count("*").alias("n"))
     checked = rows.join(twice, "image_id").withColumn("image_id", F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("two pictures named "), "image_id")).cast("string")).otherwise(F.col("image_id"))).drop("n")

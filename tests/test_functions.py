@@ -108,6 +108,11 @@ def test_labels(one):
     assert one(labels.node_id(L("node 7"), L(3)), labels.node_id(L("x"), L(3)), labels.node_index(L("N012")), labels.confidence(L("0.9")), labels.confidence(L("0.5")), labels.confidence(null()), labels.block_type(L(" Header ")), labels.block_type(null()))[0:8] == ("N007", "N003", 12, "high", "medium", "medium", "page_header", "paragraph")
 
 
+def test_wordings(one):
+    got = one(labels.ocr_role(L("公章")), labels.ocr_role(L("Watermark ")), labels.ocr_role(L("axis")), labels.confidence(L("strong")), labels.confidence(L("weak")), labels.image_type(L("流程图")), labels.image_type(L("Flow chart of seals")), labels.image_type(L("a graph with table")), labels.image_type(L("photo")), labels.image_type(L("screenshot")), labels.image_type(L(" "), L("table")), labels.image_type(L("else")))
+    assert got[0:12] == ("seal", "watermark", "other", "high", "low", "flowchart", "flowchart", "chart", "natural_image", "screenshot", "table", "unknown")
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.text(max_size=12), st.text(max_size=12)), min_size=1, max_size=20))
 def test_similarities_are_symmetric_and_bounded(spark, pairs):
