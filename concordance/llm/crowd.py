@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from concordance.session import materialise
 
 PASSES, INNER = 14, 4
-#: Movement of the abilities at which the passes stop.
+#: Mean movement of the abilities, over all votes, at which the passes stop.
 SETTLED = 0.02
 #: Pairs of votes and labels, or of votes, that are handled at once.
 AT_ONCE = 2_000_000
@@ -375,7 +375,9 @@ def fit(votes: DataFrame) -> tuple[DataFrame, Model]:
         if pairs:
             alike = rows[(rows["a"] != rows["b"]) & (rows["b"] >= 0)]
             group = _grouped(len(new), [*copies, *zip(alike["a"].tolist(), alike["b"].tolist())])
-        moved = np.abs(new - model.ability).max(initial=0)
+        # what the votes feel of the movement, so that voters of a few votes don't hold it up
+        felt = own["votes"].to_numpy()
+        moved = (np.abs(new - model.ability)[at] * felt).sum() / max(felt.sum(), 1)
         done = settled and np.array_equal(group, model.group)
         model = _model(model.names, new, group, model.general, slipped["a"].to_numpy(np.int64), slipped["slope"].to_numpy(float))
         if done:

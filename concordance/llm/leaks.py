@@ -186,9 +186,15 @@ class Searcher:
 
     def _passage(self, doc: list[int], i: int, item: int, j: int) -> tuple[int, int] | None:
         """The longest sound passage through the run at (i, j): (tokens, edits)."""
+        seq = self.items[item]
+        found = self._longest(doc, i, item, j, self.most)
+        # where there is a passage of the least length a longer one may have more edits, up to
+        # a tenth of the item
+        most = len(seq) * EDITS_IN_TEN // 10 + 1
+        return self._longest(doc, i, item, j, most) if found and most > self.most else found
+
+    def _longest(self, doc: list[int], i: int, item: int, j: int, most: int) -> tuple[int, int] | None:
         seq, least = self.items[item], int(self.least[item])
-        # no passage of the item can have more edits than a tenth of it, about
-        most = max(self.most, len(seq) * EDITS_IN_TEN // 10 + 1)
         right = _reach(doc, i, seq, j, 1, most)
         left = _reach(doc, i - 1, seq, j - 1, -1, most)
         best = None
