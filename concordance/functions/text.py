@@ -1,8 +1,9 @@
 """Comparable forms and similarities of texts, as column expressions inside the JVM.
 
 Every similarity names what it gives for empty operands, since callers differ in that.
-Normalisation beyond lower case and white space (NFKC) has no built-in; ``nfkc`` is an
-Arrow function for the few texts that aren't ASCII.
+Compatibility normalisation (NFKC) has no built-in; ``compatible`` maps what becomes other
+single characters, and the common expansions, inside the JVM. What only a composer can do (a
+letter and its accent apart, rarer expansions) ``nfkc``, an Arrow function, does before.
 """
 
 from __future__ import annotations
@@ -38,14 +39,33 @@ def _empty(x: Column) -> Column:
     return F.coalesce(x, F.lit(""))
 
 
+def _single_forms() -> tuple[str, str]:
+    """Characters whose compatibility form is one other character, and these forms."""
+    pairs = [(c, n) for k in (*range(0x80, 0xD800), *range(0xE000, 0x10000)) if len(n := unicodedata.normalize("NFKC", c := chr(k))) == 1 and n != c]
+    return "".join(c for c, _ in pairs), "".join(n for _, n in pairs)
+
+
+SINGLE_FORMS = _single_forms()
+#: Common characters whose compatibility form is several characters.
+EXPANDED = {c: unicodedata.normalize("NFKC", c) for c in "…‥ﬀﬁﬂﬃﬄ℃℉№㎏㎎㎡㎝㎜㎞㏄½¼¾"}
+
+
+def compatible(x: Column) -> Column:
+    """Compatibility forms of single characters and common expansions; ASCII is left alone."""
+    out = x
+    for c, form in EXPANDED.items():
+        out = F.replace(out, F.lit(c), F.lit(form))
+    return F.when(x.rlike("[^\\x00-\\x7f]"), F.translate(out, *SINGLE_FORMS)).otherwise(x)
+
+
 def collapsed(x: Column) -> Column:
-    """Lower case, each run of white space one space, trimmed."""
-    return F.lower(F.trim(F.regexp_replace(_empty(x), r"(?U)\s+", " ")))
+    """Compatibility form in lower case, each run of white space one space, trimmed."""
+    return F.lower(F.trim(F.regexp_replace(compatible(_empty(x)), r"(?U)\s+", " ")))
 
 
 def squeezed(x: Column) -> Column:
-    """Lower case without white space."""
-    return F.lower(F.regexp_replace(_empty(x), r"(?U)\s+", ""))
+    """Compatibility form in lower case without white space."""
+    return F.lower(F.regexp_replace(compatible(_empty(x)), r"(?U)\s+", ""))
 
 
 def compact(x: Column) -> Column:
@@ -263,6 +283,7 @@ NUMBER = r"([+-]?(?:\d{1,3}(?:[,，]\d{3})+|\d+)(?:\.\d+)?|[+-]?\.\d+)\s*(" + UN
 
 def cell_text(x: Column) -> Column:
     """A cell in comparable form: no hard spaces, no thousands separators, collapsed."""
+    x = compatible(_empty(x))
     plain = F.regexp_replace(F.replace(_empty(x), F.lit(" "), F.lit(" ")), r"(?<=\d)[,，](?=\d{3}(?:\D|$))", "")
     return F.trim(F.regexp_replace(plain, r"(?U)\s+", " "))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -121,24 +123,84 @@ def single_block_view(blocks: DataFrame, key: list[str]) -> DataFrame:
     return blocks.groupBy(*key).agg(F.array_join(texts, "\n\n").alias("text"), geometry.hull(F.col("box")).alias("box"), F.min_by("kind", place).alias("kind"), F.count("*").alias("blocks"))
 
 
-def reading_rows(ys: list[float], heights: list[float]) -> list[int]:
-    """Row numbers of nodes sorted by y: a running mean with a tolerance from the heights."""
-    if not ys:
-        return []
-    ordered = sorted(h for h in heights)
-    tolerance = max(0.045, 1.1 * ordered[len(ordered) // 2])
-    out = [0] * len(ys)
-    order = sorted(range(len(ys)), key=lambda k: ys[k])
-    row, members = 0, []
-    for k in order:
-        if members:
-            mean = sum(ys[m] for m in members) / len(members)
-            top, bottom = min(ys[m] - heights[m] / 2 for m in members), max(ys[m] + heights[m] / 2 for m in members)
-            lap = min(bottom, ys[k] + heights[k] / 2) - max(top, ys[k] - heights[k] / 2)
-            near = abs(ys[k] - mean) <= tolerance
-            lies = lap >= 0.35 * max(1e-6, min(bottom - top, heights[k])) and abs(ys[k] - mean) <= max(tolerance, 0.08)
-            if not near and not lies:
-                row, members = row + 1, []
-        members.append(k)
-        out[k] = row
-    return out
+#: How far a step of depth moves a node down, and the least tolerance of a row (fixed values).
+DEPTH_STEP, LEAST_TOLERANCE = 0.12, 0.045
+
+
+def reading_rows(nodes: list[dict], depths: dict[str, int] | None = None) -> list[list[str]]:
+    """Ids of nodes by visual row, each row from left to right.
+
+    Nodes go from top to bottom by their centre, moved down by their depth. A node joins the
+    row while it is near the row's running mean, by the upper median of all heights or its
+    own, or while it overlaps the row's extent and lies nearly as near.
+    ``nodes``: node_id, order_index, box [x0, y0, x1, y1] or None.
+    """
+    depths = depths or {}
+    place = {}
+    for n in nodes:
+        box = n.get("box")
+        number = n.get("order_index") or int((re.search(r"\d+", n["node_id"]) or ["1000000"])[0])
+        y, x, h = ((box[1] + box[3]) / 2, (box[0] + box[2]) / 2, max(0.0, box[3] - box[1])) if box else (number * 0.1, 0.1, 0.0)
+        place[n["node_id"]] = (y, y + DEPTH_STEP * max(0, depths.get(n["node_id"], 1) - 1), x, h, number, box)
+    heights = sorted(p[5][3] - p[5][1] for p in place.values() if p[5])
+    common = max(LEAST_TOLERANCE, 1.1 * heights[len(heights) // 2] if heights else 0.0)
+    key = lambda i: (round(place[i][1], 4), round(place[i][2], 4), place[i][4], i)
+    rows: list[list[str]] = []
+    mean, top, bottom = 0.0, None, None
+    for i in sorted(place, key=key):
+        raw, y, _, h, _, box = place[i]
+        near = max(common, 0.9 * h)
+        joins = bool(rows) and abs(y - mean) <= near
+        if rows and not joins and box and top is not None:
+            lap, least = min(bottom, box[3]) - max(top, box[1]), min(bottom - top, box[3] - box[1])
+            joins = lap > 0 and least > 0 and lap / least >= 0.35 and max(abs(y - mean), abs(raw - (top + bottom) / 2)) <= max(near, 0.08)
+        if joins:
+            rows[-1].append(i)
+            mean += (y - mean) / len(rows[-1])
+        else:
+            rows.append([i])
+            mean, top, bottom = y, None, None
+        if box:
+            top, bottom = (box[1], box[3]) if top is None else (min(top, box[1]), max(bottom, box[3]))
+    across = lambda i: (round(place[i][2], 4), *key(i)[:1], place[i][4], i)
+    return [sorted(row, key=across) for row in rows]
+
+
+def node_depths(ids: list[str], edges: list[dict], order: dict[str, int]) -> dict[str, int]:
+    """Steps from the roots, from 1; what no root reaches has its order number."""
+    out: dict[str, list[str]] = {}
+    into = set()
+    for e in edges:
+        if e.get("source") in order and e.get("target") in order:
+            out.setdefault(e["source"], []).append(e["target"])
+            into.add(e["target"])
+    queue = deque(i for i in ids if i not in into)
+    depth = dict.fromkeys(queue, 1)
+    while queue:
+        i = queue.popleft()
+        for t in out.get(i, ()):
+            if t not in depth:
+                depth[t] = depth[i] + 1
+                queue.append(t)
+    return {i: depth.get(i) or max(1, order.get(i) or 1) for i in ids}
+
+
+ROWS = "graph bigint, node_id string, row_index int, col_index int"
+
+
+def visual_rows(graphs: DataFrame) -> DataFrame:
+    """(graph, node_id, row_index, col_index) from rows (graph, nodes, edges) of one graph
+    each; a graph is one record and never leaves its row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for graph, nodes, edges in zip(*(c.to_pylist() for c in batch.columns)):
+                known = [{**n, "box": n["bbox_hint"] if n.get("bbox_hint") and len(n["bbox_hint"]) == 4 and None not in n["bbox_hint"] else None} for n in nodes if n and n.get("node_id")]
+                order = {n["node_id"]: n.get("order_index") or 0 for n in known}
+                depths = node_depths(list(order), [e for e in edges or [] if e], order)
+                out += [(graph, i, r, c) for r, row in enumerate(reading_rows(known, depths), 1) for c, i in enumerate(row, 1)]
+            columns = list(zip(*out)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.int32()))], [x.split()[0] for x in ROWS.split(", ")])
+
+    return graphs.select("graph", "nodes", "edges").mapInArrow(run, ROWS)

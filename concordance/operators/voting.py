@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordance.functions import text
+from concordance.functions import geometry, text
 from concordance.operators.ordering import numbered
 
 
@@ -128,3 +128,39 @@ def graph_confidence(node: Column, edge: Column, consistency: Column, label: Col
 def renumbered(nodes: DataFrame, *order: str) -> DataFrame:
     """Nodes of each graph numbered N001.. in the given order."""
     return numbered(nodes, ["graph"], list(order), "order_index").withColumn("new_id", F.format_string("N%03d", F.col("order_index")))
+
+
+#: Distances between what two models say of one node (fixed values).
+FAR, TOO_FAR, APART = 0.20, 0.28, 0.05
+
+
+def node_conflicts(claims: DataFrame) -> DataFrame:
+    """(graph, node_id, model_a, model_b, conflict) for each pair of models and each conflict:
+    rows or columns more than one apart, known shapes that differ, box centres far apart, and
+    'position_conflict' where they are too far, hardly overlap and rows or columns differ too.
+
+    ``claims``: graph, node_id, source_model, row, col, shape, box (null if there is none).
+    """
+    a, b = (claims.select("graph", "node_id", *(F.col(c).alias(f"{c}_{s}") for c in ("source_model", "row", "col", "shape", "box"))) for s in "ab")
+    pairs = a.join(b, ["graph", "node_id"]).filter("source_model_a < source_model_b")
+    gap = lambda c: F.abs(F.col(c + "_a") - F.col(c + "_b"))
+    boxed = F.col("box_a").isNotNull() & F.col("box_b").isNotNull()
+    distance = geometry.center_distance(F.col("box_a"), F.col("box_b"))
+    apart = (F.coalesce(gap("row"), F.lit(0)) > 1) | (F.coalesce(gap("col"), F.lit(0)) > 1)
+    found = F.array(
+        F.when(gap("row") > 1, "row_conflict"), F.when(gap("col") > 1, "column_conflict"),
+        F.when((F.col("shape_a") != "unknown") & (F.col("shape_b") != "unknown") & (F.col("shape_a") != F.col("shape_b")), "shape_conflict"),
+        F.when(boxed & (distance > FAR), "far_apart"), F.when(boxed & (distance > TOO_FAR) & (geometry.iou(F.col("box_a"), F.col("box_b")) < APART) & apart, "position_conflict"),
+    )
+    return pairs.select("graph", "node_id", F.col("source_model_a").alias("model_a"), F.col("source_model_b").alias("model_b"), F.explode(F.array_compact(found)).alias("conflict"))
+
+
+def reindexed(nodes: DataFrame, edges: DataFrame, *order: str) -> DataFrame:
+    """(graph, source, target, new_source, new_target, dangling): edges under the new ids of
+    their nodes; an edge whose end is no node is dangling and has no new ids."""
+    ids = renumbered(nodes, *order).select("graph", "node_id", "new_id")
+    out = edges
+    for end in ("source", "target"):
+        out = out.join(ids.select("graph", F.col("node_id").alias(end), F.col("new_id").alias("_" + end)), ["graph", end], "left")
+    lost = F.col("_source").isNull() | F.col("_target").isNull()
+    return out.select("graph", "source", "target", *(F.when(~lost, F.col("_" + end)).alias("new_" + end) for end in ("source", "target")), lost.alias("dangling"))

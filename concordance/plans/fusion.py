@@ -25,8 +25,16 @@ class _Sql(str):
         return out
 
 
-_COLLAPSED = _Sql("lower(trim(regexp_replace(coalesce({0}, ''), '" + WS + "+', ' ', 'g')))")
-_SQUEEZED = _Sql("lower(regexp_replace(coalesce({0}, ''), '" + WS + "+', '', 'g'))")
+def _compatible(x: str) -> str:
+    """The compatibility form in SQL, as ``text.compatible`` has it."""
+    for c, form in text.EXPANDED.items():
+        x = f"replace({x}, '{c}', '{form}')"
+    before, after = (s.replace("'", "''") for s in text.SINGLE_FORMS)
+    return f"translate({x}, '{before}', '{after}')"
+
+
+_COLLAPSED = _Sql("lower(trim(regexp_replace(" + _compatible("coalesce({0}, '')") + ", '" + WS + "+', ' ', 'g')))")
+_SQUEEZED = _Sql("lower(regexp_replace(" + _compatible("coalesce({0}, '')") + ", '" + WS + "+', '', 'g'))")
 _BIGRAMS = _Sql("case when length({0}) = 0 then []::varchar[] else list_distinct(list_transform(range(1, greatest(length({0}) - 1, 1) + 1), lambda i: substring({0}, i, 2))) end")
 _JACCARD = _Sql("case when len({0}) = 0 and len({1}) = 0 then 1.0 else len(list_intersect({0}, {1}))::double / len(list_distinct(list_concat({0}, {1}))) end")
 
@@ -463,7 +471,86 @@ def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_verdicts(spark, sf_dir).groupBy("decision").agg(F.count("*").alias("verdicts"), F.count("patch_text").alias("patches"))
 
 
-QUERIES = {f.__name__: f for f in (
+def text_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two text votes of every node under each similarity of texts."""
+    rows = table(spark, sf_dir, "fused_nodes").select("node_row_id", F.coalesce(F.get("text_votes", F.lit(0)), F.lit("")).alias("a"), F.coalesce(F.get("text_votes", F.lit(1)), F.lit("")).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    forms = {
+        "alignment": text.alignment_similarity(a, b), "keywords": text.keyword_similarity(a, b), "characters": text.char_similarity(a, b), "phrase": text.phrase_similarity(a, b),
+        "field": text.field_similarity(a, b), "equal_field": text.field_equality(a, b), "title": text.title_alignment(a, b), "visible": text.visible_alignment(a, b),
+        "lists": text.list_overlap(F.array(a), F.array(a, b)),
+    }
+    return rows.select("node_row_id", text.compact(a).alias("compact"), text.without_title_prefix(a).alias("bare_title"), text.visible_score(a).alias("visible_score"), text.has_cjk(a).alias("cjk"), *(F.round(v, 6).alias(k) for k, v in forms.items()))
+
+
+def _similarity_sql() -> str:
+    """The same in SQL: forms first, then each similarity from them."""
+    token, jac = r"[\x{4e00}-\x{9fff}A-Za-z0-9_]+", _JACCARD.format
+    compact = _Sql("regexp_replace(lower({0}), '[^0-9a-z\\x{4e00}-\\x{9fff}]', '', 'g')")
+    title = _Sql("trim(regexp_replace({0}, '^' || '" + WS + "*(?:figure|fig\\.?|table|chart|图表|图|表)" + WS + "*\\d+(?:[.\\-]\\d+)*" + WS + "*[:：.、\\-]?" + WS + "*', '', 'i'))")
+    words = _Sql("list_distinct(regexp_extract_all(lower({0}), '" + token + "'))")
+    char = _Sql("case when c{0} = '' or c{1} = '' then 0.0 when c{0} = c{1} then 1.0 else " + jac("p{0}", "p{1}") + " end")
+    inside = _Sql("case when {0} = '' or {1} = '' then 0.0 when {0} = {1} then 1.0 when contains({0}, {1}) or contains({1}, {0}) then {2} + {3} * least(length({0}), length({1}))::double / greatest(length({0}), length({1})) else {4} end")
+    ratio = "least(length(x), length(y))::double / greatest(length(x), length(y))"
+    key = "case when len(ka) = 0 or len(kb) = 0 then 0.0 else " + jac("ka", "kb") + " end"
+    phrase = f"case when x = '' or y = '' then 0.0 when x = y then 1.0 else greatest(case when contains(x, y) or contains(y, x) then 0.45 + 0.5 * {ratio} else 0.0 end, 0.6 * kw + 0.4 * ch, ch) end"
+    return rf"""
+with r as (select node_row_id, coalesce(text_votes[1], '') as a, coalesce(text_votes[2], '') as b from fused_nodes),
+f as (select *, {_COLLAPSED.format('a')} as ca, {_COLLAPSED.format('b')} as cb, {_SQUEEZED.format('a')} as sa, {_SQUEEZED.format('b')} as sb, {compact.format('a')} as x, {compact.format('b')} as y, {words.format('a')} as ka, {words.format('b')} as kb, {title.format('a')} as ta, {title.format('b')} as tb from r),
+g as (select *, {_BIGRAMS.format('ca')} as pa, {_BIGRAMS.format('cb')} as pb, {_BIGRAMS.format('sa')} as qa, {_BIGRAMS.format('sb')} as qb, {compact.format('ta')} as xt, {compact.format('tb')} as yt, {_COLLAPSED.format('ta')} as cta, {_COLLAPSED.format('tb')} as ctb from f),
+h as (select *, {_BIGRAMS.format('cta')} as pta, {_BIGRAMS.format('ctb')} as ptb, {key} as kw, {char.format('a', 'b')} as ch from g),
+i as (select *, {char.format('ta', 'tb')} as cht, {phrase} as ph from h),
+j as (select *, case when x = '' then 0.0 else 1.0 end as self, case when y = '' then 0.0 else 1.0 end as other from i)
+select node_row_id, x as compact, ta as bare_title, coalesce(list_sum(list_transform(regexp_extract_all(a, '{token}'), lambda t: length(t))), 0)::int as visible_score, regexp_matches(a, '[\x{{4e00}}-\x{{9fff}}]') as cjk,
+  case when sa = sb then 1.0 when sa = '' or sb = '' then 0.0 else round({jac('qa', 'qb')}, 4) end as alignment, round(kw, 6) as keywords, round(ch, 6) as characters, round(ph, 6) as phrase,
+  round(case when ca = '' and cb = '' then 0.5 else ch end, 6) as field, (case when ca = '' and cb = '' then 0.5 when ca = cb then 1.0 else 0.0 end)::double as equal_field,
+  round({inside.format('xt', 'yt', '0.75', '0.25', 'cht')}, 6) as title, round({inside.format('x', 'y', '0.45', '0.5', 'ch')}, 6) as visible,
+  round((greatest(self, ph) + (self + ph) / 2) / 2, 6) as lists from j"""
+
+
+def box_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every block's box against the hull of its image, and in pixels of a page of 1000 x 700."""
+    blocks = table(spark, sf_dir, "layout_blocks").filter("image_id is not null").select("image_id", "block_row_id", geometry.sorted_corners(F.col("bbox")).alias("box")).filter("box is not null")
+    hulls = blocks.groupBy("image_id").agg(geometry.hull(F.col("box")).alias("hull"))
+    a, b = F.col("box"), F.col("hull")
+    rows = blocks.join(hulls, "image_id")
+    pixels = geometry.to_pixels(a, F.lit(1000), F.lit(700), 2)
+    measures = {"overlap": geometry.iou(a, b), "distance": F.round(geometry.center_distance(a, b), 6), "horizontal": F.round(geometry.horizontal_overlap(a, b), 6), "gap": geometry.vertical_gap(a, b)}
+    return rows.select("block_row_id", *(v.cast("double").alias(k) for k, v in measures.items()), *(pixels[k].alias(n) for k, n in enumerate(("left", "top", "right", "bottom"))))
+
+
+_MEASURES = f"""
+with b as (select image_id, block_row_id, least(bbox[1], bbox[3]) as x0, least(bbox[2], bbox[4]) as y0, greatest(bbox[1], bbox[3]) as x1, greatest(bbox[2], bbox[4]) as y1 from layout_blocks where image_id is not null and len(bbox) = 4 and len(list_filter(bbox, lambda v: v is null)) = 0),
+h as (select image_id, min(x0) as u0, min(y0) as v0, max(x1) as u1, max(y1) as v1 from b group by 1),
+j as (select *, (x1 - x0) * (y1 - y0) as own, (u1 - u0) * (v1 - v0) as whole, case when greatest(abs(x0), abs(y0), abs(x1), abs(y1)) <= 1.5 then 1.0 else 1000.0 end as unit from b join h using (image_id)),
+p as (select *, greatest(0, floor(x0 / unit * 1000)::int - 2) as "left", greatest(0, floor(y0 / unit * 700)::int - 2) as "top", least(1000, ceil(x1 / unit * 1000)::int + 2) as r, least(700, ceil(y1 / unit * 700)::int + 2) as bo from j)
+select block_row_id, case when whole <= 0 then 0.0 else {_ROUND4.format('own / whole')} end as overlap, round(sqrt(((x0 + x1 - u0 - u1) / 2) ** 2 + ((y0 + y1 - v0 - v1) / 2) ** 2), 6) as distance,
+  round(greatest(0.0, x1 - x0) / least(greatest(1e-6, x1 - x0), greatest(1e-6, u1 - u0)), 6) as horizontal, case when y1 < v0 then v0 - y1 when v1 < y0 then y0 - v1 else 0.0 end as gap,
+  "left", "top", greatest(r, "left" + 1) as "right", greatest(bo, "top" + 1) as bottom from p"""
+
+
+def value_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, coercions and messages of every answer in normal form."""
+    rows = table(spark, sf_dir, "model_outputs")
+    n = F.col("latency_ms")
+    return rows.select(
+        "output_id", labels.node_id(F.col("image_id"), F.col("output_id")).alias("node_id"), labels.node_index(F.col("image_id")).alias("node_index"), labels.file_stem(F.concat(F.lit("in/"), F.col("image_id"), F.lit(".png"))).alias("stem"),
+        labels.positive_int(n.cast("string")).alias("latency"), labels.image_type(F.col("source_type")).alias("kind"), labels.default_source_type(F.col("model_name")).alias("source_type"), text.joined_errors(F.col("error"), F.lit(""), F.col("vendor")).alias("message"),
+        text.clamp(n / 5000).alias("share"), F.round(text.ratio_similarity(n.cast("double"), F.lit(1000.0)), 6).alias("ratio"), F.round(text.optional_number_similarity(n, F.lit(1000)), 6).alias("near"),
+    )
+
+
+_FORMS = r"""
+with n as (select *, regexp_extract(coalesce(image_id, ''), '(\d+)', 1) as digits, latency_ms::double as l, lower(trim(coalesce(source_type, ''))) as k from model_outputs)
+select output_id, 'N' || lpad(coalesce(try_cast(digits as int), output_id)::varchar, greatest(3, length(coalesce(try_cast(digits as int), output_id)::varchar))::int, '0') as node_id, try_cast(regexp_extract(image_id, '(\d+)', 1) as int) as node_index, image_id as stem,
+  case when latency_ms > 0 then latency_ms::int end as latency,
+  case when k in ('flowchart', 'chart', 'table', 'seal', 'document', 'screenshot', 'diagram', 'natural_image', 'mixed', 'unknown') then k when regexp_matches(k, 'flow') then 'flowchart' when regexp_matches(k, 'chart|plot|graph') then 'chart' when regexp_matches(k, 'table') then 'table'
+    when regexp_matches(k, 'seal|stamp') then 'seal' when regexp_matches(k, 'screen') then 'screenshot' when regexp_matches(k, 'doc') then 'document' when regexp_matches(k, 'diagram') then 'diagram' when regexp_matches(k, 'natural|photo|scene') then 'natural_image' when regexp_matches(k, 'mixed') then 'mixed' else 'unknown' end as kind,
+  case when model_name like '%\_local' escape '\' then 'local_service' else 'remote_service' end as source_type, nullif(concat_ws('; ', nullif(error, ''), nullif(vendor, '')), '') as message,
+  greatest(0.0, least(1.0, l / 5000)) as share, round(case when l = 0 then 0.0 else least(l, 1000.0) / greatest(l, 1000.0) end, 6) as ratio, round(case when l is null then 0.0 else greatest(0.0, 1 - abs(l - 1000) / greatest(abs(l), 1000)) end, 6) as near from n"""
+
+
+QUERIES = {f.__name__: f for f in (text_similarities, box_measures, value_forms,
     quorum_vote, graph_support, majority_first, representative_shape, representative_text, text_consistency, distinct_votes, fuse_nodes, selected_nodes, decision_gate, validation_scores, first_copies,
     edge_differences, longest_blocks, crop_identity, page_merge, renumber, status_changes, markdown_cells, table_diff, best_reader, best_overlap, page_hulls, crop_groups, reachability, node_depths, pruned_nodes,
     diagrams, graph_similarity, graph_differences, model_blocks, align_blocks, unmatched_blocks, page_markdown, number_units, token_usage, block_kinds, region_labels, summaries, best_snapshots, images_without_code, patched_blocks,
@@ -493,6 +580,9 @@ with v as (select output_id as record_id, json_extract_string(raw_text, '$.issue
 select record_id, issue_id, case when d in ('merge', 'reject_issue') then d when regexp_matches(d, '^keep_(candidate|fusion|graph_candidate)') then 'keep_candidate' when regexp_matches(d, '^(use|adopt)_') then 'use_reference' when regexp_matches(d, '^add_') then 'add_block' else 'keep_anchor' end as decision,
   patch_text, coalesce(nullif(reason, ''), 'patch_applied') as reason from v where issue_id is not null"""
 SQL = {
+    "text_similarities": _similarity_sql(),
+    "box_measures": _MEASURES,
+    "value_forms": _FORMS,
     "judge_verdicts": _VERDICTS,
     "verdict_counts": f"select decision, count(*) as verdicts, count(patch_text) as patches from ({_VERDICTS}) group by 1",
     "quorum_vote": _FUSED,

@@ -239,8 +239,14 @@ def test_graph_comparison():
 
 
 def test_reading_rows():
-    assert layout.reading_rows([0.10, 0.11, 0.30, 0.31, 0.6], [0.02] * 5) == [0, 0, 1, 1, 2]
-    assert layout.reading_rows([], []) == []
+    node = lambda i, y, h=0.02, x=0.1: {"node_id": i, "order_index": 1, "box": [x, y - h / 2, x + 0.1, y + h / 2]}
+    rows = layout.reading_rows([node("a", 0.10, x=0.5), node("b", 0.11), node("c", 0.30), node("d", 0.31), node("e", 0.6)])
+    assert [sorted(r) for r in rows] == [["a", "b"], ["c", "d"], ["e"]] and rows[0] == ["b", "a"]
+    # depth moves a node down; its own height widens its tolerance
+    assert layout.reading_rows([node("a", 0.1), node("b", 0.1)], {"b": 2}) == [["a"], ["b"]]
+    assert layout.reading_rows([node("a", 0.1), node("b", 0.1), node("c", 0.2, h=0.2)]) == [["a", "b", "c"]]
+    assert layout.reading_rows([]) == [] and layout.reading_rows([{"node_id": "N2", "box": None}, {"node_id": "N1", "box": None}]) == [["N1"], ["N2"]]
+    assert layout.node_depths(["a", "b", "c", "d"], [{"source": "a", "target": "b"}, {"source": "b", "target": "c"}, {"source": "a", "target": "c"}, {"source": "d", "target": "d"}], {"a": 1, "b": 2, "c": 3, "d": 4}) == {"a": 1, "b": 2, "c": 2, "d": 4}
 
 
 # --- sources, sinks, streaming -------------------------------------------------------------

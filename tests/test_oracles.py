@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from concordance.plans import fusion, problems
+from concordance.plans import fusion, problems, records
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,7 +24,7 @@ def comparable(rows):
     return sorted(tuple("" if v is None or v != v else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
-QUERIES, SQL = fusion.QUERIES | problems.QUERIES, fusion.SQL | problems.SQL
+QUERIES, SQL = fusion.QUERIES | problems.QUERIES | records.QUERIES, fusion.SQL | problems.SQL | records.SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -42,5 +42,5 @@ def test_query(spark, duck, name):
 
 
 def test_names_do_not_clash():
-    assert not set(fusion.QUERIES) & set(problems.QUERIES)
+    assert len(QUERIES) == len(fusion.QUERIES) + len(problems.QUERIES) + len(records.QUERIES)
     assert set(SQL) <= set(QUERIES)
