@@ -7,9 +7,10 @@ from collections.abc import Iterator
 from itertools import count
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concordance.functions import labels
 from concordance.session import materialise
 
 # --- diagram text ------------------------------------------------------------------------
@@ -99,6 +100,40 @@ def parsed(df: DataFrame, key: str, column: str) -> DataFrame:
     return df.select(key, column).filter(F.col(column).isNotNull()).mapInArrow(run, f"`{key}` {kind}, direction string, nodes {NODES}, edges {EDGES}")
 
 
+def _coded(raw: Column) -> Column:
+    """N and the first digits of an id on three places; null without digits."""
+    digits = F.regexp_extract(F.coalesce(raw, F.lit("")), r"(\d+)", 1).try_cast("int")
+    return F.when(digits.isNotNull(), F.format_string("N%03d", digits))
+
+
+def normalised(df: DataFrame, key: str, payload: str) -> DataFrame:
+    """(key, nodes, edges, dropped) of graph payloads in normal form, inside the JVM.
+
+    A node's id is N and the first digits of what it was called, else its order, else its
+    place; edges are re-pointed by what their ends were called, by new id or by order, the
+    last node of a name counts; an edge with an end that means nothing is dropped. Payloads
+    that aren't JSON have no row.
+    """
+    schema = "nodes array<struct<node_id:string,order_index:string,shape:string,text:string>>, edges array<struct<source:string,target:string,label:string>>"
+    whole = F.col(payload)
+    rows = df.filter(F.try_parse_json(whole).isNotNull()).select(key, F.from_json(whole, schema).alias("p"))
+    none = lambda c: F.coalesce(c, F.array())
+
+    def node(n: Column, i: Column) -> Column:
+        order = labels.positive_int(n["order_index"])
+        ident = F.coalesce(_coded(F.trim(n["node_id"])), F.format_string("N%03d", F.coalesce(order, i + 1)))
+        return F.struct(ident.alias("node_id"), F.coalesce(order, labels.node_index(ident)).alias("order_index"), labels.node_shape(F.coalesce(n["shape"], F.lit(""))).alias("shape"), F.trim(F.coalesce(n["text"], F.lit(""))).alias("text"), F.trim(n["node_id"]).alias("raw"))
+
+    nodes = F.transform(none(F.col("p.nodes")), node)
+    named = F.flatten(F.transform("nodes", lambda n: F.array(F.struct(n["raw"].alias("k"), n["node_id"].alias("v")), F.struct(n["node_id"].alias("k"), n["node_id"].alias("v")), F.struct(n["order_index"].cast("string").alias("k"), n["node_id"].alias("v")))))
+    end = lambda raw: F.when(F.coalesce(F.trim(raw), F.lit("")) != "", F.coalesce(F.try_element_at(F.filter("named", lambda x: x["k"] == F.trim(raw)), F.lit(-1))["v"], _coded(raw)))
+    edges = F.transform(none(F.col("p.edges")), lambda e: F.struct(end(e["source"]).alias("source"), end(e["target"]).alias("target"), F.trim(F.coalesce(e["label"], F.lit(""))).alias("label")))
+    read = rows.withColumn("nodes", nodes).withColumn("named", named).withColumn("all_edges", edges)
+    kept = F.filter("all_edges", lambda e: e["source"].isNotNull() & e["target"].isNotNull())
+    plain = F.transform("nodes", lambda n: n.dropFields("raw"))
+    return read.select(key, plain.alias("nodes"), kept.alias("edges"), (F.size("all_edges") - F.size(kept)).alias("dropped"))
+
+
 # --- relations over many graphs ----------------------------------------------------------
 
 

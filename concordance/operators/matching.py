@@ -65,6 +65,23 @@ def leftovers(blocks: DataFrame, matches: DataFrame, key: list[str], side: str)
     return blocks.join(matches.select(*key, "page_idx", F.col("pos_" + side).alias("pos")), [*key, "page_idx", "pos"], "left_anti")
 
 
+def merged(base: DataFrame, other: DataFrame, matches: DataFrame, key: list[str], addable: tuple[str, ...]) -> DataFrame:
+    """(key..., page_idx, pos, kind, box, text, origin): base blocks enriched by their match.
+
+    A base block without a text or box takes its match's; blocks of the other side without a
+    match, of the ``addable`` kinds, follow the last block of their page.
+    """
+    at = [*key, "page_idx"]
+    found = matches.select(*at, F.col("pos_a").alias("pos"), "pos_b").join(other.select(*at, F.col("pos").alias("pos_b"), F.col("text").alias("_t"), F.col("box").alias("_b")), [*at, "pos_b"])
+    empty = F.coalesce(F.trim("text"), F.lit("")) == ""
+    filled = base.join(found, [*at, "pos"], "left").select(*at, "pos", "kind", F.coalesce("box", "_b").alias("box"), F.when(empty, F.coalesce("_t", "text")).otherwise(F.col("text")).alias("text"), F.when(empty & (F.coalesce("_t", F.lit("")) != ""), "filled").when(F.col("pos_b").isNotNull(), "matched").otherwise("base").alias("origin"))
+    top = base.groupBy(*at).agg(F.max("pos").alias("_top"))
+    new = leftovers(other, matches, key, "b").filter(F.col("kind").isin(*addable))
+    number = F.row_number().over(Window.partitionBy(*at).orderBy("pos"))
+    added = new.withColumn("_n", number).join(top, at, "left").select(*at, (F.coalesce("_top", F.lit(0)) + F.col("_n")).alias("pos"), "kind", "box", "text", F.lit("added").alias("origin"))
+    return filled.unionByName(added)
+
+
 def with_positional(base: DataFrame, other: DataFrame, matches: DataFrame, key: list[str]) -> DataFrame:
     """Matches, and where as many blocks are left on both sides those in order."""
     w = Window.partitionBy(*key).orderBy("page_idx", "pos")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from concordance.functions import geometry, labels, text
 from concordance.operators import comparison, decisions, dedup, graphs, issues, layout, matching, ordering, patches, payloads, scoring, tables, voting
-from concordance.session import table
+from concordance.session import materialise, table
 from concordance.sources import sinks
 from concordance.streaming import incremental
 
@@ -178,10 +178,10 @@ def crop_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per page the last answers of its crops, in the order of the crops."""
-    last = table(spark, sf_dir, "model_outputs").filter("model_name = 'anchor-pro' and image_id is not null").groupBy("image_id").agg(F.max_by(F.coalesce("raw_text", F.lit("")), "output_id").alias("markdown"))
-    crops = last.select("image_id", "markdown", labels.crop_parts(F.col("image_id")).alias("p")).select("image_id", "markdown", "p.*")
-    return sinks.merged_pages(crops).select("page_output_id", "crops", F.md5("markdown").alias("digest"))
+    """Per model and page the last answers of its crops, in the order of the crops."""
+    last = table(spark, sf_dir, "model_outputs").filter("image_id is not null and model_name is not null").groupBy("image_id", "model_name").agg(F.max_by(F.coalesce("raw_text", F.lit("")), "output_id").alias("markdown"))
+    crops = last.select("image_id", "model_name", "markdown", labels.crop_parts(F.col("image_id")).alias("p")).select("image_id", "model_name", "markdown", "p.*")
+    return sinks.merged_pages(crops, "model_name").select("model_name", "page_output_id", "crops", F.md5("markdown").alias("digest"))
 
 
 def renumber(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,15 +213,27 @@ r as (select s.doc_id, case when s.i = e.start then 0 else s.i - e.start - 1 end
 select doc_id, row_index::int as row_index, (k - 1)::int as col_index, coalesce(cells[k], '') as text, row_index = 0 as is_header from (select *, unnest(range(1, len(head) + 1)) as k from r)"""
 
 
-def _answer_tables(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
-    last = table(spark, sf_dir, "model_outputs").filter((F.col("model_name") == model) & F.col("image_id").isNotNull()).groupBy("image_id").agg(F.max_by("raw_text", "output_id").alias("raw_text"))
-    return tables.parse_table(last, ["image_id"], "raw_text")
+#: The source that the others are compared with.
+ANCHOR = "anchor-pro"
+
+
+def _last_answers(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """(image_id, role, output_id, column): every model's last answer to an image."""
+    rows = table(spark, sf_dir, "model_outputs").filter(F.col("image_id").isNotNull() & F.col("model_name").isNotNull() & F.col(column).isNotNull())
+    return rows.groupBy("image_id", F.col("model_name").alias("role")).agg(F.max(F.struct("output_id", column)).alias("r")).select("image_id", "role", "r.*")
+
+
+def _against_anchor(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The anchor's rows, once for every other role that has some on the image, and the others'."""
+    others = rows.filter(F.col("role") != ANCHOR)
+    met = others.select("image_id", "role").distinct()
+    return rows.filter(F.col("role") == ANCHOR).drop("role").join(met, "image_id"), others
 
 
 def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables of two models' answers compared cell by cell and scored."""
-    diff = tables.cell_diff(_answer_tables(spark, sf_dir, "anchor-pro"), _answer_tables(spark, sf_dir, "aux-layout"), ["image_id"])
-    return tables.table_scores(diff, ["image_id"])
+    """Tables of the anchor's answers and of every other model's compared cell by cell and scored."""
+    cells = tables.parse_table(_last_answers(spark, sf_dir, "raw_text"), ["image_id", "role"], "raw_text")
+    return tables.table_scores(tables.cell_diff(*_against_anchor(cells), ["image_id", "role"]), ["image_id", "role"])
 
 
 def best_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,22 +327,32 @@ def model_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.blocks(table(spark, sf_dir, "model_outputs"), "output_id", "parsed")
 
 
-def _document(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
-    last = table(spark, sf_dir, "model_outputs").filter((F.col("model_name") == model) & F.col("image_id").isNotNull() & F.col("parsed").isNotNull()).groupBy("image_id").agg(F.max_by("parsed", "output_id").alias("parsed"), F.max("output_id").alias("output_id"))
-    rows = payloads.blocks(last, "output_id", "parsed").withColumnRenamed("record_id", "output_id").join(last.select("output_id", "image_id"), "output_id")
-    return rows.select("image_id", "page_idx", F.col("order_index").alias("pos"), "box", "text", "kind")
+def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The anchor's blocks and those of every other model, by image and other role."""
+    last = materialise(_last_answers(spark, sf_dir, "parsed"))
+    rows = payloads.blocks(last, "output_id", "parsed").withColumnRenamed("record_id", "output_id").join(last.select("output_id", "image_id", "role"), "output_id")
+    return _against_anchor(materialise(rows.select("image_id", "role", "page_idx", F.col("order_index").alias("pos"), "box", "text", "kind")))
+
+
+_PAIR = ["image_id", "role"]
 
 
 def align_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of the anchor's answer matched one to one with another model's."""
-    return matching.align(_document(spark, sf_dir, "anchor-pro"), _document(spark, sf_dir, "aux-layout"), ["image_id"])
+    """Blocks of the anchor's answer matched one to one with those of every other model."""
+    return matching.align(*_documents(spark, sf_dir), _PAIR)
 
 
 def unmatched_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of the other model that no anchor block takes, of kinds worth adding."""
-    other = _document(spark, sf_dir, "aux-layout")
-    matches = matching.align(_document(spark, sf_dir, "anchor-pro"), other, ["image_id"])
-    return matching.leftovers(other, matches, ["image_id"], "b").filter(F.col("kind").isin("chart", "table", "image")).select("image_id", "page_idx", "pos", "kind", "text")
+    """Blocks of other models that no anchor block takes, of kinds worth adding."""
+    base, other = _documents(spark, sf_dir)
+    return matching.leftovers(other, matching.align(base, other, _PAIR), _PAIR, "b").filter(F.col("kind").isin("chart", "table", "image")).select(*_PAIR, "page_idx", "pos", "kind", "text")
+
+
+def merged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The anchor's blocks, empty texts filled from their match, and unmatched blocks worth
+    adding appended to their page."""
+    base, other = _documents(spark, sf_dir)
+    return matching.merged(base, other, matching.align(base, other, _PAIR), _PAIR, ("chart", "table", "image"))
 
 
 def page_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,8 +459,8 @@ def block_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seal_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Images whose models read different texts in seals and titles."""
-    rows = table(spark, sf_dir, "ocr_regions").filter("image_id is not null and text is not null").select("image_id", "model_name", "role", text.squeezed(F.col("text")).alias("t")).filter("t != '' and role in ('seal', 'title')")
+    """Images whose models read different texts in one role."""
+    rows = table(spark, sf_dir, "ocr_regions").filter("image_id is not null and text is not null").select("image_id", "model_name", "role", text.squeezed(F.col("text")).alias("t")).filter("t != '' and role is not null")
     sets = rows.groupBy("image_id", "role", "model_name").agg(F.array_join(F.sort_array(F.collect_set("t")), "|").alias("texts"))
     return sets.groupBy("image_id", "role").agg(F.count("*").alias("models"), F.count_distinct("texts").alias("readings")).filter("readings > 1")
 
@@ -456,9 +478,17 @@ def label_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conflicts between the anchor's and another model's blocks."""
-    base, other = _document(spark, sf_dir, "anchor-pro"), _document(spark, sf_dir, "aux-layout")
-    return issues.detect(base, other, matching.align(base, other, ["image_id"]), ["image_id"])
+    """Conflicts between the anchor's blocks and those of every other model."""
+    base, other = _documents(spark, sf_dir)
+    return issues.detect(base, other, matching.align(base, other, _PAIR), _PAIR)
+
+
+def issue_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those conflicts with the last verdict on each, from the judgements on the same image."""
+    given = judge_verdicts(spark, sf_dir).join(table(spark, sf_dir, "model_outputs").select(F.col("output_id").alias("record_id"), "image_id"), "record_id")
+    found = document_issues(spark, sf_dir)
+    roles = found.select("image_id", "role").distinct()
+    return issues.outcomes(found, given.join(roles, "image_id"), _PAIR)
 
 
 def judge_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -547,13 +577,13 @@ select output_id, 'N' || lpad(coalesce(try_cast(digits as int), output_id)::varc
   case when k in ('flowchart', 'chart', 'table', 'seal', 'document', 'screenshot', 'diagram', 'natural_image', 'mixed', 'unknown') then k when regexp_matches(k, 'flow') then 'flowchart' when regexp_matches(k, 'chart|plot|graph') then 'chart' when regexp_matches(k, 'table') then 'table'
     when regexp_matches(k, 'seal|stamp') then 'seal' when regexp_matches(k, 'screen') then 'screenshot' when regexp_matches(k, 'doc') then 'document' when regexp_matches(k, 'diagram') then 'diagram' when regexp_matches(k, 'natural|photo|scene') then 'natural_image' when regexp_matches(k, 'mixed') then 'mixed' else 'unknown' end as kind,
   case when model_name like '%\_local' escape '\' then 'local_service' else 'remote_service' end as source_type, nullif(concat_ws('; ', nullif(error, ''), nullif(vendor, '')), '') as message,
-  greatest(0.0, least(1.0, l / 5000)) as share, round(case when l = 0 then 0.0 else least(l, 1000.0) / greatest(l, 1000.0) end, 6) as ratio, round(case when l is null then 0.0 else greatest(0.0, 1 - abs(l - 1000) / greatest(abs(l), 1000)) end, 6) as near from n"""
+  case when l is not null then greatest(0.0, least(1.0, l / 5000)) end as share, round(case when l = 0 then 0.0 else least(l, 1000.0) / greatest(l, 1000.0) end, 6) as ratio, round(case when l is null then 0.0 else greatest(0.0, 1 - abs(l - 1000) / greatest(abs(l), 1000)) end, 6) as near from n"""
 
 
 QUERIES = {f.__name__: f for f in (text_similarities, box_measures, value_forms,
     quorum_vote, graph_support, majority_first, representative_shape, representative_text, text_consistency, distinct_votes, fuse_nodes, selected_nodes, decision_gate, validation_scores, first_copies,
     edge_differences, longest_blocks, crop_identity, page_merge, renumber, status_changes, markdown_cells, table_diff, best_reader, best_overlap, page_hulls, crop_groups, reachability, node_depths, pruned_nodes,
-    diagrams, graph_similarity, graph_differences, model_blocks, align_blocks, unmatched_blocks, page_markdown, number_units, token_usage, block_kinds, region_labels, summaries, best_snapshots, images_without_code, patched_blocks,
+    diagrams, graph_similarity, graph_differences, model_blocks, align_blocks, unmatched_blocks, merged_blocks, issue_outcomes, page_markdown, number_units, token_usage, block_kinds, region_labels, summaries, best_snapshots, images_without_code, patched_blocks,
     hourly_answers, latest_answers, gold_matches, neighbour_similarity, block_boxes, seal_conflicts, model_labels, label_consensus, document_issues, judge_verdicts, verdict_counts,
 )}
 
@@ -603,9 +633,9 @@ select validation_id, {_ROUND4.format('greatest(0, least(1, 0.55 + 0.35 * m - 0.
     "edge_differences": f"with a as (select distinct graph, source, target from ({_CLAIMS})), b as (select distinct image_id as graph, source, target from fused_edges where image_id is not null) (select * from a except select * from b) union all (select * from b except select * from a)",
     "longest_blocks": "select image_id, block_row_id, coalesce(length(content), 0) as n from layout_blocks where image_id is not null qualify row_number() over (partition by image_id order by n desc, block_row_id) <= 10",
     "crop_identity": r"""select image_id, nullif(regexp_extract(image_id, '^(.*_p_?\d+)_r_?(\d+)_.+$', 1), '') as page_output_id, nullif(regexp_extract(image_id, '^(.*_p_?\d+)_r_?(\d+)_.+$', 2), '') as merge_order from (select distinct image_id from validations where image_id is not null)""",
-    "page_merge": r"""with l as (select image_id, arg_max(coalesce(raw_text, ''), output_id) as m from model_outputs where model_name = 'anchor-pro' and image_id is not null group by 1),
-c as (select image_id, trim(m) as m, nullif(regexp_extract(image_id, '^(.*_p_?\d+)_r_?(\d+)_.+$', 1), '') as page, regexp_extract(image_id, '^(.*_p_?\d+)_r_?(\d+)_.+$', 2) as o from l)
-select page as page_output_id, count(*) as crops, md5(string_agg(m, E'\n\n' order by try_cast(o as bigint), o, image_id)) as digest from c where page is not null and m != '' group by 1""",
+    "page_merge": r"""with l as (select image_id, model_name, arg_max(coalesce(raw_text, ''), output_id) as m from model_outputs where model_name is not null and image_id is not null group by 1, 2),
+c as (select image_id, model_name, trim(m) as m, nullif(regexp_extract(image_id, '^(.*_p_?\d+)_r_?(\d+)_.+$', 1), '') as page, regexp_extract(image_id, '^(.*_p_?\d+)_r_?(\d+)_.+$', 2) as o from l)
+select model_name, page as page_output_id, count(*) as crops, md5(string_agg(m, E'\n\n' order by try_cast(o as bigint), o, image_id)) as digest from c where page is not null and m != '' group by 1, 2""",
     "renumber": "select image_id, block_row_id, n as order_index, printf('N%03d', n) as new_id from (select image_id, block_row_id, row_number() over (partition by image_id order by block_index, block_row_id) as n from layout_blocks where image_id is not null)",
     "status_changes": "select snapshot_id, status, next_status from (select snapshot_id, status, lead(status) over w as next_status, lead(snapshot_id) over w as next_id from snapshots window w as (partition by image_id order by received_at, snapshot_id)) where next_id is not null and status is distinct from next_status",
     "markdown_cells": _CELLS,
@@ -635,5 +665,5 @@ s as (select *, {_SQUEEZED.format('a')} as x, {_SQUEEZED.format('b')} as y, list
 t as (select *, {_BIGRAMS.format('x')} as p, {_BIGRAMS.format('y')} as q from s)
 select block_row_id, round(case when x = '' and y = '' then 1.0 when x = '' or y = '' then 0.0 else {_JACCARD.format('p', 'q')} end, 6) as bigram, round(case when len(ka) = 0 or len(kb) = 0 then 0.0 else {_JACCARD.format('ka', 'kb')} end, 6) as keyword from t""",
     "block_boxes": "with b as (select block_row_id, list_transform(bbox, lambda v: greatest(0, least(1000, round_even(v * case when len(list_filter(bbox, lambda w: not (w >= 0 and w <= 1))) = 0 then 1000 else 1 end, 0)))::int) as b from layout_blocks where bbox is not null and len(bbox) = 4) select block_row_id, b[1] as x0, b[2] as y0, b[3] as x1, b[4] as y1 from b",
-    "seal_conflicts": f"with r as (select image_id, role, model_name, t from (select image_id, role, model_name, {_SQUEEZED.format('text')} as t from ocr_regions where image_id is not null and text is not null) where t != '' and role in ('seal', 'title')), s as (select image_id, role, model_name, string_agg(distinct t, '|' order by t) as texts from r group by all) select image_id, role, count(*) as models, count(distinct texts) as readings from s group by all having count(distinct texts) > 1",
+    "seal_conflicts": f"with r as (select image_id, role, model_name, t from (select image_id, role, model_name, {_SQUEEZED.format('text')} as t from ocr_regions where image_id is not null and text is not null) where t != '' and role is not null), s as (select image_id, role, model_name, string_agg(distinct t, '|' order by t) as texts from r group by all) select image_id, role, count(*) as models, count(distinct texts) as readings from s group by all having count(distinct texts) > 1",
 }

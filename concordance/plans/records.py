@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordance.functions import geometry, labels, predicates, text
-from concordance.operators import dedup, layout, ordering, pages, tables, voting
+from concordance.operators import dedup, graphs, layout, ordering, pages, tables, voting
 from concordance.plans.fusion import _CELLS, _SQUEEZED
 from concordance.session import table
 
@@ -192,11 +192,43 @@ def final_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.final_markdown(rows, "image_id", "block_index", "block_row_id")
 
 
+def normal_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of drawn graphs' payloads in normal form."""
+    rows = graphs.normalised(table(spark, sf_dir, "visual_graphs"), "graph_id", "payload")
+    return rows.select("graph_id", F.posexplode("nodes").alias("pos", "n")).select("graph_id", "pos", "n.*")
+
+
+def normal_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of drawn graphs' payloads, re-pointed to the nodes' new ids; how many were dropped."""
+    rows = graphs.normalised(table(spark, sf_dir, "visual_graphs"), "graph_id", "payload")
+    return rows.select("graph_id", "dropped", F.posexplode_outer("edges").alias("pos", "e")).select("graph_id", "pos", "e.*", "dropped")
+
+
+_PAYLOADS = r"""
+j as (select graph_id, payload::json as p from visual_graphs where json_valid(payload) and not regexp_matches(regexp_replace(payload, '"(\\.|[^"\\])*"', '""', 'g'), ',\s*[}\]]|NaN|Infinity|inf|nan')),
+l as (select graph_id, json_extract(p, '$.nodes[*]') as ns, json_extract(p, '$.edges[*]') as es from j),
+n as (select graph_id, generate_subscripts(ns, 1) as i, unnest(ns) as n from l),
+m as (select graph_id, i, trim(n->>'$.node_id') as raw, case when try_cast(n->>'$.order_index' as int) > 0 then try_cast(n->>'$.order_index' as int) end as o, case when lower(trim(n->>'$.shape')) in ('rectangle', 'rounded', 'diamond', 'ellipse') then lower(trim(n->>'$.shape')) else 'unknown' end as shape, trim(coalesce(n->>'$.text', '')) as text from n),
+k as (select *, printf('N%03d', coalesce(try_cast(regexp_extract(coalesce(raw, ''), '(\d+)', 1) as int), o, i::int)) as node_id from m),
+nodes as (select graph_id, (i - 1)::int as pos, node_id, coalesce(o, try_cast(regexp_extract(node_id, '(\d+)', 1) as int)) as order_index, shape, text, raw, i from k)"""
+_NAMED = """
+named as (select graph_id, k, arg_max(v, seq) as v from (select graph_id, raw as k, node_id as v, i * 3 as seq from nodes union all select graph_id, node_id, node_id, i * 3 + 1 from nodes union all select graph_id, order_index::varchar, node_id, i * 3 + 2 from nodes) where k is not null group by all),
+e as (select graph_id, generate_subscripts(es, 1) as i, unnest(es) as e from l),
+f as (select graph_id, i, trim(coalesce(e->>'$.source', '')) as s, trim(coalesce(e->>'$.target', '')) as t, trim(coalesce(e->>'$.label', '')) as label from e),
+g as (select f.graph_id, i, coalesce(a.v, case when regexp_matches(s, '\\d') then printf('N%03d', regexp_extract(s, '(\\d+)', 1)::int) end) as source, coalesce(b.v, case when regexp_matches(t, '\\d') then printf('N%03d', regexp_extract(t, '(\\d+)', 1)::int) end) as target, label
+  from f left join named a on a.graph_id = f.graph_id and a.k = s and s != '' left join named b on b.graph_id = f.graph_id and b.k = t and t != ''),
+c as (select graph_id, (row_number() over (partition by graph_id order by i) - 1)::int as pos, source, target, label from g where source is not null and target is not null),
+d as (select l.graph_id, (len(es) - coalesce((select count(*) from c where c.graph_id = l.graph_id), 0))::int as dropped from l)
+select d.graph_id, c.pos, c.source, c.target, c.label, d.dropped from d left join c using (graph_id)"""
+
+
 QUERIES = {f.__name__: f for f in (
     node_warnings, reindexed_edges, distinct_regions, reference_texts, seal_candidates, distinct_seal_candidates, seal_references, source_bundles, raw_payloads, largest_tables, page_boundaries,
-    special_blocks, filled_blocks, flowchart_images, arrow_ranges, distinct_edges, visual_rows, final_markdown,
+    special_blocks, filled_blocks, flowchart_images, arrow_ranges, distinct_edges, visual_rows, final_markdown, normal_nodes, normal_edges,
 )}
 SQL = {
+    "normal_nodes": f"with {_PAYLOADS} select graph_id, pos, node_id, order_index, shape, text from nodes",
+    "normal_edges": f"with {_PAYLOADS}, {_NAMED}",
     "node_warnings": _WARNINGS,
     "reindexed_edges": _REINDEXED,
     "distinct_regions": f"with {_READ} select image_id, role, region_id, model_name from r qualify row_number() over (partition by image_id, role, key order by region_id) = 1",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,3 +81,46 @@ def earlier(spark: SparkSession, *folders: str) -> DataFrame:
         rows = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json").text(folder).select(labels.file_stem(F.col("_metadata.file_path")).alias("image_id"), F.lit(k).alias("rank"), F.col("value").alias("payload"))
         parts = rows if parts is None else parts.unionAll(rows)
     return parts.groupBy("image_id").agg(F.min_by(F.struct("rank", "payload"), "rank").alias("r")).select("image_id", "r.*")
+
+
+def prompt(path: str, name: str) -> str:
+    """A named, non-empty prompt of a file of prompts: YAML, or 'name: text' and blocks after
+    'name: |' where no reader of it is there."""
+    text = Path(path).read_text()
+    try:
+        import yaml
+
+        found = yaml.safe_load(text) or {}
+    except ImportError:
+        found, at = {}, ""
+        for line in text.splitlines():
+            head = re.match(r"(\w+):\s*(.*)", line)
+            if head:
+                at = head[1]
+                found[at] = "" if head[2].rstrip() == "|" else head[2].strip().strip("'\"")
+            elif at:
+                found[at] += line.removeprefix("  ") + "\n"
+    value = found.get(name)
+    if not isinstance(value, str) or not value.strip():
+        raise ValueError(f"{path} has no prompt named {name}")
+    return value.strip()
+
+
+def layout_source(spark: SparkSession, kind: str, root: str | None = None, fetch=None) -> DataFrame:
+    """Layouts by the configured source: 'json' reads files below ``root``, 'service' calls
+    ``fetch``; a source without its argument, or an unknown one, is an error."""
+    if kind == "json" and root:
+        return layouts(spark, root)
+    if kind == "service" and fetch:
+        return fetch()
+    raise ValueError(f"layout source {kind!r} needs {'root' if kind == 'json' else 'fetch' if kind == 'service' else 'to be json or service'}")
+
+
+def first_picture(candidates: DataFrame, pictures: DataFrame) -> DataFrame:
+    """(key, image_path, url): of each key's candidate paths the first that exists, as a data URL.
+
+    ``candidates``: key, rank, image_path; ``pictures``: image_path, file_ext, content.
+    """
+    there = candidates.join(pictures.select("image_path"), "image_path", "left_semi")
+    first = there.groupBy("key").agg(F.min_by("image_path", "rank").alias("image_path"))
+    return first.join(pictures, "image_path").select("key", "image_path", data_url(F.col("content"), F.col("file_ext")).alias("url"))

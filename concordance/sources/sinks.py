@@ -28,11 +28,11 @@ def page_markdown(blocks: DataFrame, key: list[str]) -> DataFrame:
     return blocks.filter("fragment != ''").groupBy(*key, "page_idx").agg(F.array_join(parts, "\n\n").alias("markdown"))
 
 
-def merged_pages(crops: DataFrame) -> DataFrame:
-    """(page_output_id, markdown): the crops of a page by number, then by name."""
+def merged_pages(crops: DataFrame, *key: str) -> DataFrame:
+    """(key..., page_output_id, markdown): the crops of a page by number, then by name."""
     order = F.struct(F.col("merge_order").try_cast("bigint").isNull().alias("a"), F.col("merge_order").try_cast("bigint").alias("b"), F.col("merge_order").alias("c"), F.col("image_id").alias("d"), F.trim("markdown").alias("m"))
     parts = F.transform(F.array_sort(F.collect_list(order)), lambda x: x["m"])
-    return crops.filter("page_output_id is not null and trim(markdown) != ''").groupBy("page_output_id").agg(F.array_join(parts, "\n\n").alias("markdown"), F.count("*").alias("crops"))
+    return crops.filter("page_output_id is not null and trim(markdown) != ''").groupBy(*key, "page_output_id").agg(F.array_join(parts, "\n\n").alias("markdown"), F.count("*").alias("crops"))
 
 
 def extraction_results(blocks: DataFrame, key: list[str]) -> DataFrame:

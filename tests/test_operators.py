@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from concordance.operators import comparison, dedup, graphs, issues, layout, matching, ordering, patches, payloads, scoring, tables, voting
+from concordance.operators import comparison, dedup, graphs, issues, layout, matching, ordering, pages, patches, payloads, scoring, tables, voting
 from concordance.session import table
 from concordance.functions import seals
 from concordance.sources import connectors, files, sinks
@@ -421,3 +421,50 @@ def test_edges_belong_to_fused_nodes(spark):
     assert (edge.support, edge.labels, edge.status) == (2, ["x", "x", "y"], "fused")
     errors = {(r.source_model, r.target, r.error) for r in voting.edge_errors(claims, claimed, fused).collect()}
     assert errors == {("m", "B", "duplicate"), ("n", "Z", "unknown_node"), ("n", "C", "unfused_node")}
+
+
+def test_upload_and_prompts(spark, tmp_path):
+    form, kind = connectors.Upload("http://x/", fields={"a": "b"}).body({"image_id": "i", "content": b"PNG"})
+    mark = kind.split("boundary=")[1]
+    assert form.count(mark.encode()) == 3 and b'filename="i.png"' in form and b"PNG" in form and b'name="a"\r\n\r\nb' in form
+    body, kind = connectors.Upload("http://x", form=False).body({"image_id": "i", "content": b"PNG"})
+    assert kind == "application/json" and json.loads(body) == {"filename": "i.png", "image": "UE5H"}
+    assert connectors.jsonable({1: (b"a", {2, 1}), "o": type("T", (), {})()}) == {"1": ["YQ==", [1, 2]], "o": {}}
+    models = [{"provider": "qa_local"}, {"provider": "zz", "role": " Judge "}, {"provider": "zz"}]
+    assert [connectors.role_of(m, {"qa": "anchor"}) for m in models] == ["anchor", "judge", "zz"] and connectors.pick_role(models, "judge", {}) is models[1] and connectors.pick_role(models, "none", {}) is None
+    assert connectors.request_control("", True, False, True)["thinking"] == "disabled_then_default" and connectors.with_control([1], {"mode": "x"}) == {"response": [1], "_request_control": {"mode": "x"}}
+    assert connectors.prompt_text(" p ", "seal", {"a": 1}).startswith("p\n\nThese are candidates") and connectors.prompt_text("p", "", None) == "p"
+    (tmp_path / "p.yaml").write_text("one: |\n  first line\n  second\ntwo: 'x'\nempty: ''\n")
+    assert files.prompt(str(tmp_path / "p.yaml"), "one") == "first line\nsecond" and files.prompt(str(tmp_path / "p.yaml"), "two") == "x"
+    for bad in ("empty", "three"):
+        with pytest.raises(ValueError, match=bad):
+            files.prompt(str(tmp_path / "p.yaml"), bad)
+    for kind, root in (("json", None), ("service", "x"), ("other", "x")):
+        with pytest.raises(ValueError, match="layout source"):
+            files.layout_source(spark, kind, root)
+    candidates = spark.createDataFrame([("k", 1, "gone"), ("k", 2, "b"), ("k", 3, "c"), ("n", 1, "gone")], "key string, rank int, image_path string")
+    pictures = spark.createDataFrame([("b", "png", bytearray(b"x")), ("c", "png", bytearray(b"y"))], "image_path string, file_ext string, content binary")
+    assert [tuple(r) for r in files.first_picture(candidates, pictures).collect()] == [("k", "b", "data:image/png;base64,eA==")]
+
+
+def test_node_conflicts_with_boxes(spark):
+    rows = [("g", "N1", "m", 1, 1, "diamond", [0.0, 0.0, 0.1, 0.1]), ("g", "N1", "n", 4, 1, "unknown", [0.5, 0.5, 0.6, 0.6]), ("g", "N1", "o", 1, 2, "ellipse", None), ("g", "N2", "m", None, 1, "diamond", [0.0, 0.0, 0.1, 0.1]), ("g", "N2", "n", 4, 1, "diamond", [0.2, 0.1, 0.3, 0.2])]
+    df = spark.createDataFrame(rows, "graph string, node_id string, source_model string, row int, col int, shape string, box array<double>")
+    got = {(r.node_id, r.model_a + r.model_b, r.conflict) for r in voting.node_conflicts(df).collect()}
+    assert got == {("N1", "mn", "row_conflict"), ("N1", "mn", "far_apart"), ("N1", "mn", "position_conflict"), ("N1", "no", "row_conflict"), ("N1", "mo", "shape_conflict"), ("N2", "mn", "far_apart")}
+
+
+def test_merged_blocks(spark):
+    schema = "k int, page_idx int, pos int, box array<double>, text string, kind string"
+    here = [0.0, 0.0, 10.0, 10.0]
+    base = spark.createDataFrame([(1, 0, 1, here, "abc", "image"), (1, 0, 2, [50.0, 50.0, 60.0, 60.0], "", "table"), (1, 1, 1, None, "z", "title")], schema)
+    other = spark.createDataFrame([(1, 0, 1, here, "abd", "image"), (1, 0, 2, [50.0, 50.0, 60.0, 60.0], "new", "table"), (1, 0, 3, [90.0, 90.0, 99.0, 99.0], "more", "image"), (1, 0, 4, None, "no", "list")], schema)
+    rows = matching.merged(base, other, matching.align(base, other, ["k"]), ["k"], ("image", "table")).orderBy("page_idx", "pos").collect()
+    assert [(r.page_idx, r.pos, r.text, r.origin) for r in rows] == [(0, 1, "abc", "matched"), (0, 2, "new", "filled"), (0, 3, "more", "added"), (1, 1, "z", "base")]
+
+
+def test_final_markdown_takes_revisions(spark):
+    rows = [("p", 1, 1, "title", "T", None, None), ("p", 2, 2, "table", "| a |", [0.0, 0.0, 1.0, 1.0], "table"), ("p", 2, 5, "table", "| b |", [0.0, 0.0, 1.0, 1.0], "table"), ("p", 3, 3, "image", "", None, "seal"), ("p", 3, 6, "chart", "graph", None, "diagram"), ("q", 1, 4, "paragraph", "x", None, None)]
+    df = spark.createDataFrame(rows, "page string, o long, r long, kind string, text string, box array<double>, special string")
+    got = {r.page: (r.fragments, r.markdown) for r in pages.final_markdown(df, "page", "o", "r").collect()}
+    assert got == {"p": (2, "# T\n\n| b |"), "q": (1, "x")}
