@@ -46,21 +46,36 @@ def _single_forms() -> tuple[str, str]:
 
 
 SINGLE_FORMS = _single_forms()
+def _near_ranges(chars: str, gap: int = 48) -> str:
+    """A character class of few ranges that holds all of the characters, and some between."""
+    ranges: list[list[int]] = []
+    for k in sorted(map(ord, chars)):
+        if ranges and k - ranges[-1][1] <= gap:
+            ranges[-1][1] = k
+        else:
+            ranges.append([k, k])
+    return "[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "]"
+
+
+#: Texts without a character of these ranges have no single form.
+_MAY_CHANGE = _near_ranges(SINGLE_FORMS[0])
 #: Common characters whose compatibility form is several characters.
 EXPANDED = {c: unicodedata.normalize("NFKC", c) for c in "…‥ﬀﬁﬂﬃﬄ℃℉№㎏㎎㎡㎝㎜㎞㏄½¼¾"}
 
 
 def compatible(x: Column) -> Column:
     """Compatibility forms of single characters and common expansions; ASCII is left alone."""
-    out = x
+    single = F.when(x.rlike(_MAY_CHANGE), F.translate(x, *SINGLE_FORMS)).otherwise(x)
+    out = single
     for c, form in EXPANDED.items():
         out = F.replace(out, F.lit(c), F.lit(form))
-    return F.when(x.rlike("[^\\x00-\\x7f]"), F.translate(out, *SINGLE_FORMS)).otherwise(x)
+    return F.when(x.rlike("[" + "".join(EXPANDED) + "]"), out).otherwise(single)
 
 
-def collapsed(x: Column) -> Column:
-    """Compatibility form in lower case, each run of white space one space, trimmed."""
-    return F.lower(F.trim(F.regexp_replace(compatible(_empty(x)), r"(?U)\s+", " ")))
+def collapsed(x: Column, forms: bool = True) -> Column:
+    """Compatibility form in lower case, each run of white space one space, trimmed; without
+    ``forms`` characters stay as they are, which suits keys of whole documents."""
+    return F.lower(F.trim(F.regexp_replace(compatible(_empty(x)) if forms else _empty(x), r"(?U)\s+", " ")))
 
 
 def squeezed(x: Column) -> Column:

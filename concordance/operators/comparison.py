@@ -297,19 +297,45 @@ class Comparison:
         mapping = np.array(assignment(self.node))
         found = self.score(mapping)
         for _ in range(2):
-            trial = next((t for t in self._changes(mapping) if t[1]["objective"] > found["objective"] + 1e-6), None)
+            best = found["objective"] + 1e-6
+            trial = next((t for t in self._changes(mapping, best) if t[1]["objective"] > best), None) if best < 1 else None
             if trial is None:
                 break
             mapping, found = trial
         return mapping, found
 
-    def _changes(self, mapping: np.ndarray) -> Iterator[tuple[np.ndarray, dict]]:
+    def _promising(self, mapping: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+        """Swaps whose objective could exceed ``least``: the mean similarity is known exactly,
+        edges count only between nodes that match, paths and subgraphs are at best 1."""
         taken = np.flatnonzero(mapping >= 0)
-        for i, x in enumerate(taken):
-            for y in taken[i + 1 :]:
-                trial = mapping.copy()
-                trial[[x, y]] = trial[[y, x]]
-                yield trial, self.score(trial)
+        if len(taken) < 2:
+            return
+        sim = self.node[np.ix_(taken, mapping[taken])]
+        own = np.where(np.diag(sim) >= NODE_MATCH, np.diag(sim), 0.0)
+        good = own > 0
+        x, y = np.triu_indices(len(taken), 1)
+        new = [np.where(s >= NODE_MATCH, s, 0.0) for s in (sim[x, y], sim[y, x])]
+        count = good.sum() - good[x] - good[y] + (new[0] > 0) + (new[1] > 0)
+        mean = (own.sum() - own[x] - own[y] + new[0] + new[1]) / np.maximum(count, 1)
+        links = np.zeros((len(mapping), len(mapping)))
+        np.add.at(links, ([e[0] for e in self.a.edges], [e[1] for e in self.a.edges]), 1)
+        links = (links + links.T)[np.ix_(taken, taken)]
+        loops = np.diag(links) / 2
+        touch = links @ good - np.diag(links) * good  # edges to other matching nodes
+        inside = ((links * good[:, None] * good[None]).sum() - (np.diag(links) * good).sum()) / 2 + (loops * good).sum()
+        cross = links[x, y]
+        rest = inside - good[x] * (touch[x] + loops[x]) - good[y] * (touch[y] + loops[y]) + good[x] * good[y] * cross
+        add = sum((n > 0) * (touch[k] - good[o] * cross + loops[k]) for n, k, o in ((new[0], x, y), (new[1], y, x))) + (new[0] > 0) * (new[1] > 0) * cross
+        edges = 2 * np.minimum(rest + add, len(self.b.edges)) / max(1, len(self.a.edges) + len(self.b.edges))
+        most = OBJECTIVE["nodes"] * mean + OBJECTIVE["edges"] * edges + OBJECTIVE["paths"] + OBJECTIVE["subgraphs"]
+        for k in np.flatnonzero(most + 1e-4 > least):
+            yield int(taken[x[k]]), int(taken[y[k]])
+
+    def _changes(self, mapping: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, dict]]:
+        for x, y in self._promising(mapping, least):
+            trial = mapping.copy()
+            trial[[x, y]] = trial[[y, x]]
+            yield trial, self.score(trial)
         free = np.setdiff1d(np.arange(len(self.b.ids)), mapping)
         for x in range(len(mapping)):
             for y in (-1, *free):

@@ -147,10 +147,10 @@ def reachable(edges: DataFrame) -> DataFrame:
     front = materialise(edges.select("graph", "source", "target").distinct())
     known = front
     while not front.isEmpty():
+        # a shortest path of more than 2^k steps begins with one of 2^k, which was found last
         link = (F.col("a.graph") == F.col("b.graph")) & (F.col("a.target") == F.col("b.source"))
-        on = front.alias("a").join(known.alias("b"), link).select("a.graph", "a.source", "b.target")
-        back = known.alias("a").join(front.alias("b"), link).select("a.graph", "a.source", "b.target")
-        front = materialise(on.unionAll(back).distinct().join(known, ["graph", "source", "target"], "left_anti"))
+        further = front.alias("a").join(known.alias("b"), link).select("a.graph", "a.source", "b.target")
+        front = materialise(further.distinct().join(known, ["graph", "source", "target"], "left_anti"))
         known = known.unionAll(front)
     return known
 

@@ -95,17 +95,17 @@ def with_positional(base: DataFrame, other: DataFrame, matches: DataFrame, key:
 def best_overlap(blocks: DataFrame, key: list[str], targets: Column, step: float = 16.0) -> DataFrame:
     """For each other block the target block of its page with most overlap; ties: the first.
 
-    Blocks meet in grid cells of their own size: level k has cells of ``step`` * 2^k, a box
+    Blocks meet in grid cells of their own size: level k has cells of ``step`` * 4^k, a box
     belongs to the level whose cells are as large as itself and so touches four of them at
     most, whatever its size; two boxes meet at the level of the larger one. So a page with a
     tenth of all blocks isn't compared pair by pair. ``blocks``: key..., pos, box.
     """
     size = F.greatest(F.col("box")[2] - F.col("box")[0], F.col("box")[3] - F.col("box")[1])
-    own = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size, F.lit(1e-9)) / step))).cast("int")
+    own = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size, F.lit(1e-9)) / step) / 2)).cast("int")
     sized = blocks.filter("box is not null").withColumn("target", targets).withColumn("own", own)
-    levels = F.array(*(F.lit(r.own) for r in sized.select("own").distinct().orderBy("own").collect()))  # a number per doubling
+    levels = F.array(*(F.lit(r.own) for r in sized.select("own").distinct().orderBy("own").collect()))  # a number per size
     at = sized.withColumn("level", F.explode(F.filter(levels, lambda k: k >= F.col("own"))))
-    side = F.lit(step) * F.pow(F.lit(2.0), F.col("level"))
+    side = F.lit(step) * F.pow(F.lit(4.0), F.col("level"))
     cell = F.explode(geometry.cells(F.transform("box", lambda v: v / side), 1.0))
     at = at.withColumn("cell", cell)
     t = at.filter("target").select(*key, "level", "cell", F.col("own").alias("target_own"), F.col("pos").alias("target_pos"), F.col("box").alias("target_box"))

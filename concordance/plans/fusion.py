@@ -33,6 +33,7 @@ def _compatible(x: str) -> str:
     return f"translate({x}, '{before}', '{after}')"
 
 
+_PLAIN = _Sql("lower(trim(regexp_replace(coalesce({0}, ''), '" + WS + "+', ' ', 'g')))")
 _COLLAPSED = _Sql("lower(trim(regexp_replace(" + _compatible("coalesce({0}, '')") + ", '" + WS + "+', ' ', 'g')))")
 _SQUEEZED = _Sql("lower(regexp_replace(" + _compatible("coalesce({0}, '')") + ", '" + WS + "+', '', 'g'))")
 _BIGRAMS = _Sql("case when length({0}) = 0 then []::varchar[] else list_distinct(list_transform(range(1, greatest(length({0}) - 1, 1) + 1), lambda i: substring({0}, i, 2))) end")
@@ -155,7 +156,7 @@ def validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first document of each collapsed text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5(text.collapsed(F.col("text"))).alias("key"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5(text.collapsed(F.col("text"), forms=False)).alias("key"))
     return dedup.first_rows(docs, ["key"], ["doc_id"])
 
 
@@ -629,7 +630,7 @@ p as (select a.node_row_id, avg({_JACCARD.format('a.b', 'b.b')}) as s from k a j
     "decision_gate": _DECISION,
     "validation_scores": f"""with d as (select validation_id, coalesce(details.match_ratio, 0) as m, coalesce(details.qwen_add_ratio, 0) as a, coalesce(details.type_conflict, false)::int as t, coalesce(details.structure_conflict, false)::int as s from validations where details is not null)
 select validation_id, {_ROUND4.format('greatest(0, least(1, 0.55 + 0.35 * m - 0.10 * a))')} as evidence, {_ROUND4.format('greatest(0, least(1, 0.60 + 0.25 * m - 0.10 * t - 0.10 * s))')} as validator, {_ROUND4.format('greatest(0, least(1, 0.10 + 0.35 * (1 - m) + 0.20 * a + 0.15 * s))')} as risk from d""",
-    "first_copies": f"select min(doc_id) as doc_id, key from (select doc_id, md5({_COLLAPSED.format('text')}) as key from documents) group by key",
+    "first_copies": f"select min(doc_id) as doc_id, key from (select doc_id, md5({_PLAIN.format('text')}) as key from documents) group by key",
     "edge_differences": f"with a as (select distinct graph, source, target from ({_CLAIMS})), b as (select distinct image_id as graph, source, target from fused_edges where image_id is not null) (select * from a except select * from b) union all (select * from b except select * from a)",
     "longest_blocks": "select image_id, block_row_id, coalesce(length(content), 0) as n from layout_blocks where image_id is not null qualify row_number() over (partition by image_id order by n desc, block_row_id) <= 10",
     "crop_identity": r"""select image_id, nullif(regexp_extract(image_id, '^(.*_p_?\d+)_r_?(\d+)_.+$', 1), '') as page_output_id, nullif(regexp_extract(image_id, '^(.*_p_?\d+)_r_?(\d+)_.+$', 2), '') as merge_order from (select distinct image_id from validations where image_id is not null)""",

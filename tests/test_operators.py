@@ -468,3 +468,17 @@ def test_final_markdown_takes_revisions(spark):
     df = spark.createDataFrame(rows, "page string, o long, r long, kind string, text string, box array<double>, special string")
     got = {r.page: (r.fragments, r.markdown) for r in pages.final_markdown(df, "page", "o", "r").collect()}
     assert got == {"p": (2, "# T\n\n| b |"), "q": (1, "x")}
+
+
+def test_only_hopeless_swaps_are_passed_over():
+    rng = random.Random(8)
+    for _ in range(25):
+        side = lambda n: ([{"node_id": f"N{k}", "order_index": k, "shape": rng.choice(["rectangle", "diamond"]), "text": rng.choice(["start", "check", "checks", "done", "stop"]), "parent": ""} for k in range(n)], [{"source": f"N{rng.randrange(n)}", "target": f"N{rng.randrange(n)}", "label": rng.choice(["", "yes"])} for _ in range(n)])
+        c = comparison.Comparison(comparison.Features(*side(rng.randint(2, 6))), comparison.Features(*side(rng.randint(2, 6))))
+        mapping = np.array(comparison.assignment(c.node))
+        least = c.score(mapping)["objective"] + 1e-6
+        kept, taken = set(c._promising(mapping, least)), np.flatnonzero(mapping >= 0).tolist()
+        for x, y in itertools.combinations(taken, 2):
+            trial = mapping.copy()
+            trial[[x, y]] = trial[[y, x]]
+            assert c.score(trial)["objective"] <= least or (x, y) in kept
