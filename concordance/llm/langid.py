@@ -185,10 +185,9 @@ def fit(documents: DataFrame) -> Filters:
         rows = coded.filter(F.col("code").isin(*share) & (place < wanted) & F.length("text").between(1, MAX_CHARS)).select("code", "doc_id", "text", place.alias("place"))
         for code in share:
             found[code] = []
-        for r in rows.toLocalIterator():
+        # about SPARE * PER_LANGUAGE rows a language
+        for r in rows.collect():
             found[r.code].append((r.place, r.doc_id, r.text))
-            if len(found[r.code]) > 4 * SPARE * PER_LANGUAGE:
-                found[r.code] = sorted(found[r.code])[:PER_LANGUAGE]
         share = {code: 4 * x for code, x in share.items() if x < 1 and len(found[code]) < PER_LANGUAGE}
     return Filters.fit([(code, text) for code in sorted(found) for _, _, text in sorted(found[code])[:PER_LANGUAGE]])
 

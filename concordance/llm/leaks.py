@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -62,7 +64,9 @@ def tokens(text: str | None) -> list[str]:
     """The comparable tokens of a text."""
     if not text:
         return []
-    words = _TAG.sub(" ", text).translate(_FOLD).split()
+    if "<" in text or "[" in text:
+        text = _TAG.sub(" ", text)
+    words = text.translate(_FOLD).split()
     if not _CJK.search(text):
         return words
     wide = [bool(_CJK.search(w)) for w in words]
@@ -207,16 +211,18 @@ class Searcher:
     def find(self, texts: list[str | None]) -> list[list[tuple[int, int, int]]]:
         """For each text its leaks: (item id, tokens, edits)."""
         known = self.vocabulary.get
-        docs = [[known(w, 0) for w in tokens(t)] for t in texts]
+        docs = [list(map(known, tokens(t), repeat(0))) for t in texts]
         pad = np.zeros(2 * self.edge + RUN, np.int32)
         parts, offset, where = [pad], len(pad), []
         hits: list[tuple[int, int, int, int]] = []
         for n, ids in enumerate(docs):
             where.append(offset)
+            before = len(hits)
             for i, found in self.search.find(ids):
                 hits += [(n, item, i - j, i) for item, j in found]
-            parts += [np.array(ids, np.int32), pad]
-            offset += len(ids) + len(pad)
+            if len(hits) > before:
+                parts += [np.frombuffer(array("i", ids), np.int32), pad]
+                offset += len(ids) + len(pad)
         out: list[list[tuple[int, int, int]]] = [[] for _ in docs]
         if not hits:
             return out
