@@ -72,10 +72,14 @@ def compatible(x: Column) -> Column:
     return F.when(x.rlike("[" + "".join(EXPANDED) + "]"), out).otherwise(single)
 
 
-def collapsed(x: Column, forms: bool = True) -> Column:
-    """Compatibility form in lower case, each run of white space one space, trimmed; without
-    ``forms`` characters stay as they are, which suits keys of whole documents."""
-    return F.lower(F.trim(F.regexp_replace(compatible(_empty(x)) if forms else _empty(x), r"(?U)\s+", " ")))
+def collapsed(x: Column) -> Column:
+    """Compatibility form in lower case, each run of white space one space, trimmed."""
+    return F.lower(F.trim(F.regexp_replace(compatible(_empty(x)), r"(?U)\s+", " ")))
+
+
+def document_key(x: Column) -> Column:
+    """The same without compatibility forms, for whole documents."""
+    return F.lower(F.trim(F.regexp_replace(_empty(x), r"(?U)\s+", " ")))
 
 
 def squeezed(x: Column) -> Column:

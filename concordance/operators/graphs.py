@@ -6,9 +6,11 @@ import re
 from collections.abc import Iterator
 from itertools import count
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from concordance.functions import labels
 from concordance.session import materialise
@@ -82,6 +84,59 @@ def write_diagram(nodes: list[dict], edges: list[dict], direction: str = "TD") -
     return "\n".join(out)
 
 
+_LABELLED = re.compile(r"(?<![\w.:-])([\w.:-]+)(?:(\(\()(.*?)(\)\))|(\[)(.*?)(\])|(\{)(.*?)(\})|(\()(.*?)(\)))")
+_BREAKS = re.compile(r"<\s*br\s*/?\s*>", re.I)
+
+
+def cleaned(code: str | None) -> str:
+    """Diagram text without fences, its labels quoted: breaks as '<br/>' in nodes and ' / ' on
+    edges, quotes within labels escaped; other text stays as it is."""
+
+    def node(m: re.Match) -> str:
+        ident, start, label, end = [g for g in m.groups() if g is not None]
+        plain = label.strip()
+        if len(plain) > 1 and plain[0] == plain[-1] == '"':
+            plain = plain[1:-1].strip()
+        plain = _BREAKS.sub("<br/>", plain).replace('"', '\\"')
+        return f'{ident}{start}"{plain}"{end}' if label.strip() else m.group()
+
+    text = (code or "").strip()
+    if text.startswith("```"):
+        lines = text.splitlines()[1:]
+        text = "\n".join(lines[:-1] if lines and lines[-1].strip() == "```" else lines).strip()
+    out = []
+    for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n"):
+        if re.search(r"-->|==>|-\.->", line):
+            line = re.sub(r"\|([^|]+)\|", lambda m: "|" + _BREAKS.sub(" / ", m[1].strip()) + "|", line)
+        out.append(_LABELLED.sub(node, line) if line.strip() else "")
+    return "\n".join(out).strip()
+
+
+@F.pandas_udf(StringType())
+def cleaned_code(code: pd.Series) -> pd.Series:
+    """``cleaned`` as a column; null stays null."""
+    return code.map(lambda c: c if c is None else cleaned(c))
+
+
+def drawn(nodes: Column, edges: Column) -> Column:
+    """Diagram text of fused nodes and edges, inside the JVM: nodes by order and id, edges by
+    the order of their ends; '' without nodes. Quotes are written as entities, bars in labels
+    as '/'."""
+    safe = lambda x: F.replace(F.coalesce(x, F.lit("")), F.lit('"'), F.lit("&quot;"))
+    ordered = F.array_sort(F.transform(nodes, lambda n: F.struct(n["order_index"].alias("o"), n["node_id"].alias("i"), n["shape"].alias("s"), F.when(F.trim(n["text"]) != "", F.trim(n["text"])).otherwise(n["node_id"]).alias("t"))))
+
+    def line(n: Column) -> Column:
+        start = F.when(n["s"] == "diamond", '{"').when(n["s"] == "rounded", '("').when(n["s"] == "ellipse", '(("').otherwise('["')
+        end = F.when(n["s"] == "diamond", '"}').when(n["s"] == "rounded", '")').when(n["s"] == "ellipse", '"))').otherwise('"]')
+        return F.concat(n["i"], start, safe(n["t"]), end)
+
+    place = lambda i: F.coalesce(F.array_min(F.transform(F.filter(nodes, lambda n: n["node_id"] == i), lambda n: n["order_index"])), F.lit(10**9))
+    arrows = F.array_sort(F.transform(edges, lambda e: F.struct(place(e["source"]).alias("a"), place(e["target"]).alias("b"), e["source"].alias("s"), e["target"].alias("t"), F.trim(e["label"]).alias("l"))))
+    arrow = lambda e: F.concat(e["s"], F.when(e["l"] != "", F.concat(F.lit(" -->|"), F.replace(safe(e["l"]), F.lit("|"), F.lit("/")), F.lit("| "))).otherwise(F.lit(" --> ")), e["t"])
+    whole = F.array_join(F.concat(F.array(F.lit("flowchart TD")), F.transform(ordered, line), F.transform(arrows, arrow)), "\n")
+    return F.when(F.size(nodes) > 0, whole).otherwise("")
+
+
 NODES = "array<struct<node_id:string,order_index:int,shape:string,text:string,parent:string>>"
 EDGES = "array<struct<source:string,target:string,label:string,edge_type:string>>"
 

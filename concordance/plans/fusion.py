@@ -156,7 +156,7 @@ def validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first document of each collapsed text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5(text.collapsed(F.col("text"), forms=False)).alias("key"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5(text.document_key(F.col("text"))).alias("key"))
     return dedup.first_rows(docs, ["key"], ["doc_id"])
 
 

@@ -204,6 +204,18 @@ def normal_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("graph_id", "dropped", F.posexplode_outer("edges").alias("pos", "e")).select("graph_id", "pos", "e.*", "dropped")
 
 
+def drawn_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Diagram text of every drawn graph in normal form."""
+    rows = graphs.normalised(table(spark, sf_dir, "visual_graphs"), "graph_id", "payload")
+    return rows.select("graph_id", F.md5(graphs.drawn(F.col("nodes"), F.col("edges"))).alias("digest"))
+
+
+def clean_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Diagram codes with their labels quoted, and whether that changed them."""
+    rows = table(spark, sf_dir, "snapshots").filter("code is not null").select("snapshot_id", "code", graphs.cleaned_code(F.col("code")).alias("clean"))
+    return rows.select("snapshot_id", F.md5("clean").alias("digest"), (F.col("code") != F.col("clean")).alias("changed"))
+
+
 _PAYLOADS = r"""
 j as (select graph_id, payload::json as p from visual_graphs where json_valid(payload) and not regexp_matches(regexp_replace(payload, '"(\\.|[^"\\])*"', '""', 'g'), ',\s*[}\]]|NaN|Infinity|inf|nan')),
 l as (select graph_id, json_extract(p, '$.nodes[*]') as ns, json_extract(p, '$.edges[*]') as es from j),
@@ -222,13 +234,22 @@ d as (select l.graph_id, (len(es) - coalesce((select count(*) from c where c.gra
 select d.graph_id, c.pos, c.source, c.target, c.label, d.dropped from d left join c using (graph_id)"""
 
 
+_DRAWN = r"""
+w as (select graph_id, order_index as o, node_id as i, case when text != '' then text else node_id end as t, shape as s from nodes),
+x as (select graph_id, string_agg(i || case s when 'diamond' then '{"' when 'rounded' then '("' when 'ellipse' then '(("' else '["' end || replace(t, '"', '&quot;') || case s when 'diamond' then '"}' when 'rounded' then '")' when 'ellipse' then '"))' else '"]' end, chr(10) order by o nulls first, i, s, t) as ns from w group by 1),
+pl as (select graph_id, i, min(o) as o from w group by all),
+y as (select c.graph_id, string_agg(c.source || case when c.label != '' then ' -->|' || replace(replace(c.label, '"', '&quot;'), '|', '/') || '| ' else ' --> ' end || c.target, chr(10) order by coalesce(a.o, 1000000000), coalesce(b.o, 1000000000), c.source, c.target, c.label) as es from c left join pl a on a.graph_id = c.graph_id and a.i = c.source left join pl b on b.graph_id = c.graph_id and b.i = c.target group by 1)
+select l.graph_id, md5(case when x.ns is null then '' else 'flowchart TD' || chr(10) || x.ns || case when y.es is null then '' else chr(10) || y.es end end) as digest from l left join x using (graph_id) left join y using (graph_id)"""
+
+
 QUERIES = {f.__name__: f for f in (
     node_warnings, reindexed_edges, distinct_regions, reference_texts, seal_candidates, distinct_seal_candidates, seal_references, source_bundles, raw_payloads, largest_tables, page_boundaries,
-    special_blocks, filled_blocks, flowchart_images, arrow_ranges, distinct_edges, visual_rows, final_markdown, normal_nodes, normal_edges,
+    special_blocks, filled_blocks, flowchart_images, arrow_ranges, distinct_edges, visual_rows, final_markdown, normal_nodes, normal_edges, drawn_graphs, clean_codes,
 )}
 SQL = {
     "normal_nodes": f"with {_PAYLOADS} select graph_id, pos, node_id, order_index, shape, text from nodes",
     "normal_edges": f"with {_PAYLOADS}, {_NAMED}",
+    "drawn_graphs": f"with {_PAYLOADS}, {_NAMED[: _NAMED.index('d as (select l.graph_id')].rstrip().rstrip(',')}, {_DRAWN}",
     "node_warnings": _WARNINGS,
     "reindexed_edges": _REINDEXED,
     "distinct_regions": f"with {_READ} select image_id, role, region_id, model_name from r qualify row_number() over (partition by image_id, role, key order by region_id) = 1",

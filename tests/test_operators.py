@@ -482,3 +482,9 @@ def test_only_hopeless_swaps_are_passed_over():
             trial = mapping.copy()
             trial[[x, y]] = trial[[y, x]]
             assert c.score(trial)["objective"] <= least or (x, y) in kept
+
+
+def test_cleaned_diagrams():
+    code = '```mermaid\r\ngraph TD\r\nA[one <br> "two"] -->|yes<br/>no| B{"ok"}\nC((x)) --> D( y )\nE[] --> F\n%% note\n```'
+    want = 'graph TD\nA["one <br/> \\"two\\""] -->|yes / no| B{"ok"}\nC(("x")) --> D("y")\nE[] --> F\n%% note'
+    assert graphs.cleaned(code) == want and graphs.cleaned(None) == "" and graphs.cleaned(graphs.cleaned("A[x]")) == 'A["x"]'
