@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordance.functions import text
 from concordance.operators.dedup import first_rows
+from concordance.operators.payloads import repaired
 
 #: Kinds whose unmatched blocks are worth an issue (fixed values).
 ADDABLE = ("chart", "table", "image")
@@ -57,6 +62,29 @@ def verdicts(answers: DataFrame, record: str, raw: str) -> DataFrame:
     return rows.filter("issue_id is not null")
 
 
+_READ = "record_id bigint, issue_id string, decision string, patch_text string, reason string"
+
+
+def read_verdicts(answers: DataFrame, record: str, raw: str) -> DataFrame:
+    """``verdicts`` of all answers that name an issue, also fenced ones, ones after words, and
+    ones cut short, which are closed where they were cut."""
+    text_of = lambda v: v if isinstance(v, str) else None if v is None else json.dumps(v, ensure_ascii=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for rid, answer in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                value = repaired(answer)
+                if isinstance(value, dict) and value.get("issue_id") is not None:
+                    patch = value.get("patch") if isinstance(value.get("patch"), dict) else {}
+                    out.append((rid, *(text_of(x) for x in (value["issue_id"], value.get("decision"), patch.get("text"), value.get("reason")))))
+            columns = list(zip(*out)) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.string()] * 4))], [x.split()[0] for x in _READ.split(", ")])
+
+    rows = answers.filter(F.col(raw).contains('"issue_id"')).select(F.col(record).cast("bigint"), F.col(raw).cast("string")).mapInArrow(run, _READ)
+    return rows.select("record_id", "issue_id", verdict(F.col("decision")).alias("decision"), "patch_text", F.coalesce(F.nullif(F.trim("reason"), F.lit("")), F.lit("patch_applied")).alias("reason"))
+
+
 def outcomes(issues: DataFrame, verdicts_: DataFrame, key: list[str]) -> DataFrame:
     """Issues with their last verdict; without one the anchor stays and the issue is open.
 

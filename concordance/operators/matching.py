@@ -103,7 +103,7 @@ def best_overlap(blocks: DataFrame, key: list[str], targets: Column, step: float
     size = F.greatest(F.col("box")[2] - F.col("box")[0], F.col("box")[3] - F.col("box")[1])
     own = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size, F.lit(1e-9)) / step) / 2)).cast("int")
     sized = blocks.filter("box is not null").withColumn("target", targets).withColumn("own", own)
-    levels = F.array(*(F.lit(r.own) for r in sized.select("own").distinct().orderBy("own").collect()))  # a number per size
+    levels = F.array(*(F.lit(r.own) for r in sized.select("own").distinct().orderBy("own").collect())).cast("array<int>")  # a number per size
     at = sized.withColumn("level", F.explode(F.filter(levels, lambda k: k >= F.col("own"))))
     side = F.lit(step) * F.pow(F.lit(4.0), F.col("level"))
     cell = F.explode(geometry.cells(F.transform("box", lambda v: v / side), 1.0))

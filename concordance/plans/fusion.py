@@ -486,7 +486,7 @@ def document_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def issue_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Those conflicts with the last verdict on each, from the judgements on the same image."""
-    given = judge_verdicts(spark, sf_dir).join(table(spark, sf_dir, "model_outputs").select(F.col("output_id").alias("record_id"), "image_id"), "record_id")
+    given = read_verdicts(spark, sf_dir).join(table(spark, sf_dir, "model_outputs").select(F.col("output_id").alias("record_id"), "image_id"), "record_id")
     found = document_issues(spark, sf_dir)
     roles = found.select("image_id", "role").distinct()
     return issues.outcomes(found, given.join(roles, "image_id"), _PAIR)
@@ -497,6 +497,11 @@ def judge_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return issues.verdicts(table(spark, sf_dir, "model_outputs"), "output_id", "raw_text")
 
 
+def read_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on issues among the raw answers, also fenced and cut ones."""
+    return issues.read_verdicts(table(spark, sf_dir, "model_outputs"), "output_id", "raw_text")
+
+
 def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts by decision, and those that carry a patch."""
     return judge_verdicts(spark, sf_dir).groupBy("decision").agg(F.count("*").alias("verdicts"), F.count("patch_text").alias("patches"))
@@ -585,7 +590,7 @@ QUERIES = {f.__name__: f for f in (text_similarities, box_measures, value_forms,
     quorum_vote, graph_support, majority_first, representative_shape, representative_text, text_consistency, distinct_votes, fuse_nodes, selected_nodes, decision_gate, validation_scores, first_copies,
     edge_differences, longest_blocks, crop_identity, page_merge, renumber, status_changes, markdown_cells, table_diff, best_reader, best_overlap, page_hulls, crop_groups, reachability, node_depths, pruned_nodes,
     diagrams, graph_similarity, graph_differences, model_blocks, align_blocks, unmatched_blocks, merged_blocks, issue_outcomes, page_markdown, number_units, token_usage, block_kinds, region_labels, summaries, best_snapshots, images_without_code, patched_blocks,
-    hourly_answers, latest_answers, gold_matches, neighbour_similarity, block_boxes, seal_conflicts, model_labels, label_consensus, document_issues, judge_verdicts, verdict_counts,
+    hourly_answers, latest_answers, gold_matches, neighbour_similarity, block_boxes, seal_conflicts, model_labels, label_consensus, document_issues, judge_verdicts, read_verdicts, verdict_counts,
 )}
 
 _SHAPES = "select node_row_id, generate_subscripts(s, 1) as pos, unnest(s) as v from (select node_row_id, list_filter(shape_votes, lambda x: x is not null and x != '') as s from fused_nodes)"

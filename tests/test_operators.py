@@ -488,3 +488,12 @@ def test_cleaned_diagrams():
     code = '```mermaid\r\ngraph TD\r\nA[one <br> "two"] -->|yes<br/>no| B{"ok"}\nC((x)) --> D( y )\nE[] --> F\n%% note\n```'
     want = 'graph TD\nA["one <br/> \\"two\\""] -->|yes / no| B{"ok"}\nC(("x")) --> D("y")\nE[] --> F\n%% note'
     assert graphs.cleaned(code) == want and graphs.cleaned(None) == "" and graphs.cleaned(graphs.cleaned("A[x]")) == 'A["x"]'
+
+
+def test_verdicts_in_any_wrapping(spark):
+    rows = [(1, '{"issue_id": "I1", "decision": "Use_It", "patch": {"text": "t"}}'), (2, 'Here:\n```json\n{"issue_id": "I2", "decision": "merge", "reason": " "}\n```'), (3, '{"issue_id": "I3", "decision": "add_block", "reason": "it was cu'), (4, "issue_id"), (5, None), (6, '{"issue_id": null}')]
+    df = spark.createDataFrame(rows, "r long, t string")
+    got = sorted(tuple(r) for r in issues.read_verdicts(df, "r", "t").collect())
+    assert got == [(1, "I1", "use_reference", "t", "patch_applied"), (2, "I2", "merge", None, "patch_applied"), (3, "I3", "add_block", None, "it was cu")]
+    empty = spark.createDataFrame([], "k int, pos int, box array<double>, t boolean")
+    assert matching.best_overlap(empty, ["k"], F.col("t")).count() == 0
