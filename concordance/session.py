@@ -108,6 +108,7 @@ def ship(spark: SparkSession) -> None:
         return
     here = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="concordance-")) / "concordance.zip"
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
     with zipfile.ZipFile(archive, "w") as out:
         for path in sorted(here.rglob("*.py")):
             out.write(path, path.relative_to(here.parent))
