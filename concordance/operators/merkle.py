@@ -60,10 +60,12 @@ def _scalar(value: object) -> str:
 class _Walker:
     """Hashes one record's objects bottom-up, numbering occurrences in pre-order."""
 
-    def __init__(self, id_keys: tuple[str, ...]):
+    def __init__(self, id_keys: tuple[str, ...], texts: tuple[str, ...] = ()):
         self.id_keys = id_keys
+        self.texts = texts
         self.rows: list[list] = []
         self.objects: dict[str, tuple] | None = None
+        self.received: dict[int, dict[str, str]] = {}
 
     def walk(self, value: object, parent: int, owner: str, field: str, places: str) -> str:
         if isinstance(value, dict):
@@ -102,6 +104,10 @@ class _Walker:
                 children += len(self.rows) > before
             else:
                 parts.append(quoted(k) + ":" + _scalar(v))
+        for k in self.texts:
+            v = value.get(k)
+            if isinstance(v, str) and v.lstrip()[:1] in ("{", "["):
+                self.received.setdefault(number, {})[k] = v
         canonical = "{" + ",".join(parts) + "}"
         identity = blake2b(canonical.encode(), digest_size=16).hexdigest()
         row[5] = identity
@@ -119,16 +125,18 @@ def _loaded(payload: str | None) -> object:
         return None
 
 
-def bridge(df: DataFrame, source: str, record: str, payload: str, id_keys: tuple[str, ...], identified_only: bool = False, distinct_links: bool = False, objects: bool = False) -> DataFrame:
+def bridge(df: DataFrame, source: str, record: str, payload: str, id_keys: tuple[str, ...], identified_only: bool = False, distinct_links: bool = False, objects: bool = False, texts: tuple[str, ...] = ()) -> DataFrame:
     """One row for every occurrence of an object in ``payload``.
 
     ``parent_id`` is the id of the nearest enclosing object that has one, '' if none.
     ``identified_only`` keeps the objects with an own id (all are hashed all the same);
     ``distinct_links`` keeps one row per record and (own id, parent's id), without a shuffle
     since a record is never split; ``objects`` adds canonical text and number of child
-    objects where an identity is met for the first time in its batch (else null).
+    objects where an identity is met for the first time in its batch (else null); ``texts``
+    names fields whose strings are kept as received, as JSON in the column ``received``,
+    where canonical text may have them opened (else null).
     """
-    schema = BRIDGE + (", canonical string, child_objects int" if objects else "")
+    schema = BRIDGE + (", canonical string, child_objects int" if objects else "") + (", received string" if texts else "")
     names = [x.split()[0] for x in schema.split(", ")]
     types = [{"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[x.split()[1]] for x in schema.split(", ")]
 
@@ -141,7 +149,7 @@ def bridge(df: DataFrame, source: str, record: str, payload: str, id_keys: tuple
                 out: list[list] = []
                 ids: list[int] = []
                 for rid, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    walker = _Walker(id_keys)
+                    walker = _Walker(id_keys, texts)
                     if objects:
                         walker.objects = {}
                     walker.walk(_loaded(text), -1, "", "", "")
@@ -153,6 +161,9 @@ def bridge(df: DataFrame, source: str, record: str, payload: str, id_keys: tuple
                             else:
                                 seen.add(r[5])
                                 r += walker.objects[r[5]][1:]
+                    if texts:
+                        for r in rows:
+                            r.append(json.dumps(walker.received[r[0]]) if r[0] in walker.received else None)
                     if identified_only:
                         rows = [r for r in rows if r[7] is not None]
                     if distinct_links:
@@ -177,11 +188,13 @@ def store(*bridged: DataFrame) -> DataFrame:
     return rows.groupBy("object_hash").agg(*(F.first(c).alias(c) for c in ("id_key", "canonical", "child_objects")))
 
 
-def flat(bridged: DataFrame, id_key: str, fields: str) -> DataFrame:
+def flat(bridged: DataFrame, id_key: str, fields: str, whole: str = "content", texts: tuple[str, ...] = ()) -> DataFrame:
     """The flat table of the objects whose id is ``id_key``: every occurrence joined with its
-    stored object. ``fields`` become columns; ``content`` has all fields, as canonical JSON.
+    stored object. ``fields`` become columns; ``whole`` names the column that has all fields,
+    as canonical JSON, and must differ from them. ``texts``: the string fields that come out
+    as received, even if they hold JSON.
 
-    ``bridged``: a bridge with ``objects``, written once. An identity that a third of all
+    ``bridged``: a bridge with ``objects`` and these ``texts``, written once. An identity that a third of all
     occurrences share is one row on the store's side, and adaptive execution splits its
     occurrences.
     """
@@ -189,7 +202,9 @@ def flat(bridged: DataFrame, id_key: str, fields: str) -> DataFrame:
     stored = store(own).select("object_hash", "canonical")
     rows = own.drop("canonical", "child_objects").join(stored, "object_hash")
     read = F.from_json("canonical", fields)
-    return rows.select("record_id", "occurrence", "parent_occurrence", "parent_id", "field", "places", "ordinal", "object_hash", F.col("child_id").alias(id_key), read.alias("own"), F.col("canonical").alias("content")).select("*", "own.*").drop("own")
+    for name in texts:
+        read = read.withField(name, F.coalesce(F.from_json("received", "map<string, string>")[name], read[name]))
+    return rows.select("record_id", "occurrence", "parent_occurrence", "parent_id", "field", "places", "ordinal", "object_hash", F.col("child_id").alias(id_key), read.alias("own"), F.col("canonical").alias(whole)).select("*", "own.*").drop("own")
 
 
 def rejects(df: DataFrame, source: str, record: str, payload: str) -> DataFrame:
@@ -233,11 +248,11 @@ def payloads(df: DataFrame, source: str) -> DataFrame:
     return df.select(F.col(record).alias("record_id"), column.alias("payload"))
 
 
-def bridge_of(df: DataFrame, source: str, **how: bool) -> DataFrame:
+def bridge_of(df: DataFrame, source: str, **how: bool | tuple[str, ...]) -> DataFrame:
     """``bridge`` over one of the declared source tables."""
     return bridge(payloads(df, source), source, "record_id", "payload", SOURCES[source][2], **how)
 
 
-def written(df: DataFrame, source: str) -> DataFrame:
+def written(df: DataFrame, source: str, texts: tuple[str, ...] = ()) -> DataFrame:
     """The bridge of a declared source with its objects, written once for several readers."""
-    return materialise(bridge_of(df, source, objects=True))
+    return materialise(bridge_of(df, source, objects=True, texts=texts))
