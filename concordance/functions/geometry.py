@@ -23,13 +23,18 @@ def unit_hint(box: Column) -> Column:
     return F.when(box.isNotNull() & (F.size(box) == 4), F.transform(box, lambda v: F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), v)), 4)))
 
 
-def area(b: Column) -> Column:
+def area(b: Column | list[Column]) -> Column:
     return F.greatest(F.lit(0.0), b[2] - b[0]) * F.greatest(F.lit(0.0), b[3] - b[1])
 
 
+def common(a: Column | list[Column], b: Column | list[Column]) -> Column:
+    """Area of the intersection."""
+    return F.greatest(F.lit(0.0), F.least(a[2], b[2]) - F.greatest(a[0], b[0])) * F.greatest(F.lit(0.0), F.least(a[3], b[3]) - F.greatest(a[1], b[1]))
+
+
 def iou(a: Column, b: Column) -> Column:
     """Intersection over union at four places; missing or empty boxes give 0."""
-    cut = F.greatest(F.lit(0.0), F.least(a[2], b[2]) - F.greatest(a[0], b[0])) * F.greatest(F.lit(0.0), F.least(a[3], b[3]) - F.greatest(a[1], b[1]))
+    cut = common(a, b)
     union = area(a) + area(b) - cut
     return F.when(a.isNull() | b.isNull() | (union <= 0), 0.0).otherwise(F.round(cut / union, 4))
 
@@ -65,9 +70,3 @@ def to_pixels(box: Column, width: Column, height: Column, padding: int) -> Colum
     right = F.least(width, F.ceil(box[2] / unit * width).cast("int") + padding)
     bottom = F.least(height, F.ceil(box[3] / unit * height).cast("int") + padding)
     return F.array(left, top, F.greatest(right, left + 1), F.greatest(bottom, top + 1))
-
-
-def cells(box: Column, step: float) -> Column:
-    """Grid cells that a box touches, for joins of boxes that overlap."""
-    line = lambda lo, hi: F.sequence(F.floor(lo / step), F.floor(hi / step))
-    return F.flatten(F.transform(line(box[0], box[2]), lambda x: F.transform(line(box[1], box[3]), lambda y: F.struct(x.alias("x"), y.alias("y")))))

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordance.functions import geometry, labels, text
+from concordance.session import materialise, small
 
 #: Least score of a match.
 LEAST = 0.35
+#: Pairs of a page up to which all are compared for the best overlap.
+MOST_PAIRS = 4_000_000
+#: Overlaps searched for in turn; what is below the last rounds to 0. The first ones only on a page of so many targets.
+SHARES = (0.85, 0.7, 0.45, 0.25, 0.1, 0.03, 0.005, 0.00005)
+_DENSE = {0.85: 300_000, 0.7: 20_000, 0.45: 1_000}
+_EDGES = ("x0", "y0", "x1", "y1")
 
 
 def match_score(a: str, b: str) -> Column:
@@ -92,28 +101,102 @@ def with_positional(base: DataFrame, other: DataFrame, matches: DataFrame, key:
     return matches.unionByName(zipped.select(*key, "page_idx", "pos_a", "pos_b", zero.alias("overlap"), zero.alias("similarity"), zero.alias("score")))
 
 
-def best_overlap(blocks: DataFrame, key: list[str], targets: Column, step: float = 16.0) -> DataFrame:
+def best_overlap(blocks: DataFrame, key: list[str], targets: Column, most_pairs: int = MOST_PAIRS, shares: tuple[float, ...] = SHARES) -> DataFrame:
     """For each other block the target block of its page with most overlap; ties: the first.
 
-    Blocks meet in grid cells of their own size: level k has cells of ``step`` * 4^k, a box
-    belongs to the level whose cells are as large as itself and so touches four of them at
-    most, whatever its size; two boxes meet at the level of the larger one. So a page with a
-    tenth of all blocks isn't compared pair by pair. ``blocks``: key..., pos, box.
+    Pages of up to ``most_pairs`` pairs are compared pair by pair. On larger ones (a page may
+    have a tenth of all blocks) blocks are first compared with the targets so like them in
+    size and place that the overlap can reach the first of ``shares``; who finds none goes on
+    to the next share, the last of which is the least overlap there is. ``blocks``: key..., pos, box.
+    """
+    flat = blocks.filter("box is not null").dropna(subset=key).select(*key, "pos", *(F.col("box")[k].alias(n) for k, n in enumerate(_EDGES)), targets.alias("target"))
+    counts = flat.groupBy(*key).agg(F.count_if("target").alias("many"), F.count_if(~F.col("target")).alias("rest"))
+    large = small(counts.filter(F.col("many").cast("double") * F.col("rest") > most_pairs).select(*key, "many"))
+    flat = flat.join(large, key, "left").withColumn("w", F.col("x1") - F.col("x0")).withColumn("h", F.col("y1") - F.col("y0")).withColumn("area", F.col("w") * F.col("h"))
+    # a box of no usable size (NaN, infinite) meets all of its page, and all meet it; an empty one overlaps nothing
+    searched, odd = F.col("many").isNotNull(), ~(F.least("w", "h") <= 0) & ~((F.least("w", "h") > 1e-150) & (F.greatest("w", "h") < 1e150))
+    rest = flat.filter("not target").select(*key, "pos", *_EDGES, F.when(searched & ~odd, 1).otherwise(0).alias("side"))
+    t = flat.filter("target").select(*key, *_as_target(), F.explode(F.when(searched & odd, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("side"))
+    best = _best(_overlapping(rest.join(t, [*key, "side"]), shares[-1]), key)
+    if not (most := large.agg(F.max("many")).first()[0]):
+        return _unpacked(best, key)
+    boxes = flat.filter(searched & ~odd & (F.least("w", "h") > 0))
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = materialise(boxes.filter("not target").select(*key, "pos", *_EDGES, "w", "h", "area").repartition(parts))
+    # of equal targets the first will do
+    t = materialise(boxes.filter("target").groupBy(*key, *_EDGES, "w", "h").agg(F.min("pos").alias("pos")))
+    for share in shares:
+        if most < _DENSE.get(share, 0):
+            continue
+        found = materialise(_best(_overlapping(alike(left, t, key, share), share), key))
+        best = best.unionByName(found)
+        if share == shares[-1]:
+            break
+        # whatever rounds to as much or more has been compared, if that's above the share
+        left = materialise(left.join(found.filter(F.col("best.overlap") > share + 1e-4), [*key, "pos"], "left_anti").repartition(parts))
+        if left.isEmpty():
+            break
+    return _unpacked(best.groupBy(*key, "pos").agg(F.max("best").alias("best")), key)
+
+
+def _as_target() -> list[Column]:
+    return [F.col(n).alias("target_" + n) for n in ("pos", *_EDGES)]
+
+
+def _overlapping(pairs: DataFrame, share: float) -> DataFrame:
+    """Pairs with ``overlap``, if it may reach ``share``.
+
+    Rounding is dear, so most are passed over before. No filter on ``overlap`` here: it would
+    become part of the join's condition and be evaluated first, for every pair.
     """
-    size = F.greatest(F.col("box")[2] - F.col("box")[0], F.col("box")[3] - F.col("box")[1])
-    own = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size, F.lit(1e-9)) / step) / 2)).cast("int")
-    sized = blocks.filter("box is not null").withColumn("target", targets).withColumn("own", own)
-    levels = F.array(*(F.lit(r.own) for r in sized.select("own").distinct().orderBy("own").collect())).cast("array<int>")  # a number per size
-    at = sized.withColumn("level", F.explode(F.filter(levels, lambda k: k >= F.col("own"))))
-    side = F.lit(step) * F.pow(F.lit(4.0), F.col("level"))
-    cell = F.explode(geometry.cells(F.transform("box", lambda v: v / side), 1.0))
-    at = at.withColumn("cell", cell)
-    t = at.filter("target").select(*key, "level", "cell", F.col("own").alias("target_own"), F.col("pos").alias("target_pos"), F.col("box").alias("target_box"))
-    # of the cells that both touch only the one with the corner of their intersection counts
-    corner = lambda k: F.floor(F.greatest(F.col("box")[k], F.col("target_box")[k]) / side)
-    met = at.filter("not target").join(t, [*key, "level", "cell"]).filter((F.col("level") == F.greatest("own", "target_own")) & (F.col("cell.x") == corner(0)) & (F.col("cell.y") == corner(1)))
-    pairs = met.withColumn("overlap", geometry.iou(F.col("box"), F.col("target_box"))).filter("overlap > 0")
-    return pairs.groupBy(*key, "pos").agg(F.max(F.struct("overlap", (-F.col("target_pos")).alias("order"))).alias("best")).select(*key, "pos", (-F.col("best.order")).alias("target_pos"), "best.overlap")
+    a, b = ([F.col(p + n) for n in _EDGES] for p in ("", "target_"))
+    cut = geometry.common(a, b)
+    union = geometry.area(a) + geometry.area(b) - cut
+    near = pairs.filter((cut > 0) & ((cut >= union * (share * (1 - 1e-6))) | F.isnan(union)))
+    return near.withColumn("overlap", geometry.iou(F.array(*a), F.array(*b)))
+
+
+def _best(pairs: DataFrame, key: list[str]) -> DataFrame:
+    return pairs.groupBy(*key, "pos").agg(F.max(F.struct("overlap", (-F.col("target_pos")).alias("order"))).alias("best")).filter("best.overlap > 0")
+
+
+def _unpacked(best: DataFrame, key: list[str]) -> DataFrame:
+    return best.select(*key, "pos", (-F.col("best.order")).alias("target_pos"), "best.overlap")
+
+
+def alike(blocks: DataFrame, targets: DataFrame, key: list[str], share: float) -> DataFrame:
+    """Pairs of a block and a target of its page, among them all with an overlap of ``share`` or more.
+
+    Boxes have levels of width and of height. Overlap is at most the common length over the
+    joint length, in either direction, and at most the ratio of the areas: that bounds the
+    levels of the targets, and where their first corner lies. Corners are in grid cells as
+    large as the larger of both, so a block looks into a few cells for each pair of levels.
+    Both sides: key..., pos, x0, y0, x1, y1, w, h of more than 0; ``blocks`` also area.
+    """
+    least, base = share * (1 - 1e-9), min(8.0, max(share**-0.5, min(1 / share, 2.0)))
+    level = lambda v: F.floor(F.log(v) / math.log(base)).cast("int")
+    power = lambda k: F.pow(F.lit(base), k)
+    c = F.col
+    t = targets.withColumn("t_w", level(c("w"))).withColumn("t_h", level(c("h")))
+    lows = {f"{n}_{d}": power(c(f"t_{d}") + k) * (1 - e) for d in "wh" for n, k, e in (("lo", 0, 1e-9), ("hi", 1, -1e-9))}
+    levels = small(t.select(*key, "t_w", "t_h").distinct().select("*", *(v.alias(n) for n, v in lows.items())))
+    apart = {d: F.greatest(F.lit(1.0), c("lo_" + d) / c(d), c(d) / c("hi_" + d)) for d in "wh"}
+    fits = (apart["w"] + apart["h"] - 1 <= 1 / least) & (c("lo_w") * c("lo_h") <= c("area") / least) & (c("hi_w") * c("hi_h") >= c("area") * least)
+    near = blocks.withColumn("b_w", level(c("w"))).withColumn("b_h", level(c("h"))).join(levels, key).filter(fits)
+    near = near.withColumn("g_w", F.greatest("b_w", "t_w")).withColumn("g_h", F.greatest("b_h", "t_h"))
+    cell = lambda v, d: F.floor(v / (power(c("g_" + d) + 1) * (1 - share)))
+    for d, lo, hi in (("w", "x0", "x1"), ("h", "y0", "y1")):
+        slack = (F.abs(lo) + F.abs(hi)) * 1e-15
+        first, last = c(lo) + (c(d) * least - c("hi_" + d)) / (1 + least) - slack, c(hi) - (c(d) + c("lo_" + d)) * least / (1 + least) + slack
+        near = near.withColumn("cell_" + d, F.explode(F.sequence(cell(first, d), cell(last, d))))
+    meet = F.xxhash64("t_w", "t_h", "g_w", "g_h", "cell_w", "cell_h").alias("meet")
+    near = near.select(*key, "pos", *_EDGES, meet)
+    # a target is found by blocks of its own level and smaller, and by larger ones as far as the share lets them be
+    far = math.floor(math.log(1 / least) / math.log(base) + 1e-6)
+    ups = F.array(*(F.struct(F.lit(i).alias("w"), F.lit(j).alias("h")) for i in range(far + 2) for j in range(far + 2) if i + j <= far + 2))
+    t = t.withColumn("up", F.explode(ups)).withColumn("g_w", c("t_w") + c("up.w")).withColumn("g_h", c("t_h") + c("up.h"))
+    t = t.withColumn("cell_w", cell(c("x0"), "w")).withColumn("cell_h", cell(c("y0"), "h"))
+    return near.join(t.select(*key, *_as_target(), meet), [*key, "meet"])
 
 
 def consume(anchors: list[dict], specials: list[dict]) -> list[int | None]:

@@ -412,6 +412,37 @@ def test_boxes_of_any_size_meet(spark):
     assert got == {0: 2, 3: 1, 5: 6}
 
 
+def test_a_large_page_is_not_compared_pair_by_pair(spark):
+    """Best overlaps of a crowded page equal brute force, odd boxes too, and few of its pairs are looked at."""
+    rng = np.random.default_rng(3)
+    corner, size = rng.uniform(0, 800, (2400, 2)), 10 ** rng.uniform(-3, 2.3, (2400, 2))
+    corner[:500], size[:500] = rng.integers(0, 20, (500, 2)), rng.integers(0, 7, (500, 2))  # many ties
+    box, target = np.hstack([corner, corner + size]), rng.random(2400) < 0.4
+    cut = np.prod([np.maximum(0, np.minimum(box[:, None, k + 2], box[None, :, k + 2]) - np.maximum(box[:, None, k], box[None, :, k])) for k in (0, 1)], axis=0)
+    area = (box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1])
+    union = area[:, None] + area[None, :] - cut
+    share = np.where(target[None, :] & (union > 0), cut / np.where(union > 0, union, 1), 0)
+    rounded = np.floor(share * 10000 + 0.5 + 1e-9) / 10000
+    want = {int(k): (int(rounded[k].argmax()), rounded[k].max()) for k in np.flatnonzero(~target) if rounded[k].max() > 0}
+    rows = [("p", k, box[k].tolist(), bool(target[k])) for k in range(2400)]
+    schema = "k string, pos long, box array<double>, t boolean"
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    got = {r.pos: (r.target_pos, r.overlap) for r in matching.best_overlap(df, ["k"], F.col("t"), most_pairs=1000).collect()}
+    assert got == want
+
+    far = float("inf")
+    odd = [(k, 3000 + n, b, n % 2 == 0) for k in "pq" for n, b in enumerate([[0.0, 0.0, far, far]] * 2 + [[5.0, 5.0, 5.0, 9.0]] * 2 + [[0.0, 0.0, float("nan"), 9.0]] * 2 + [[1e300, 0.0, 1.1e300, 1e-200]] * 2 + [[1.0, 1.0, 3.0, 3.0]] * 2)]
+    small = spark.createDataFrame([r for r in rows if r[1] % 8 == 0] + odd, schema).repartition(4)
+    searched, compared = ({(r.k, r.pos): (r.target_pos, str(r.overlap)) for r in matching.best_overlap(small, ["k"], F.col("t"), most_pairs=m).collect()} for m in (0, 10**9))
+    assert searched == compared and searched["q", 3009] == searched["p", 3009]
+
+    c = F.col("box")
+    boxes = df.select("k", "pos", "t", *(c[n].alias(e) for n, e in enumerate(("x0", "y0", "x1", "y1"))), (c[2] - c[0]).alias("w"), (c[3] - c[1]).alias("h")).filter("w > 0 and h > 0").withColumn("area", F.col("w") * F.col("h"))
+    seen = {(r.pos, r.target_pos) for r in matching.alike(boxes.filter("not t"), boxes.filter("t"), ["k"], 0.45).collect()}
+    due = set(zip(*(x.tolist() for x in np.nonzero(~target[:, None] & (share >= 0.45)))))
+    assert due <= seen and len(seen) < 0.1 * target.sum() * (~target).sum()
+
+
 def test_edges_belong_to_fused_nodes(spark):
     claims = spark.createDataFrame([("g", "m", "A", "B", "x"), ("g", "m", "A", "B", " x "), ("g", "m", "A", "B", "y"), ("g", "n", "A", "B", "x"), ("g", "n", "A", "Z", ""), ("g", "n", "A", "C", "")], "graph string, source_model string, source string, target string, label string")
     claimed = spark.createDataFrame([("g", m, x) for m in "mn" for x in "ABC"], "graph string, source_model string, node_id string")
